@@ -2,25 +2,46 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality
+from tidemark.llm import langid, quality, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer() -> str:
+    """The vocabulary's file; TOKENIZER names another place."""
+    import public_tokenizers
+
+    return os.environ.get("TOKENIZER") or public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer())
+
+
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_quality_rules": op10_quality_rules}
+    named = [op5_token_output, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
