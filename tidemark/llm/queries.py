@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, quality, simhash, tokens
+from tidemark.llm import langid, mixing, quality, simhash, tokens
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -40,7 +44,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op5_token_output, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    named = [op1_source_mixing, op5_token_output, op8_simhash_dedup, op9_language_id, op10_quality_rules]
     return {f.__name__: f for f in named}
 
 
