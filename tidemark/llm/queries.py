@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, quality, simhash, tokens
+from tidemark.llm import langid, mixing, quality, simhash, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,11 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -44,9 +49,26 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_source_mixing, op5_token_output, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    named = [op1_source_mixing, op3_url_filter, op5_token_output, op8_simhash_dedup, op9_language_id, op10_quality_rules]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_url_filter": OP3}
+
+
+OP3 = """
+WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+parsed AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages),
+best AS (
+  SELECT p.host, p.path, max_by(r.host || r.path, length(r.host || r.path)) AS rule, max_by(r.verdict, length(r.host || r.path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parsed) p
+  JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  GROUP BY p.host, p.path)
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
+FROM parsed p LEFT JOIN best b ON p.host = b.host AND p.path = b.path
+"""
