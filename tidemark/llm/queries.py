@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing, quality, simhash, tokens, urls
+from tidemark.llm import decontam, html, langid, mixing, quality, simhash, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,14 @@ def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,7 +57,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_source_mixing, op3_url_filter, op5_token_output, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    named = [op1_source_mixing, op3_url_filter, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules]
     return {f.__name__: f for f in named}
 
 
