@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, html, langid, mixing, quality, simhash, tokens, urls
+from tidemark.llm import decontam, html, langid, mixing, quality, repeats, simhash, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op4_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated(table(spark, sf_dir, "documents"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_output(table(spark, sf_dir, "documents"), tokenizer())
 
@@ -57,7 +61,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_source_mixing, op3_url_filter, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    named = [op1_source_mixing, op3_url_filter, op4_repeated_strings, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules]
     return {f.__name__: f for f in named}
 
 
