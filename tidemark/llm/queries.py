@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, html, langid, mixing, quality, repeats, simhash, tokens, urls
+from tidemark.llm import decontam, html, langid, lines, mixing, quality, repeats, simhash, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept texts stand in the result as their length and hash."""
+    out = lines.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "removed", F.length("kept_text").cast("long").alias("kept_chars"), F.md5("kept_text").alias("kept_md5"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(urls.RULES, "host string, path string, verdict string")
     return urls.judge(table(spark, sf_dir, "pages"), rules)
@@ -61,7 +67,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_source_mixing, op3_url_filter, op4_repeated_strings, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    named = [op1_source_mixing, op2_line_dedup, op3_url_filter, op4_repeated_strings, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules]
     return {f.__name__: f for f in named}
 
 
