@@ -10,11 +10,13 @@ sort and shuffle, which spill to disk:
    carries the hash of its sample's first bytes and of all the bytes its windows cover (its class);
 2. samples whose first bytes occur once in the corpus are dropped, and with them most of the text;
 3. cells of a class that occurs twice or more are repeated whole;
-4. where a sample has several classes, the windows of one cell of each class are induced from it: each
-   gets its offset to the sample and its hash, and those found in two classes are repeated.
+4. where a sample has several classes, the windows of one cell of each class are induced from it, by
+   their offset to the sample. Windows go in blocks of BLOCK offsets: what all of a block's windows have
+   in common must occur in two classes, else none of them is repeated; if all that they cover does, each
+   of them is; only windows of the other blocks are hashed one by one and compared.
 
-A hash is only ever compared under an equal sample hash, so 128 bits decide. A window that two classes
-share counts once for each, a class that thousands of documents share counts once in step 4.
+A hash is only ever compared under an equal hash of other bytes, so 128 bits decide. A class that
+thousands of documents share counts once in step 4.
 
 Defined results: a null text is empty; a text shorter than `length` loses nothing; repeated rows repeat
 each other; a null doc_id is a document like any other; an empty table gives an empty result. Extra
@@ -37,6 +39,7 @@ from tidemark.llm.common import cut
 LENGTH = 400
 GRAM = 64
 CHUNK = 1 << 22
+BLOCK = 16
 MULTIPLIER = 0x9E3779B97F4A7C15
 TABLE = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64)
 PLACE = np.uint64((1 << 32) - 1)
@@ -118,22 +121,54 @@ def same_doc(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
     return a.join(b, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark")), how).drop("__doc", "__mark")
 
 
-def induced(texts: DataFrame, length: int) -> DataFrame:
-    """Rows with text and one cell's bounds: the offset to the sample and the hash of each window."""
+def blocks(texts: DataFrame, length: int) -> DataFrame:
+    """Rows with text and todo, cells of it: for each cell its blocks from `low` on, by the hash of the
+    bytes that a block's windows share (core) and of all they cover (full; null if the text ends before)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
             x = batch.to_pydict()
-            out = []
-            for t, todo in zip(x["text"], x["todo"], strict=True):
+            out: list[tuple] = []
+            for doc, mark, t, todo in zip(x["doc_id"], x["mark"], x["text"], x["todo"], strict=True):
                 view = memoryview(t.encode("utf-8", "surrogatepass"))
-                out += [np.array([digest(view[p : p + length]) for p in range(c["first"], c["last"] + 1)], np.uint64).view(np.int64) for c in todo]
-            flat = [(d, m, c["first"], c["place"], c["sample"], c["single"]) for d, m, todo in zip(x["doc_id"], x["mark"], x["todo"], strict=True) for c in todo]
-            cols = list(zip(*flat, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:5]], pa.array(cols[5], pa.bool_()), pa.array(out, pa.list_(pa.int64()))], names=["doc_id", "mark", "first", "place", "sample", "single", "w"])
+                for c in todo:
+                    low, high = (c["place"] - c["last"]) // BLOCK, (c["place"] - c["first"]) // BLOCK
+                    core, full = [], []
+                    for b in range(low, high + 1):
+                        p = c["place"] - b * BLOCK  # the last window; the first is BLOCK - 1 before
+                        core.append(signed(digest(view[p : p - BLOCK + 1 + length])))
+                        full.append(signed(digest(view[p - BLOCK + 1 : p + length])) if BLOCK - 1 <= p <= len(view) - length else None)
+                    out.append((doc, mark, c["first"], c["last"], c["place"], c["sample"], c["single"], low, core, full))
+            cols = list(zip(*out, strict=True)) or [[]] * 10
+            kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "mark", "first", "last", "place", "sample", "single", "low", "core", "full"])
 
-    return texts.mapInArrow(each, "doc_id long, mark long, first long, place long, sample long, single boolean, w array<long>")
+    return texts.mapInArrow(each, "doc_id long, mark long, first long, last long, place long, sample long, single boolean, low long, core array<long>, full array<long>")
+
+
+def signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def windows(texts: DataFrame, length: int) -> DataFrame:
+    """Rows with text and todo, ranges of its windows: the hash of each window under its block's key."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for batch in batches:
+            x = batch.to_pydict()
+            out: list[tuple] = []
+            for doc, mark, t, todo in zip(x["doc_id"], x["mark"], x["text"], x["todo"], strict=True):
+                view = memoryview(t.encode("utf-8", "surrogatepass"))
+                for c in todo:
+                    w = [signed(digest(view[p : p + length], c["place"] - p)) for p in range(c["a"], c["b"] + 1)]
+                    out.append((doc, mark, c["a"], c["core"], c["single"], w))
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            kinds = [pa.int64()] * 4 + [pa.bool_(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "mark", "a", "core", "single", "w"])
+
+    return texts.mapInArrow(each, "doc_id long, mark long, a long, core long, single boolean, w array<long>")
 
 
 def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: int = LENGTH) -> DataFrame:
@@ -149,12 +184,21 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: i
     several = kinds.groupBy("sample").count().filter("count > 1").select("sample")
     todo = kinds.join(several, "sample", "left_semi").select("one.doc_id", "one.mark", F.struct("one.first", "one.last", "one.place", "sample", (F.col("n") == 1).alias("single")).alias("c"))
     todo = todo.groupBy("doc_id", "mark").agg(F.collect_list("c").alias("todo"))  # a document's own cells
-    windows = cut(induced(same_doc(affected, todo, "inner"), length), "windows")
-    flat = windows.select("doc_id", "mark", "first", "place", "sample", "single", F.posexplode("w").alias("j", "w"))
-    flat = flat.select("doc_id", "mark", (F.col("first") + F.col("j")).alias("a"), (F.col("place") - F.col("first") - F.col("j")).cast("int").alias("d"), "sample", "single", "w")
-    twice = flat.groupBy("sample", "d", "w").count().filter("count > 1").select("sample", "d", "w")
-    parts = flat.filter("single").join(twice, ["sample", "d", "w"], "left_semi").select("doc_id", "mark", "a", (F.col("a") + length).alias("b"))
-    spans = whole.unionByName(parts).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    found = cut(blocks(same_doc(affected, todo, "inner"), length), "blocks")
+    flat = found.select("doc_id", "mark", "first", "last", "place", "sample", "single", "low", F.posexplode(F.arrays_zip("core", "full")).alias("j", "h"))
+    p = F.col("place") - (F.col("low") + F.col("j")) * BLOCK
+    under = lambda h: F.when(F.col(h).isNotNull(), F.xxhash64("sample", F.col("low") + F.col("j"), h))
+    flat = flat.select("doc_id", "mark", F.greatest("first", p - (BLOCK - 1)).alias("a"), F.least("last", p).alias("b"), "place", "single", under("h.core").alias("core"), under("h.full").alias("full"))
+    flat = cut(flat.join(flat.groupBy("core").count().filter("count > 1").select("core"), "core", "left_semi"), "flat")
+    both = flat.filter("full is not null").groupBy("core", "full").count().filter("count > 1").select("core", "full", F.lit(True).alias("both"))
+    flat = cut(flat.join(both, ["core", "full"], "left"), "flat-both")
+    filled = flat.filter("single and both").select("doc_id", "mark", "a", (F.col("b") + length).alias("b"))
+    open_ = flat.filter("single and both is null").select("core").distinct()
+    more = flat.join(open_, "core", "left_semi").select("doc_id", "mark", F.struct("a", "b", "place", "core", "single").alias("c")).groupBy("doc_id", "mark").agg(F.collect_list("c").alias("todo"))
+    each = cut(windows(same_doc(affected, more, "inner"), length), "windows").select("doc_id", "mark", "a", "core", "single", F.posexplode("w").alias("j", "w"))
+    twice = each.groupBy("core", "w").count().filter("count > 1").select("core", "w")
+    parts = each.filter("single").join(twice, ["core", "w"], "left_semi").select("doc_id", "mark", (F.col("a") + F.col("j")).alias("a"), (F.col("a") + F.col("j") + length).alias("b"))
+    spans = whole.unionByName(filled).unionByName(parts).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
