@@ -165,8 +165,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", ra
 def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """The rows of docs, all their columns, that are the one kept of their group: the smallest id.
 
-    Rows that repeat that id are dropped but one. A group of null ids only has no name, so its rows
-    that are null-keyed stay, one for each distinct text.
+    Rows that repeat that id are dropped but one. A group of null ids only has no name; one of its rows
+    stays for each fingerprint.
     """
     classes = near_duplicates(docs, text, key, radius)
     flag = unused(docs, "__keep")
@@ -174,7 +174,10 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", radius:
     kept = docs.join(found.filter("doc_id is not null").select(F.col("doc_id").alias(flag)), F.col(key) == F.col(flag), "left_semi")
     if not found.filter("n > 1 and doc_id is not null").isEmpty():
         kept = kept.dropDuplicates([key])
-    nulls = found.filter("doc_id is null")
-    if not nulls.isEmpty():
-        kept = kept.unionByName(docs.filter(F.col(key).isNull()).dropDuplicates([text]))
+    alone = classes.filter("doc_id is null and component_id is null").select("fingerprint").distinct()
+    if not found.filter("doc_id is null").isEmpty():
+        own = docs.filter(F.col(key).isNull())
+        prints = fingerprints(own.select(F.xxhash64(text).alias("mark"), text), text, "mark").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"))
+        marks = prints.join(alone, "fingerprint").groupBy("fingerprint").agg(F.min("doc_id").alias(flag))
+        kept = kept.unionByName(own.join(marks.select(flag), F.xxhash64(text) == F.col(flag), "left_semi").dropDuplicates([text]))
     return kept
