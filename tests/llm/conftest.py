@@ -1,0 +1 @@
+"""The tests of the training-data operators use the session of the folder above."""
