@@ -1,6 +1,6 @@
 """All named queries and their SQL."""
 
-from tidemark.plans import boards, lake, models
+from tidemark.plans import basics, boards, lake, models
 from tidemark.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "boards", "lake", "models"]
+__all__ = ["ORACLES", "QUERIES", "basics", "boards", "lake", "models"]
