@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from tidemark.functions import exprs as X
 from tidemark.operators.runs import with_previous
 from tidemark.operators.staging import followed_by
+from tidemark.sources.scratch import ensure_checkpoint_dir
 
 
 def state_steps(obs: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], changed: bool) -> DataFrame:
@@ -171,8 +172,9 @@ def closure(keys: DataFrame, links: DataFrame, left: str, right: str, passes: in
     """All left and right entities reachable from left keys over links, in at most `passes` rounds.
 
     Only new entities are followed in a round. Key sets stay distributed; a round brings one count to
-    the driver and is written to the checkpoint folder (set one) to end its lineage.
+    the driver and is written to the checkpoint folder to end its lineage.
     """
+    ensure_checkpoint_dir(links.sparkSession)
     pairs = links.select(left, right).dropna().distinct()
     seen_l = keys.select(left).dropna().distinct()
     front, seen_r = seen_l, None
@@ -189,7 +191,7 @@ def closure(keys: DataFrame, links: DataFrame, left: str, right: str, passes: in
 
 def membership(df: DataFrame, vins: DataFrame | None, listings: DataFrame, ts: str, start: str, end: str, vin: str = "vin", listing: str = "listing_id", exact: DataFrame | None = None, exact_on: Sequence[str] = ()) -> DataFrame:
     """Rows of the window whose VIN or listing is a member, and exact rows from any time."""
-    inside = F.col(ts).between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp"))
+    inside = (F.col(ts) >= F.lit(start).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp"))
     out = df.join(listings.select(F.col(listing).alias("__l"), F.lit(True).alias("__hit_l")).distinct(), F.col(listing) == F.col("__l"), "left")
     hit = F.coalesce("__hit_l", F.lit(False))
     if vins is not None:

@@ -263,9 +263,6 @@ LINKS = "links AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem
 @query("co4_closure", f"""WITH RECURSIVE {LINKS}, walk(a, depth) AS (SELECT DISTINCT a, 0 FROM links WHERE a < 40 UNION SELECT y.a, depth + 1 FROM walk JOIN links x ON x.a = walk.a JOIN links y ON y.b = x.b WHERE depth < 3)
 SELECT DISTINCT a FROM walk""")
 def co4(t):
-    from tidemark.sources.scratch import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(t.spark)
     links = t.lineitem.filter("l_quantity = 50 and l_discount <= 0.02 and l_suppkey % 3 = 0").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
     return selectors.closure(links.filter("a < 40").select("a"), links, "a", "b", passes=3)[0]
 

@@ -7,13 +7,17 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+_OWN: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; only where that is unset (tests), one in the temp folder."""
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if path is None:
-        path = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+    if not path:
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
+        path = _OWN[context.applicationId]
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(path)
     return path

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.scratch import ensure_checkpoint_dir
+
 
 def stamped(obs: DataFrame, now: str | None = None) -> DataFrame:
     """Observations as they are stored: written_at, year, month and day of fetched_at or else written_at,
@@ -122,6 +124,7 @@ def replace_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str, b
             raise
         there = None
     if there is not None:
+        ensure_checkpoint_dir(spark)
         touched = rows.select("bucket").distinct()
         keys = rows.select(F.col(key).alias("__k")).distinct()
         old = there.join(F.broadcast(touched), "bucket", "left_semi").join(keys, F.col(key).eqNullSafe(F.col("__k")), "left_anti")
