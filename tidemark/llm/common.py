@@ -14,13 +14,18 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 NONSPACE = "[^\\x20\\x09-\\x0D]"
 
 
+_OWN: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not set_dir:
-        set_dir = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", set_dir)
-    return set_dir.rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        app = spark.sparkContext.applicationId
+        if app not in _OWN:
+            _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
+        named = _OWN[app]
+    return named.rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
