@@ -87,14 +87,15 @@ def m6(t):
     return runs.fingerprints(B.observations(t), ["vin17", "listing_id"], FIELDS, ["fetched_at", "artifact_id"], ["price"], ids=["vin17", "listing_id"])
 
 
-def runs_sql(source: str, entity: str, order: str, states: list[str], select: str) -> str:
+def runs_sql(source: str, entity: str, order: str, states: list[str], select: str, name: str = "runs") -> str:
     same = " OR ".join(f"{s} IS DISTINCT FROM lag({s}) OVER w" for s in states)
     hours = lambda a, b: f"datediff('hour', date_trunc('hour', {a}), date_trunc('hour', {b}))"
-    return f"""r0 AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR {same} THEN 1 ELSE 0 END AS new FROM {source} WINDOW w AS (PARTITION BY {entity} ORDER BY {order})),
-r1 AS (SELECT *, sum(new) OVER (PARTITION BY {entity} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM r0),
-r2 AS (SELECT {entity}, run, {select} FROM r1 GROUP BY {entity}, run),
-r3 AS (SELECT *, lead(run_started_at) OVER (PARTITION BY {entity} ORDER BY run) AS next_run_started_at FROM r2),
-runs AS (SELECT * EXCLUDE (run), {hours("run_started_at", "run_ended_at")} AS run_duration_hours, {hours("run_started_at", "next_run_started_at")} AS hours_until_change, next_run_started_at IS NULL AS is_open_run FROM r3)"""
+    r = [f"{name}{k}" for k in range(4)]
+    return f"""{r[0]} AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR {same} THEN 1 ELSE 0 END AS new FROM {source} WINDOW w AS (PARTITION BY {entity} ORDER BY {order})),
+{r[1]} AS (SELECT *, sum(new) OVER (PARTITION BY {entity} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM {r[0]}),
+{r[2]} AS (SELECT {entity}, run, {select} FROM {r[1]} GROUP BY {entity}, run),
+{r[3]} AS (SELECT *, lead(run_started_at) OVER (PARTITION BY {entity} ORDER BY run) AS next_run_started_at FROM {r[2]}),
+{name} AS (SELECT * EXCLUDE (run), {hours("run_started_at", "run_ended_at")} AS run_duration_hours, {hours("run_started_at", "next_run_started_at")} AS hours_until_change, next_run_started_at IS NULL AS is_open_run FROM {r[3]})"""
 
 
 @query("m7_state_runs", B.with_sql(B.ORDER_EVENTS, runs_sql("oe", "vin", "ts, tie", ["state"], "min(ts) AS run_started_at, max(ts) AS run_ended_at, count(*) AS n_observations, any_value(state) AS state, arg_min(queue, (ts, tie)) AS queue")) + "SELECT * FROM runs")
@@ -118,10 +119,35 @@ def m8(t):
     return runs.runs(two_states(t), "vin17", ["fetched_at", "artifact_id"], "state", sources={"purchase": F.col("source") == "purchase", "click": F.col("source") == "click"}, distinct={"artifacts": "artifact_id"}, any_of=["listing_id"])
 
 
-@query("m9_volatility_features")
+M9_AT = "2000-06-30 00:00:00"
+RUN = "min(ts) AS run_started_at, max(ts) AS run_ended_at, count(*) AS n_observations, any_value(listing_state) AS listing_state"
+M9 = B.with_sql(
+    B.SALES, B.PARTS, f"seen AS (SELECT vin, vin AS vin17, vin AS listing_id, ts, tie, price, customer_id, listing_state, source, make, model FROM sales JOIN parts ON vin17 = vin WHERE ts <= TIMESTAMP '{M9_AT}')",
+    B.history_sql("seen"), B.BENCH, "det AS (SELECT * FROM seen WHERE source = 'detail')",
+    runs_sql("det", "vin17", "ts, tie", ["listing_state"], RUN, "own"),
+    runs_sql("seen", "listing_id", "ts, tie", ["listing_state"], RUN + ", count(*) FILTER (source = 'detail') AS n_detail, count(*) FILTER (source = 'srp') AS n_srp, bool_or(source = 'srp') AS srp_seen", "alls"),
+    "meta AS (SELECT vin17 AS mv, arg_max(customer_id, (ts, tie)) AS customer_id, any_value(make) AS make, any_value(model) AS model FROM det GROUP BY 1)",
+    "rm AS (SELECT * FROM own LEFT JOIN meta ON mv = vin17)",
+    "vs AS (SELECT vin17 AS k1, count(*) - 1 AS total_state_changes, min(run_started_at) AS first_seen_at, max(run_ended_at) AS latest_fetched_at FROM rm GROUP BY 1)",
+    "tr AS (SELECT vin17 AS k8, count(*) FILTER (listing_state <> before) AS turned FROM (SELECT *, lag(listing_state) OVER (PARTITION BY vin17 ORDER BY run_started_at, md5(listing_state)) AS before FROM rm) GROUP BY 1)",
+    "ch AS (SELECT vin AS k2, count(*) FILTER (d7 AND m) AS c7, count(*) FILTER (d30 AND m) AS c30 FROM (SELECT vin, prev IS NOT NULL AND price <> prev AS m, ts >= TIMESTAMP '" + M9_AT + "' - INTERVAL 7 DAY AS d7, ts >= TIMESTAMP '" + M9_AT + "' - INTERVAL 30 DAY AS d30 FROM history_lag) GROUP BY 1)",
+    "ds AS (SELECT customer_id AS k3, avg(run_duration_hours) AS da, median(run_duration_hours) AS dm FROM rm WHERE NOT is_open_run AND customer_id IS NOT NULL GROUP BY 1)",
+    "mm AS (SELECT make AS k4, model AS k5, avg(run_duration_hours) AS ma, median(run_duration_hours) AS md FROM rm WHERE NOT is_open_run GROUP BY 1, 2)",
+    "sl AS (SELECT listing_id AS k6, max(ts) AS recent FROM seen WHERE source = 'srp' GROUP BY 1)",
+    "oa AS (SELECT listing_id AS k7, run_started_at AS rs, n_observations AS n, n_detail, n_srp, srp_seen FROM alls WHERE is_open_run)",
+)
+DAYS = f"TIMESTAMP '{M9_AT}'"
+M9 += f"""SELECT rm.vin17, rm.vin17 AS listing_id, latest_fetched_at, vs.first_seen_at, total_state_changes, 1 AS listing_id_change_count, datediff('day', run_started_at, {DAYS}) AS days_since_last_state_change, rm.n_observations AS unchanged_observation_streak,
+  coalesce(turned, 0) AS listing_state_change_count, current_price, coalesce(c7, 0) AS price_change_count_7d, coalesce(c30, 0) AS price_change_count_30d, CASE WHEN national_median_price > 0 THEN CAST(current_price AS DOUBLE) / national_median_price END AS price_vs_make_model_median,
+  datediff('day', vs.first_seen_at, {DAYS}) AS listing_days_on_market, da AS dealer_avg_run_length_hours, dm AS dealer_median_run_length_hours, ma AS make_model_avg_run_length_hours, md AS make_model_median_run_length_hours, recent AS recent_srp_seen_at, datediff('day', recent, {DAYS}) AS days_since_srp_seen,
+  rs AS all_source_run_started_at, datediff('day', rs, {DAYS}) AS days_since_last_all_source_change, coalesce(oa.n, 0) AS all_source_n_observations, coalesce(n_detail, 0) AS all_source_n_detail, coalesce(n_srp, 0) AS all_source_n_srp, coalesce(srp_seen, false) AS all_source_non_detail_refresh_seen
+FROM rm JOIN vs ON k1 = rm.vin17 LEFT JOIN tr ON k8 = rm.vin17 LEFT JOIN ch ON k2 = rm.vin17 LEFT JOIN history h ON h.vin = rm.vin17 LEFT JOIN bench b ON b.make = rm.make AND b.model = rm.model LEFT JOIN ds ON k3 = customer_id LEFT JOIN mm ON k4 = rm.make AND k5 = rm.model LEFT JOIN sl ON k6 = rm.vin17 LEFT JOIN oa ON k7 = rm.vin17 WHERE is_open_run"""
+
+
+@query("m9_volatility_features", M9)
 def m9(t):
     """Parts as listings: runs of their state, all inputs cut at the instant."""
-    at = "2000-06-30 00:00:00"
+    at = M9_AT
     obs = marts.cut_at(B.sales(t), "ts", at).withColumnRenamed("vin", "vin17").withColumn("listing_id", F.col("vin17") * 1)
     obs = obs.join(B.parts(t).select("vin17", "make", "model"), "vin17").withColumn("fingerprint", X.fingerprint(["listing_state"]))
     events = obs.select(F.col("vin17").alias("vin"), "price", "ts", "tie")
