@@ -15,10 +15,12 @@ never splits a document, so a task holds BLOCK ids and its longest document.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,79 +31,101 @@ from pyspark.sql import Window as W
 from tidemark.llm.common import scratch
 
 BLOCK = 1 << 21
-ROUNDS = 4
+ROUNDS = 3
 #: Pieces whose ids a worker remembers before it forgets them all.
 REMEMBERED = 1_000_000
 END = 0
 #: A piece may end before a space only after a character that no reading of \s takes for white space.
 UNSAFE = re.compile("[\\s\\x00-\\x20\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff] ")
-ODD = re.compile("[\\s\\x00-\\x20\\x7f-\\xa0\\u1680\\u180e\\u2000-\\u200f\\u2028-\\u202f\\u205f-\\u206f\\u3000\\ufeff]")
+#: A word of Latin letters and the ASCII marks after it are a pre-token each; no apostrophe, which may start one inside.
+SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 SCHEMA = "part int, seq int, first_id long, n_tokens long, doc_ids binary, doc_nulls binary, doc_symbols binary, doc_tokens binary, rules binary, expansions binary, symbols binary, base int"
 
 
+def byte_letters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if it is visible in
+    Latin-1, else the next one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b if b in seen else next(rest)) for b in range(256)]
+
+
+LETTERS = {b: c for b, c in enumerate(byte_letters())}
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, remembering the ids of space-separated pieces.
 
     No pre-token reaches over the boundary between a visible character and a space, so ids of pieces
     cut there, joined, are those of the whole text. Texts where that can't be seen are encoded whole.
+    A piece that is a plain word goes to the library's model at once, as its pre-tokens are known.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
+        self.model = self.tok.model
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        [self.line] = self.plain(["\n"])[0]
+        self.marks: dict[str, list[int]] = {"": []}
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[str, int] = {}
+        self.stems: dict[str, list[int]] = {}
         self.flat, self.at, self.size = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def pre_token(self, text: str) -> list[int]:
+        letters = text.translate(LETTERS) if text.isascii() else text.encode().decode("latin-1").translate(LETTERS)
+        return [t.id for t in self.model.tokenize(letters)]
+
     def remember(self, pieces: list[str]) -> None:
-        """Learn the ids of each piece after a space. Pieces without white space share calls, between line ends."""
-        odd = [x for x in pieces if not x or ODD.search(x)]
-        apart = set(odd)
-        even = [x for x in pieces if x not in apart] if apart else pieces
-        parts = [even[a : a + 512] for a in range(0, len(even), 512)]
-        ids = [np.array(x, np.uint16) for x in self.plain([" " + x for x in odd])]
-        mixed = [np.array(x, np.uint16) for x in self.plain(["".join(f" {x}\n" for x in part) for part in parts])]
-        ends = [np.flatnonzero(x == self.line) for x in mixed]
-        assert [len(e) for e in ends] == [len(part) for part in parts]
-        size = [np.array([len(x) for x in ids], np.int64), *[np.diff(e, prepend=-1) - 1 for e in ends]]
-        at, far = [], len(self.flat)
-        for x, e, n in zip([np.concatenate([np.zeros(0, np.uint16), *ids]), *mixed], [None, *ends], size, strict=True):
-            at.append(far + (np.cumsum(n) - n if e is None else e - n))
-            far += len(x)
-        self.known.update(zip([*odd, *even], range(len(self.at), len(self.at) + len(pieces)), strict=True))
-        self.flat = np.concatenate([self.flat, *ids, *mixed])
-        self.at, self.size = np.concatenate([self.at, *at]), np.concatenate([self.size, *size])
+        """Learn the ids of each piece after a space."""
+        odd, ids = [], []
+        for k, x in enumerate(pieces):
+            m = SIMPLE.fullmatch(x)
+            if m is None:
+                odd.append(k)
+                ids.append([])
+                continue
+            word, mark = m.groups()
+            stem = self.stems.get(word)
+            if stem is None:
+                stem = self.stems[word] = self.pre_token(" " + word)
+            if mark not in self.marks:
+                self.marks[mark] = self.pre_token(mark)
+            ids.append(stem + self.marks[mark] if mark else stem)
+        for k, got in zip(odd, self.plain([" " + pieces[k] for k in odd]), strict=True):
+            ids[k] = got
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known.update(zip(pieces, range(len(self.at), len(self.at) + len(pieces)), strict=True))
+        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint16, int(size.sum()))])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text with the end id."""
         if len(self.known) > REMEMBERED:
             self.forget()
+        known = self.known
         pieces: list[list[str] | None] = []
-        whole: list[int] = []
-        for k, t in enumerate(texts):
+        new: set[str] = set()
+        for t in texts:
             if UNSAFE.search(t) or t.startswith(" ") or any(s in t for s in self.special):
                 pieces.append(None)
-                whole.append(k)
             else:
-                pieces.append(t.split(" "))
-        known = self.known
-        new: dict[str, None] = {}
-        for p in pieces:
-            if p:
-                new.update(dict.fromkeys(x for x in p if x not in known))
-        # every piece but a text's first follows a space; a first piece is encoded apart, below
+                # every piece but a text's first follows a space; a first piece is encoded apart, below
+                parts = t.split(" ")
+                pieces.append(parts)
+                new.update(set(parts).difference(known))
         if new:
             self.remember(list(new))
-        firsts = self.plain([p[0] if p else texts[k] for k, p in enumerate(pieces)])
+        firsts = self.plain([p[0] if p else t for p, t in zip(pieces, texts, strict=True)])
         out = []
         for p, first in zip(pieces, firsts, strict=True):
             head = np.array([*first] if p else [*first, END], np.uint16)
@@ -145,13 +169,18 @@ def re_pair(ids: np.ndarray, last: np.ndarray, base: int, rounds: int = ROUNDS)
             often = often[np.argpartition(times[often], len(often) - quota)[len(often) - quota :]]
         if not len(often):
             break
-        pairs = np.sort(seen[edge[often]])
-        mark = np.zeros(1 << 20, bool)  # a filter before the search
+        pairs = seen[edge[often]]
+        # a table finds a pair by its hash; of two pairs with one hash, one waits for the next round
+        table = np.full(1 << 20, -1, np.int32)
         spread = lambda k: (k * np.uint32(2654435769)) >> np.uint32(12)
-        mark[spread(pairs)] = True
-        place = np.flatnonzero(mark[spread(key)] & inner)
-        which = np.searchsorted(pairs, key[place])
-        hit = pairs[np.minimum(which, len(pairs) - 1)] == key[place]
+        table[spread(pairs)] = np.arange(len(pairs))
+        pairs = pairs[np.sort(table[table >= 0])]
+        table[:] = -1
+        table[spread(pairs)] = np.arange(len(pairs))
+        which = table[spread(key)]
+        place = np.flatnonzero((which >= 0) & inner)
+        which = which[place]
+        hit = pairs[which] == key[place]
         place, which = place[hit], which[hit]
         # in a run of places side by side, every second one stays
         start = np.concatenate(([True], place[1:] != place[:-1] + 1)) if len(place) else np.zeros(0, bool)
