@@ -197,7 +197,7 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     one = refused.join(open_, "bucket").select("bucket", part(F.col("u")).alias("i"), tiles(F.col("n")).alias("j"), F.lit(0).alias("side"), "id")
     other = member.filter("id <> low").join(open_, "bucket").select("bucket", tiles(F.col("u")).alias("i"), part(F.col("n")).alias("j"), F.lit(1).alias("side"), "id")
     rest = tiled(one.union(other).join(text_of, "id"))
-    edges = star.filter("ok").select("a", "b").union(rest)
+    edges = cut(star.filter("ok").select("a", "b").union(rest).distinct(), "edges")
     nodes = distinct.select(F.col("id").alias("node"))
     classes = components(nodes.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), edges, "line-links")
     placed = classes.join(distinct.select(F.col("id").alias("node"), "place"), "node")
