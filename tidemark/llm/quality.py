@@ -172,22 +172,32 @@ def learn(rows: DataFrame, max_rules: int = 12, max_conditions: int = 4, min_pre
     return done
 
 
+def learned_from(counted: DataFrame, labels: DataFrame, key: str) -> DecisionList:
+    """The list learned from counted rows (key and COUNTS) whose labels agree, of those that pass the base."""
+    agreed = labels.filter(F.col("quality").isNotNull()).groupBy(key).agg(F.min("quality").alias("__lo"), F.max("quality").alias("__hi")).filter("__lo = __hi")
+    rows = counted.filter(~base_failed()).join(agreed, key)
+    return learn(rows.select(*COUNTS, (F.col("__lo") == 0).alias("reject"), (F.pmod(F.xxhash64(key), F.lit(3)) > 0).alias("grow")))
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, COUNTS, base_failed, rule (the learned rule that rejects the text, else null), kept."""
     counted = cut(count_features(docs, text, (key,)), "counts")
-    agreed = labels.filter(F.col("quality").isNotNull()).groupBy(key).agg(F.min("quality").alias("__lo"), F.max("quality").alias("__hi")).filter("__lo = __hi")
-    rows = counted.filter(~base_failed()).join(agreed, key)
-    learned = learn(rows.select(*COUNTS, (F.col("__lo") == 0).alias("reject"), (F.pmod(F.xxhash64(key), F.lit(3)) > 0).alias("grow")))
+    learned = learned_from(counted, labels, key)
     judged = counted.withColumn("base_failed", base_failed()).withColumn("rule", learned.expression())
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of docs, all their columns, that quality_rules keeps."""
+    """The rows of docs, all their columns, that quality_rules keeps.
+
+    Texts are counted twice, once to learn and once to judge, so that they are neither shuffled nor
+    copied to disk.
+    """
+    counted = cut(count_features(docs, text, (key,)), "counts")
+    learned = learned_from(counted, labels, key)
+    discard(counted)
     row = unused(docs, "__row")
-    counted = count_features(docs.select(F.struct("*").alias(row), key, text), text, (row, key))
-    counted = cut(counted.drop("__t"), "counts")
-    agreed = labels.filter(F.col("quality").isNotNull()).groupBy(key).agg(F.min("quality").alias("__lo"), F.max("quality").alias("__hi")).filter("__lo = __hi")
-    rows = counted.drop(row).filter(~base_failed()).join(agreed, key)
-    learned = learn(rows.select(*COUNTS, (F.col("__lo") == 0).alias("reject"), (F.pmod(F.xxhash64(key), F.lit(3)) > 0).alias("grow")))
-    return counted.filter(~base_failed() & learned.expression().isNull()).select(f"{row}.*")
+    judged = count_features(docs.select(F.struct("*").alias(row), text), text, (row,))
+    # a generator between counts and filter: pushed below, the filter would repeat the counting in each of its terms
+    judged = judged.select(row, F.inline(F.array(F.struct(*COUNTS))))
+    return judged.filter(~base_failed() & learned.expression().isNull()).select(f"{row}.*")
