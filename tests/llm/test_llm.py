@@ -255,6 +255,34 @@ def test_repeats_over_chunks(spark, monkeypatch):
     assert covered == list(range(len(data) - 399)) == [p for a, b in of(whole) for p in range(a, b + 1)]
 
 
+def test_cells_do_not_depend_on_chunks(monkeypatch):
+    joined = lambda found: [np.concatenate(x).tolist() for x in zip(*found, strict=True)]
+    for data in ((prose(400, 8) + prose(100, 9) + prose(400, 8)).encode(), b"a" * 5000, prose(900, 3).encode()):
+        monkeypatch.undo()
+        whole = joined(repeats.cells(data))
+        for chunk in (1, 400, 700, 1999):
+            monkeypatch.setattr(repeats, "CHUNK", chunk)
+            assert joined(repeats.cells(data)) == whole
+
+
+def test_repeats_in_texts_of_several_chunks(spark, monkeypatch):
+    """A clean text over many chunks loses nothing at their borders, by each step of repeated()."""
+    rows = [(1, prose(900, 21)), (2, prose(300, 22) + prose(200, 23) + prose(400, 24)), (3, prose(150, 25) + prose(200, 23))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(repeats, "CHUNK", 700)
+    # workers import the module anew, so the cells are made here
+    names = ["doc_id", "mark", "n_bytes", "sha", *repeats.ARRAYS]
+    made = []
+    for r in repeats.keyed(d, "text", "doc_id").collect():
+        data = r["text"].encode()
+        made.append((r["doc_id"], r["mark"], len(data), hashlib.sha256(data).hexdigest(), *[np.concatenate(x).tolist() for x in zip(*repeats.cells(data), strict=True)]))
+    schema = "doc_id long, mark long, n_bytes long, sha string, " + ", ".join(f"{c} array<long>" for c in repeats.ARRAYS)
+    monkeypatch.setattr(repeats, "sampled", lambda *_: spark.createDataFrame(made, schema).select(*names))
+    got = sorted(tuple(r) for r in repeats.repeated(d).collect())
+    assert got == brute_repeats(rows)
+    assert got[0][2] == 0 and got[1][2] > 0
+
+
 def test_repeats_empty(spark):
     assert repeats.repeated(empty_docs(spark)).count() == 0
 

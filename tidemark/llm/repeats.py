@@ -66,18 +66,24 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 def cells(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[np.ndarray, ...]]:
     """(first window, last window, sample's place, sample's hash, class) arrays of a text's cells."""
     out = []
-    for at in range(0, len(data) - length + 1, CHUNK):
-        part = np.frombuffer(data, np.uint8, min(CHUNK + length - 1, len(data) - at), at)
+    at = 0
+    step = max(CHUNK, length)  # windows at once, more than one cell has
+    while at <= len(data) - length:
+        part = np.frombuffer(data, np.uint8, min(step + length - 1, len(data) - at), at)
         h = gram_hashes(part, gram)
         order = ((h * np.uint64(0xD6E8FEB86659FD93)) & ~PLACE) | np.arange(len(h), dtype=np.uint64)
         sample = sliding_min(order, length - gram + 1)
         first = np.flatnonzero(np.concatenate(([True], sample[1:] != sample[:-1])))
         last = np.append(first[1:], len(sample)) - 1
+        ended = at + len(sample) + length > len(data)
+        if not ended:  # the last cell may go on: the next chunk starts with it
+            first, last = first[:-1], last[:-1]
         place = (sample[first] & PLACE).astype(np.int64)
         digest = xxhash.xxh3_64_intdigest
         view = memoryview(data)
         kind = np.array([digest(view[a : b + length]) for a, b in zip((first + at).tolist(), (last + at).tolist(), strict=True)], np.uint64)
         out.append((first + at, last + at, place + at, h[place].view(np.int64), kind.view(np.int64)))
+        at += len(sample) if ended else int(last[-1]) + 1
     return out
 
 
