@@ -380,6 +380,31 @@ PAGES = {
 }
 
 
+VISIBLE = {
+    "<html><head><title>T</title><p>Hello": ("T", "Hello"),
+    "<html><head><meta charset=x><noscript><img alt=no></noscript>\n<title>T</title>Hello<p>you": ("T", "Hello\n\nyou"),
+    "<head><style>p{}</style></head>\n<body>b": (None, "b"),
+    "<table>note<tr>side<td>x</table>": (None, "note side\nx"),
+    "<table><b>n</b><caption>c</caption><tr><img alt=i><td>x<td>y</table>z": (None, "n i\nc\nx  y\n\nz"),
+    "<table><tbody><tr><td>x</tr>late</table>": (None, "late\nx"),
+    "<div>" * 196 + "<table><tr><td>deep<td>er</table>": (None, "deep  er"),
+    "<div>" * 197 + "<table><tr><td>deep<td>er</table>": (None, "deep er"),
+    "<div>" * 198 + "<table><tr><td>deep</table>": (None, "deep"),
+    "<div>" * 199 + "<table><tr><td>deep</table>": (None, "deep"),
+    "a <svg><title>no</title><desc>no</desc><defs/><path d='x'/><text>one</text><text>two</text></svg> b": (None, "a one two b"),
+    "<svg><title/><text>t</text></svg> u": (None, "t u"),
+    "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math>": (None, "x=2"),
+    "<textarea>a &lt;b>\n  c</textarea>d": (None, "a <b>\n  c\nd"),
+    "<p>Pick<select><optgroup label=G><option>one<option selected>two</optgroup><option label=L>three</select>end": (None, "Pick\nG\none\ntwo\nL\nend"),
+    "<desc>seen</desc><datalist><option>no</datalist>": (None, "seen"),
+}
+
+
+@pytest.mark.parametrize("page", list(VISIBLE))
+def test_html_shows_what_browsers_show(page):
+    assert html.render(page) == VISIBLE[page]
+
+
 @pytest.mark.parametrize("page", list(PAGES))
 def test_html(page):
     assert html.render(page) == PAGES[page]

@@ -1,9 +1,12 @@
 """Layout-aware HTML rendering: a tree builder with implied tags, then the visible text.
 
 The tree follows the usual rules for omitted tags (p, li, dt/dd, option, table parts) and for stray end
-tags. Rendering gives blocks lines of their own, paragraphs and headings a blank line around, lists
-bullets or numbers by depth, preformatted text its spaces, and tables aligned columns. What a browser
-does not show is not emitted: head matter, scripts, styles, templates, comments, hidden elements.
+tags; a head without an end tag ends at the first thing that is no head matter. Rendering gives blocks lines of their own, paragraphs and headings a blank line around, lists
+bullets or numbers by depth, preformatted text its spaces, and tables aligned columns; what lies loose
+in a table comes ahead of it. Text of svg and math, of text areas, and all options of a select (also
+those that show on opening only) are visible. What a browser does not show is not emitted: head matter,
+scripts, styles, templates, comments, hidden elements, and the fallback in embedded media. Attributes of
+input fields are left out.
 
 Defined results: a null or blank page has empty text and no title; broken markup is read as far as it
 goes, a tag that never ends being text; nesting deeper than MAX_DEPTH stays at that depth; a very long
@@ -28,7 +31,12 @@ MAX_COLUMN = 80
 # fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template noscript title meta link iframe object svg math canvas audio video select datalist noembed noframes textarea".split())
+UNSEEN = frozenset("head script style template noscript title meta link iframe object canvas audio video datalist noembed noframes".split())
+#: Parts of svg and math that are not drawn.
+UNDRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker lineargradient radialgradient filter annotation annotation-xml".split())
+#: What an open head takes in; any other start tag ends it.
+HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+CELLS = frozenset({"td", "th"})
 BLOCK = frozenset("html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main menu nav ol p pre section summary table ul caption tr thead tbody tfoot xmp search".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dl table pre blockquote figure fieldset xmp".split())
 #: A start tag ends these open elements, looking no further out than the second set.
@@ -86,7 +94,10 @@ def parse(page: str) -> Node:
 
     def add_text(text: str) -> None:
         if text:
-            stack[-1].children.append(html.unescape(text))
+            text = html.unescape(text)
+            if stack[-1].tag == "head" and text.strip(" \t\n\r\f"):
+                stack.pop()
+            stack[-1].children.append(text)
 
     while at < n:
         m = TAG.search(page, at)
@@ -111,6 +122,11 @@ def parse(page: str) -> Node:
                     stack[-1].children.append(Node("br"))
         elif start:
             tag = start.lower()
+            if stack[-1].tag == "head" and tag not in HEAD:
+                stack.pop()
+            slash = bool(rest) and rest.endswith("/")
+            foreign = (slash or tag in UNDRAWN) and (tag in ("svg", "math") or any(x.tag in ("svg", "math") for x in stack))
+            ended = foreign and slash
             if tag in ENDS_P:
                 close({"p"}, WALLS)
             if tag[0] == "h" and tag[1:].isdigit() and stack[-1].tag[0] == "h" and stack[-1].tag[1:].isdigit():
@@ -123,12 +139,14 @@ def parse(page: str) -> Node:
                 stack.append(row)
             node = Node(tag, attributes(rest) if rest and not rest.isspace() else None)
             stack[-1].children.append(node)
-            if tag in RAW:
+            if foreign and tag in UNDRAWN:
+                node.attrs["hidden"] = ""
+            if tag in RAW and not ended:
                 stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
                 body = page[at : stop.start() if stop else n]
                 at = stop.end() if stop else n
                 node.children.append(html.unescape(body) if tag in ("title", "textarea") else body)
-            elif tag not in VOID and not (rest and rest.endswith("/") and tag in ("svg", "path", "math")) and len(stack) < MAX_DEPTH:
+            elif tag not in VOID and not ended and len(stack) < MAX_DEPTH:
                 stack.append(node)
     return root
 
@@ -211,6 +229,21 @@ def fill(node: Node, out: Out) -> None:
         elif tag in ("pre", "xmp"):
             lines = raw_text(child).expandtabs().split("\n")
             out.block([x.rstrip() for x in (lines[1:] if lines and not lines[0].strip() else lines)], True)
+        elif tag == "textarea":
+            lines = raw_text(child).expandtabs().strip("\n").split("\n")
+            out.block([x.rstrip() for x in lines] if any(map(str.strip, lines)) else [], False)
+        elif tag in ("option", "optgroup", "select"):
+            label = child.attrs.get("label", "") if tag != "select" else ""
+            out.end()
+            out.text(label)
+            if tag != "option" or not label:
+                out.end()
+                fill(child, out)
+            out.end()
+        elif tag == "text":  # of a drawing: placed apart from its neighbours
+            out.space = True
+            fill(child, out)
+            out.space = True
         elif tag in ("blockquote", "dd"):
             out.block(["  " + x if x else x for x in rendered(child)], tag == "blockquote")
         elif tag in BLOCK:
@@ -256,17 +289,24 @@ def table(node: Node) -> list[str]:
     """Rows of aligned cells; a cell of several lines takes several; spans leave their places empty."""
     captions: list[str] = []
     rows: list[Node] = []
+    loose = Node("#loose")
 
     def gather(part: Node) -> None:
         for child in part.children:
-            if isinstance(child, str) or hidden(child):
+            if isinstance(child, str):
+                loose.children.append(child)
+            elif hidden(child):
                 continue
-            if child.tag == "tr":
+            elif child.tag == "tr":
                 rows.append(child)
-            elif child.tag in ("thead", "tbody", "tfoot"):
+                # cells and rows part the words beside them
+                loose.children += [" ", *(x if isinstance(x, str) or x.tag not in CELLS else " " for x in child.children), " "]
+            elif child.tag in ("thead", "tbody", "tfoot", "colgroup"):
                 gather(child)
-            elif child.tag not in ("colgroup", "col"):
+            elif child.tag == "caption":
                 captions.extend(rendered(child))
+            elif child.tag != "col":
+                loose.children.append(child)
 
     gather(node)
     taken: dict[tuple[int, int], list[str]] = {}
@@ -274,7 +314,7 @@ def table(node: Node) -> list[str]:
     for r, row in enumerate(rows):
         c = 0
         for cell in row.children:
-            if isinstance(cell, str) or hidden(cell):
+            if isinstance(cell, str) or cell.tag not in CELLS or hidden(cell):
                 continue
             while (r, c) in covered:
                 c += 1
@@ -285,7 +325,7 @@ def table(node: Node) -> list[str]:
     columns = 1 + max((c for _, c in taken), default=-1)
     single = {c for _, c in taken}
     wide = {c: min(MAX_COLUMN, max((width(x) for r in range(len(rows)) for x in taken.get((r, c), [])), default=0)) for c in single}
-    out = list(captions)
+    out = [*rendered(loose), *captions]
     for r in range(len(rows)):
         cells = [taken.get((r, c), []) for c in range(columns)]
         for k in range(max(map(len, cells), default=0)):
