@@ -241,3 +241,28 @@ def test_pages(spark):
     assert rows(pages.detail_rows(p, "id").filter("id = 2"), "listing_id", "vin", "price", "dealer_name", "dealer_city", "dealer_zip") == [("L2", VIN, 20500, "Dealer", "Austin", "78701")]
     assert rows(pages.carousel_rows(p, "id"), "listing_id", "price", "mileage", "condition", "year") == [("L3", 9999, 12000, "used", 2021)]
     assert rows(pages.routed(p), "id", "route") == [(1, "observation"), (2, "observation"), (3, "skip"), (4, "tombstone"), (5, "observation")]
+
+
+def test_page_states(spark):
+    data = '<script id="initial-activity-data" type="application/json">{"listing_id":"L"}</script>'
+    pages_of = {
+        "<title>Car</title><p>captcha, access denied": "active",
+        f"<title>Just a moment</title>{data}": "active",
+        '<title>Just a moment</title><script id="initial-activity-data">{}</script>': "blocked",
+        '<title>Attention Required!</title><script id="initial-activity-data">{broken</script>': "blocked",
+        "<title>Checking your browser</title><p>no longer listed": "blocked",
+        "<title>Car</title><svg><title>Just a moment</title></svg>": "active",
+        f"<title>Attention required</title>{data}<p>no longer available": "unlisted",
+    }
+    df = spark.createDataFrame(list(enumerate(pages_of)), "id long, html string")
+    assert [r["page_state"] for r in pages.parsed(df, "id", "html").orderBy("id").collect()] == list(pages_of.values())
+
+
+def test_cards_keep_all_their_texts(spark):
+    many = "".join(f"<i>{k}</i>" for k in range(20))
+    cards = f'<div data-listing-id="A">Used 2021 Car{many}<b>$9,999</b><i>12,000 mi.</i></div><div data-listing-id="B">New 2020 Car<b>$5</b></div>'
+    cards += '<fuse-card><span>Used 2019 Van</span><span>$7</span><fuse-save data-listing-id="C"></fuse-save><i>3 mi</i></fuse-card>'
+    cards += '<p><a data-listing-id="D"></a>Used 2018 Bus <b>$8</b></p><p>$99 and 44 mi</p>'
+    df = spark.createDataFrame([(1, cards)], "id long, html string")
+    got = rows(pages.carousel_rows(pages.parsed(df, "id", "html"), "id"), "listing_id", "price", "mileage")
+    assert got == [("A", 9999, 12000), ("B", 5, None), ("C", 7, 3), ("D", 8, None)]

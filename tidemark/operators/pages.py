@@ -23,7 +23,7 @@ CARD_FIELDS = {
     "fuel_type": ("$.fuelType", "string"), "body_style": ("$.bodyStyle", "string"), "financing_type": ("$.financingType", "string"), "seller_zip": ("$.seller.zip", "string"),
     "seller_customer_id": ("$.seller.customerId", "string"), "trid": ("$.trid", "string"), "isa_context": ("$.isaContext", "string"), "page_number": ("$.metadata.page_number", "int"), "position_on_page": ("$.metadata.position_on_page", "int"),
 }
-CHALLENGE = re.compile(r"just a moment|cf-challenge|captcha|access denied", re.I)
+CHALLENGE = re.compile(r"just a moment|attention required|checking your browser", re.I)
 UNLISTED = re.compile(r"no longer (?:listed|available)", re.I)
 ADDRESS = r"^(.*),\s*([A-Za-z .'-]+),\s*([A-Z]{2})\s+(\d{5})"
 
@@ -39,14 +39,24 @@ class Reader(HTMLParser):
         self.title, self.text, self.links = "", [], 0
         self.dealer: dict[str, str] = {}
         self.open: list[tuple[str, str | None]] = []
+        self.titles: list[str] = []
+        self.card: dict | None = None
         self.script: str | None = None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = dict(attrs)
         if "data-vehicle-details" in a:
             self.cards.append(a["data-vehicle-details"] or "")
+        if tag in ("fuse-card", "spark-card"):
+            self.card = {"id": None, "text": [], "depth": len(self.open)}
         if "data-listing-id" in a and "data-vehicle-details" not in a:
-            self.carousel.append({"id": a["data-listing-id"], "text": []})
+            if self.card is None or self.card["id"] not in (None, a["data-listing-id"]):
+                self.card = {"id": None, "text": [], "depth": len(self.open)}
+            if self.card["id"] is None:
+                self.card["id"] = a["data-listing-id"]
+                self.carousel.append(self.card)
+        if tag == "title":
+            self.titles.append("")
         if tag == "a" and a.get("href"):
             self.links += 1
         if tag == "script":
@@ -59,6 +69,11 @@ class Reader(HTMLParser):
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
                 del self.open[k:]
+                if self.card and k <= self.card["depth"]:
+                    if self.card["text"] or k == 0:
+                        self.card = None
+                    else:  # an element without text only names the card, whose text follows
+                        self.card["depth"] = k - 1
                 break
 
     def handle_data(self, data: str) -> None:
@@ -67,14 +82,15 @@ class Reader(HTMLParser):
             return
         if any(t == "title" for t, _ in self.open):
             self.title += data
+            self.titles[-1] += data
         text = " ".join(data.split())
         if text:
             self.text.append(text)
             part = next((p for _, p in reversed(self.open) if p), None)
             if part:
                 self.dealer[part] = (self.dealer.get(part, "") + " " + text).strip()
-            if self.carousel:
-                self.carousel[-1]["text"].append(text)
+            if self.card:
+                self.card["text"].append(text)
 
 
 def read(page: str | None) -> Reader:
@@ -84,6 +100,14 @@ def read(page: str | None) -> Reader:
     return r
 
 
+def holds_data(text: str | None) -> bool:
+    """Is it JSON, and not empty?"""
+    try:
+        return bool(json.loads(text or ""))
+    except ValueError:
+        return False
+
+
 def parsed(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, title, n_links, page_state, cards, carousel, vehicle, dealer): the parts as JSON texts."""
 
@@ -93,9 +117,11 @@ def parsed(pages: DataFrame, key: str, html: str) -> DataFrame:
             for k, page in zip(batch[key], batch[html], strict=True):
                 r = read(page)
                 text = " ".join(r.text)
-                state = "blocked" if CHALLENGE.search(r.title + " " + text[:2000]) else "unlisted" if UNLISTED.search(text) else "active"
-                cards = [{"id": c["id"], "text": " | ".join(c["text"][:12])} for c in r.carousel]
-                rows.append((k, r.title.strip() or None, r.links, state, r.cards, json.dumps(cards), next((v for n, v in r.scripts.items() if "vehicle" in n or n == "application/json"), None), json.dumps(r.dealer)))
+                vehicle = r.scripts.get("initial-activity-data") or next((v for n, v in r.scripts.items() if "vehicle" in n or n == "application/json"), None)
+                # a page with its vehicle's data is no challenge, whatever its title
+                state = "blocked" if r.titles and CHALLENGE.search(r.titles[0]) and not holds_data(vehicle) else "unlisted" if UNLISTED.search(text) else "active"
+                cards = [{"id": c["id"], "text": " | ".join(c["text"])} for c in r.carousel]
+                rows.append((k, r.title.strip() or None, r.links, state, r.cards, json.dumps(cards), vehicle, json.dumps(r.dealer)))
             yield pd.DataFrame(rows, columns=["k", "title", "n_links", "page_state", "cards", "carousel", "vehicle", "dealer"])
 
     kind = dict(pages.dtypes)[key]
