@@ -93,8 +93,8 @@ def prefix_match(df: DataFrame, targets: DataFrame, group: str, text: str, targe
 
 def elsewhere(df: DataFrame, other: DataFrame, key: str, place: str) -> DataFrame:
     """Rows whose key is known at another place."""
-    o = other.select(F.col(key).alias("__k"), F.col(place).alias("__p"))
-    return df.join(o, (df[key] == o["__k"]) & (df[place] != o["__p"]), "left_semi")
+    o = other.groupBy(F.col(key).alias("__k")).agg(F.min(place).alias("__lo"), F.max(place).alias("__hi"))
+    return df.join(o, (df[key] == o["__k"]) & ((df[place] != o["__lo"]) | (df[place] != o["__hi"])), "left_semi")
 
 
 def followed_by(df: DataFrame, key: str, ts: str, before: Column, after: Column) -> DataFrame:

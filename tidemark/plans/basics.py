@@ -68,6 +68,16 @@ def lay1(t):
     return t.spark.read.parquet(path)
 
 
+@query("lay1_compaction_whole")
+def lay1_whole(t):
+    """All orders, every closed month that is due."""
+    path = folder(t, "small-files-whole")
+    rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    rows.repartition(4).write.partitionBy("year", "month").parquet(path)
+    layout.compact_due(t.spark, path, "year", "month", "2002-01-01", ["o_orderkey"], most=1_000_000)
+    return t.spark.read.parquet(path)
+
+
 @query("lay2_month_rewrite", "SELECT o_orderkey, o_orderdate, year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders")
 def lay2(t):
     path = folder(t, "months")

@@ -94,6 +94,21 @@ def jn11(t):
     return staging.elsewhere(li, t.lineitem.filter("l_suppkey < 20"), "l_partkey", "l_suppkey").distinct()
 
 
+# over whole tables, where the query before is held to its SQL's subset; no SQL: tests have brute force
+
+
+@query("jn10_prefix_match_whole")
+def jn10_whole(t):
+    x = t.part.select(F.col("p_brand").alias("b"), F.split("p_name", " ")[0].alias("w"))
+    return staging.prefix_match(t.part, x, "p_brand", "p_name", "b", "w").select("p_partkey").distinct()
+
+
+@query("jn11_elsewhere_whole")
+def jn11_whole(t):
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return staging.elsewhere(li, li, "l_partkey", "l_suppkey").distinct()
+
+
 @query("jn12_latest_event", "SELECT o_orderkey, coalesce((SELECT max(l_shipdate) FROM lineitem WHERE l_orderkey = o_orderkey), o_orderdate) AS last_event_at FROM orders")
 def jn12(t):
     events = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
@@ -208,12 +223,18 @@ RANK = "SELECT vin17, artifact_id, source, fetched_at FROM (SELECT *, row_number
 
 
 def best(t, **kw):
-    rows = readers.between(B.observations(t), "fetched_at", end="2024-01-03")
+    return best_of(readers.between(B.observations(t), "fetched_at", end="2024-01-03"), **kw)
+
+
+def best_of(rows, **kw):
     return selectors.best_source(rows, "vin17", "source", B.PRIORITY, "fetched_at", "artifact_id", **kw)
 
 
 query("se10_detail_beats_srp", B.with_sql(B.OBS) + RANK + "source = 'purchase' AND p AND c")(lambda t: best(t, wanted="purchase", also="click"))
 query("se11_srp_fallback", B.with_sql(B.OBS) + RANK + "source = 'click' AND NOT p")(lambda t: best(t, wanted="click", never="purchase"))
+query("se10_detail_beats_srp_whole")(lambda t: best_of(B.observations(t), wanted="purchase", also="click"))
+# by user and day: over all events each user has a purchase
+query("se11_srp_fallback_whole")(lambda t: best_of(B.observations(t).withColumn("vin17", F.concat_ws(" ", "vin17", F.to_date("fetched_at"))), wanted="click", never="purchase"))
 query("se12_seen_by", B.with_sql(B.OBS) + "SELECT DISTINCT vin17 FROM obs WHERE source = 'signup'")(lambda t: selectors.seen_by(B.observations(t), "vin17", "source", "signup"))
 
 
@@ -267,6 +288,13 @@ def co4(t):
     return selectors.closure(links.filter("a < 40").select("a"), links, "a", "b", passes=3)[0]
 
 
+@query("co4_closure_whole")
+def co4_whole(t):
+    """From the parts of one brand, over all links."""
+    links = t.lineitem.select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
+    return selectors.closure(t.part.filter("p_brand = 'Brand#11'").select(F.col("p_partkey").alias("a")), links, "a", "b")[0]
+
+
 @query("co5_membership", "SELECT DISTINCT o_orderkey, o_custkey FROM orders WHERE (o_custkey < 50 AND o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01') OR o_orderkey % 1000 = 7")
 def co5(t):
     members = t.customer.filter("c_custkey < 50").select(F.col("c_custkey").alias("o_custkey"))
