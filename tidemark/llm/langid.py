@@ -1,7 +1,8 @@
 """Language ID: multinomial naive Bayes over hashed character n-grams.
 
 Counting and scoring are numpy work inside Spark tasks. The model, one log-probability for each bucket
-and language, is broadcast; its size is at most MODEL_BYTES whatever the corpus holds.
+and language, is broadcast; its size is at most MODEL_BYTES whatever the corpus holds. Of more than MAX_LANGS
+languages the less frequent ones are left out: they are not learned from and never predicted.
 
 Defined results: a null text, or one without a letter, is `und` with score 0; so is everything if
 nothing can be learned from. Rows with a null text or language are not learned from; a null doc_id is
