@@ -15,8 +15,3 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
-
-
-def rows(df, *columns):
-    """Sorted tuples of a frame's rows."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=repr)

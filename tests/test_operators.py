@@ -1,7 +1,7 @@
 """Literal rows in, literal rows out."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import exprs as X

@@ -1,7 +1,7 @@
 """Incremental maintenance, sinks, layout jobs and streams on small tables."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tidemark import schema
