@@ -181,13 +181,14 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: i
     """One row per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     base = cut(sampled(docs, text, key, length), "samples")
     rows = base.select("doc_id", "mark", F.explode(F.arrays_zip(*ARRAYS)).alias("c")).select("doc_id", "mark", "c.*")
-    often = rows.groupBy("sample").count().filter("count > 1").select("sample")
+    # key lists are written before they are joined: a join beside its own aggregate can't be split where a key is hot
+    often = cut(rows.groupBy("sample").count().filter("count > 1").select("sample"), "often")
     shared = cut(rows.join(often, "sample", "left_semi").select("doc_id", "mark", *ARRAYS), "shared")
     kinds = cut(shared.groupBy("sample", "kind").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "mark", "first", "last", "place")).alias("one")), "kinds")
     whole = shared.join(kinds.filter("n > 1").select("sample", "kind"), ["sample", "kind"], "left_semi").select("doc_id", "mark", F.col("first").alias("a"), (F.col("last") + length).alias("b"))
     # the text of documents that share a sample is read again; each is needed once
     affected = cut(same_doc(keyed(docs, text, key), shared.select("doc_id", "mark").distinct(), "left_semi").dropDuplicates(["doc_id", "mark"]), "affected")
-    several = kinds.groupBy("sample").count().filter("count > 1").select("sample")
+    several = cut(kinds.groupBy("sample").count().filter("count > 1").select("sample"), "several")
     todo = kinds.join(several, "sample", "left_semi").select("one.doc_id", "one.mark", F.struct("one.first", "one.last", "one.place", "sample", (F.col("n") == 1).alias("single")).alias("c"))
     todo = todo.groupBy("doc_id", "mark").agg(F.collect_list("c").alias("todo"))  # a document's own cells
     found = cut(blocks(same_doc(affected, todo, "inner"), length), "blocks")
@@ -195,14 +196,15 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: i
     p = F.col("place") - (F.col("low") + F.col("j")) * BLOCK
     under = lambda h: F.when(F.col(h).isNotNull(), F.xxhash64("sample", F.col("low") + F.col("j"), h))
     flat = flat.select("doc_id", "mark", F.greatest("first", p - (BLOCK - 1)).alias("a"), F.least("last", p).alias("b"), "place", "single", under("h.core").alias("core"), under("h.full").alias("full"))
-    flat = cut(flat.join(flat.groupBy("core").count().filter("count > 1").select("core"), "core", "left_semi"), "flat")
-    both = flat.filter("full is not null").groupBy("core", "full").count().filter("count > 1").select("core", "full", F.lit(True).alias("both"))
+    cores = cut(flat.groupBy("core").count().filter("count > 1").select("core"), "cores")
+    flat = cut(flat.join(cores, "core", "left_semi"), "flat")
+    both = cut(flat.filter("full is not null").groupBy("core", "full").count().filter("count > 1").select("core", "full", F.lit(True).alias("both")), "both")
     flat = cut(flat.join(both, ["core", "full"], "left"), "flat-both")
     filled = flat.filter("single and both").select("doc_id", "mark", "a", (F.col("b") + length).alias("b"))
-    open_ = flat.filter("single and both is null").select("core").distinct()
+    open_ = cut(flat.filter("single and both is null").select("core").distinct(), "open")
     more = flat.join(open_, "core", "left_semi").select("doc_id", "mark", F.struct("a", "b", "place", "core", "single").alias("c")).groupBy("doc_id", "mark").agg(F.collect_list("c").alias("todo"))
     each = cut(windows(same_doc(affected, more, "inner"), length), "windows").select("doc_id", "mark", "a", "core", "single", F.posexplode("w").alias("j", "w"))
-    twice = each.groupBy("core", "w").count().filter("count > 1").select("core", "w")
+    twice = cut(each.groupBy("core", "w").count().filter("count > 1").select("core", "w"), "twice")
     parts = each.filter("single").join(twice, ["core", "w"], "left_semi").select("doc_id", "mark", (F.col("a") + F.col("j")).alias("a"), (F.col("a") + F.col("j") + length).alias("b"))
     spans = whole.unionByName(filled).unionByName(parts).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
