@@ -1,16 +1,23 @@
 """Layout-aware HTML rendering: a tree builder with implied tags, then the visible text.
 
 The tree follows the usual rules for omitted tags (p, li, dt/dd, option, table parts) and for stray end
-tags; a head without an end tag ends at the first thing that is no head matter. Rendering gives blocks lines of their own, paragraphs and headings a blank line around, lists
-bullets or numbers by depth, preformatted text its spaces, and tables aligned columns; what lies loose
-in a table comes ahead of it. Text of svg and math, of text areas, and all options of a select (also
-those that show on opening only) are visible. What a browser does not show is not emitted: head matter,
-scripts, styles, templates, comments, hidden elements, and the fallback in embedded media. Attributes of
-input fields are left out.
+tags; a head without an end tag ends at the first thing that is no head matter. Rendering gives blocks
+lines of their own, paragraphs and headings a blank line around, lists bullets or numbers by depth,
+preformatted text its spaces, and tables aligned columns; what lies loose in a table comes ahead of it.
+Words of a cell wider than WRAP that has a neighbour on its right go on in lines below, within its column;
+only a single longer word breaks the alignment of its line.
+
+Text of svg and math, of text areas, and all options of a select (also those that show on opening only)
+are visible. What a browser does not show is not emitted: head matter, scripts, styles, templates,
+comments, the fallback in embedded media, closed details but their summary, and elements hidden by their
+attributes or by the page's own style rules. Of those, selectors of a tag, classes and an id are read, in
+order, the more special first; rules within at-rules and other selectors are not. Text inside an
+invisible element that is made visible again is emitted. Attributes of input fields are left out.
 
 Defined results: a null or blank page has empty text and no title; broken markup is read as far as it
 goes, a tag that never ends being text; nesting deeper than MAX_DEPTH stays at that depth; a very long
-page is read whole; repeated rows are rendered each; an empty table gives an empty result.
+page is read whole, in time in proportion to its length; repeated rows are rendered each; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,8 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_DEPTH = 200
-#: Cells wider than this don't widen their column.
-MAX_COLUMN = 80
+WRAP = 80
 
 # fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,9 +63,16 @@ IMPLIED = {
 ENDS_P = BLOCK - {"html", "body", "caption", "tr", "thead", "tbody", "tfoot", "legend"}
 WALLS = {"table", "td", "th", "caption", "button", "object", "html"}
 
-TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*>|/([a-zA-Z][^\s/>]*)[^>]*>|([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>)", re.S)
+COMMENT = re.compile(r"<!--(?:.*?--!?>|.*\Z)", re.S)
+OTHER = re.compile(r"<[!?][^>]*>")
+CLOSE = re.compile(r"</([a-zA-Z][^\s/>]*)[^>]*>")
+#: A start tag; quotes count after an equals sign. BARE is for pages in which quotes never end.
+OPEN = re.compile(r"<([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>")
+BARE = re.compile(r"<([a-zA-Z][^\s/>]*)([^>]*)>")
 ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
-HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+DECLARED = re.compile(r"(display|visibility)\s*:\s*([a-z-]+)", re.I)
+RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+SELECTOR = re.compile(r"([a-zA-Z][\w-]*|\*)?((?:[.#][\w-]+)*)\Z")
 GAPS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -99,14 +112,30 @@ def parse(page: str) -> Node:
                 stack.pop()
             stack[-1].children.append(text)
 
+    begin, last, quotes = 0, page.rfind(">"), True
     while at < n:
-        m = TAG.search(page, at)
-        if not m:
-            add_text(page[at:])
+        at = page.find("<", at)
+        if at < 0:
             break
-        add_text(page[at : m.start()])
-        at = m.end()
-        end, start, rest = m[1], m[2], m[3]
+        c, m = page[at + 1 : at + 2], None
+        if page.startswith("<!--", at):
+            m = COMMENT.match(page, at)
+        elif at > last:
+            break  # no tag ends any more
+        elif c in ("!", "?"):
+            m = OTHER.match(page, at)
+        elif c == "/":
+            m = CLOSE.match(page, at)
+        elif c.isascii() and c.isalpha():
+            m = OPEN.match(page, at) if quotes else None
+            if not m:
+                quotes, m = False, BARE.match(page, at)
+        if not m:
+            at += 1
+            continue
+        add_text(page[begin:at])
+        begin = at = m.end()
+        end, start, rest = m[1] if m.re is CLOSE else None, *(m.groups() if m.re in (OPEN, BARE) else (None, None))
         if end:
             tag = end.lower()
             for k in range(len(stack) - 1, 0, -1):
@@ -142,18 +171,96 @@ def parse(page: str) -> Node:
             if foreign and tag in UNDRAWN:
                 node.attrs["hidden"] = ""
             if tag in RAW and not ended:
-                stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at)
+                stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(page, at, last + 1) if at <= last else None
                 body = page[at : stop.start() if stop else n]
-                at = stop.end() if stop else n
+                begin = at = stop.end() if stop else n
                 node.children.append(html.unescape(body) if tag in ("title", "textarea") else body)
             elif tag not in VOID and not ended and len(stack) < MAX_DEPTH:
                 stack.append(node)
+    add_text(page[begin:])
     return root
 
 
-def hidden(node: Node) -> bool:
-    a = node.attrs
-    return node.tag in UNSEEN or bool(a) and ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or node.tag == "input" or bool(HIDES.search(a.get("style", "")))) or node.tag == "dialog" and "open" not in a
+class Sheet:
+    """Which elements a page's style rules hide or show."""
+
+    def __init__(self, styles: list[str]):
+        self.rules: dict[str, list[tuple[tuple[int, int, int], int, str, set[str], dict[str, str]]]] = {}
+        order = 0
+        for text in styles:
+            text = outside_at_rules(re.sub(r"/\*.*?(?:\*/|\Z)", "", text, flags=re.S))
+            for selectors, body in RULE.findall(text):
+                said = declared(body)
+                for selector in selectors.split(",") if said else []:
+                    m = SELECTOR.match(selector.strip())
+                    if m and m[0]:
+                        names = set(re.findall(r"[.#][\w-]+", m[2]))
+                        tag = (m[1] or "*").lower()
+                        ids = sum(x[0] == "#" for x in names)
+                        at = min(names) if names else tag
+                        self.rules.setdefault(at, []).append(((ids, len(names) - ids, int(tag != "*")), order, tag, names, said))
+                        order += 1
+
+    def of(self, node: Node) -> dict[str, str]:
+        """display and visibility as declared for an element."""
+        a = node.attrs
+        said: dict[str, str] = {"display": "none"} if "hidden" in a else {}
+        if self.rules:
+            names = {"." + x for x in a.get("class", "").split()} | ({"#" + a["id"]} if a.get("id") else set())
+            met = [r for at in (*names, node.tag, "*") for r in self.rules.get(at, ()) if r[2] in ("*", node.tag) and r[3] <= names]
+            for r in sorted(met, key=lambda r: r[:2]):
+                said |= r[4]
+        return said | declared(a["style"]) if "style" in a else said
+
+
+def declared(text: str) -> dict[str, str]:
+    return {k.lower(): v.lower() for k, v in DECLARED.findall(text)}
+
+
+def outside_at_rules(text: str) -> str:
+    """Style rules that stand in no at-rule."""
+    out, at, deep, skip = [], 0, 0, -1
+    for m in re.finditer(r"@[^{};]*[{;]|[{}]", text):
+        mark = m[0][-1]
+        if skip < 0 and mark != m[0]:
+            out.append(text[at : m.start()])
+            skip = deep
+        deep += {"{": 1, "}": -1, ";": 0}[mark]
+        if skip >= 0 and deep <= skip:
+            skip, at = -1, m.end()
+    return "".join([*out, text[at:] if skip < 0 else ""])
+
+
+def shown(node: Node, sheet: Sheet, visible: bool = True) -> None:
+    """Take out of a tree what is not shown."""
+    children: list[Node | str] = []
+    for child in node.children:
+        if isinstance(child, str):
+            if visible:
+                children.append(child)
+            continue
+        if child.tag in UNSEEN or child.tag == "input" or child.tag == "dialog" and "open" not in child.attrs:
+            continue
+        said = sheet.of(child) if child.attrs or sheet.rules else {}
+        if said.get("display") == "none":
+            continue
+        own = said.get("visibility", "visible" if visible else "hidden") not in ("hidden", "collapse") if said.get("visibility") != "inherit" else visible
+        if child.tag == "details" and "open" not in child.attrs:
+            child.children = next(([x] for x in child.children if not isinstance(x, str) and x.tag == "summary"), [])
+        shown(child, sheet, own)
+        if own or child.children or child.tag == "br":
+            children.append(child)
+    node.children = children
+
+
+def styles_of(node: Node) -> list[str]:
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if x.tag == "style":
+            out.append("".join(c for c in x.children if isinstance(c, str)))
+        todo.extend(c for c in reversed(x.children) if not isinstance(c, str))
+    return out
 
 
 def width(text: str) -> int:
@@ -211,8 +318,6 @@ def fill(node: Node, out: Out) -> None:
             out.text(child)
             continue
         tag = child.tag
-        if hidden(child):
-            continue
         if tag == "br":
             if out.now:
                 out.end()
@@ -262,8 +367,6 @@ def listed(node: Node) -> list[str]:
             if child.strip():
                 out.append(" ".join(GAPS.split(child)).strip())
             continue
-        if hidden(child):
-            continue
         if child.tag in ("ul", "ol", "menu"):
             out += ["  " + x for x in listed(child)]
             continue
@@ -277,12 +380,29 @@ def listed(node: Node) -> list[str]:
 
 
 def raw_text(node: Node) -> str:
-    return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else "" if hidden(c) else raw_text(c) for c in node.children)
+    return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else raw_text(c) for c in node.children)
+
 
+def span(node: Node, name: str, most: int) -> int:
+    """A colspan or rowspan, within HTML's own limits."""
+    text = node.attrs.get(name, "1").strip()
+    return min(int(text), most) if text.isdecimal() and len(text) < 9 else 1
 
-def span(node: Node, name: str) -> int:
-    text = node.attrs.get(name, "1")
-    return max(1, min(int(text), 100)) if text.isdecimal() and len(text) < 6 else 1
+
+def wrapped(lines: list[str]) -> list[str]:
+    """Lines of at most WRAP columns, but for longer words."""
+    out: list[str] = []
+    for line in lines:
+        now, size = "", 0
+        for word in line.split(" ") if width(line) > WRAP else [line]:
+            n = width(word)
+            if now and size + 1 + n > WRAP:
+                out.append(now)
+                now, size = word, n
+            else:
+                now, size = (f"{now} {word}", size + 1 + n) if now else (word, n)
+        out.append(now)
+    return out
 
 
 def table(node: Node) -> list[str]:
@@ -295,8 +415,6 @@ def table(node: Node) -> list[str]:
         for child in part.children:
             if isinstance(child, str):
                 loose.children.append(child)
-            elif hidden(child):
-                continue
             elif child.tag == "tr":
                 rows.append(child)
                 # cells and rows part the words beside them
@@ -309,28 +427,37 @@ def table(node: Node) -> list[str]:
                 loose.children.append(child)
 
     gather(node)
-    taken: dict[tuple[int, int], list[str]] = {}
-    covered: set[tuple[int, int]] = set()
+    taken: list[dict[int, list[str]]] = []
+    open_: list[tuple[int, int, int]] = []  # spans from the rows above: first column, column after, last row
     for r, row in enumerate(rows):
-        c = 0
+        open_ = sorted(x for x in open_ if x[2] >= r)
+        place: dict[int, list[str]] = {}
+        c, k, added = 0, 0, []
         for cell in row.children:
-            if isinstance(cell, str) or cell.tag not in CELLS or hidden(cell):
+            if isinstance(cell, str) or cell.tag not in CELLS:
                 continue
-            while (r, c) in covered:
-                c += 1
-            taken[r, c] = rendered(cell)
-            wide = span(cell, "colspan")
-            covered.update((r + i, c + j) for i in range(min(span(cell, "rowspan"), len(rows) - r)) for j in range(wide))
+            while k < len(open_) and open_[k][0] <= c:
+                c = max(c, open_[k][1])
+                k += 1
+            place[c] = rendered(cell)
+            wide, deep = max(1, span(cell, "colspan", 1000)), span(cell, "rowspan", 65534) or len(rows)
+            if deep > 1:
+                added.append((c, c + wide, r + deep - 1))
             c += wide
-    columns = 1 + max((c for _, c in taken), default=-1)
-    single = {c for _, c in taken}
-    wide = {c: min(MAX_COLUMN, max((width(x) for r in range(len(rows)) for x in taken.get((r, c), [])), default=0)) for c in single}
+        open_ += added
+        taken.append({c: x if c == max(place) else wrapped(x) for c, x in place.items()})
+    wide: dict[int, int] = {}
+    for place in taken:
+        for c, lines in place.items():
+            wide[c] = max(wide.get(c, 0), min(WRAP, max(map(width, lines), default=0)))
+    columns = sorted(wide)
     out = [*rendered(loose), *captions]
-    for r in range(len(rows)):
-        cells = [taken.get((r, c), []) for c in range(columns)]
-        for k in range(max(map(len, cells), default=0)):
-            parts = [x[k] if k < len(x) else "" for x in cells]
-            out.append("  ".join(x + " " * (wide.get(c, 0) - width(x)) for c, x in enumerate(parts)).rstrip())
+    for place in taken:
+        # nothing stands right of a row's last cell
+        cells = [(wide[c], place.get(c, [])) for c in columns if c <= max(place, default=-1)]
+        for k in range(max((len(x) for _, x in cells), default=0)):
+            parts = [(n, x[k] if k < len(x) else "") for n, x in cells]
+            out.append("  ".join(x + " " * (n - width(x)) for n, x in parts).rstrip())
     return out
 
 
@@ -348,7 +475,9 @@ def title_of(node: Node) -> str | None:
 def render(page: str | None) -> tuple[str | None, str]:
     """(title, visible text) of a page."""
     tree = parse((page or "").replace("\r\n", "\n").replace("\0", ""))
-    return title_of(tree), "\n".join(rendered(tree)).strip("\n")
+    title = title_of(tree)
+    shown(tree, Sheet(styles_of(tree)))
+    return title, "\n".join(rendered(tree)).strip("\n")
 
 
 def extract(pages: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
