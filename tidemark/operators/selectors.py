@@ -33,8 +33,8 @@ def active_to_unlisted(obs: DataFrame, key: str, ts: str, state: str, active: st
 
 
 def price_steps(events: DataFrame, key: str, price: str, ts: str, tie: str, up: bool | None = None) -> DataFrame:
-    """Events whose price differs from the one before (up: rises or drops only)."""
-    rows = with_previous(events.filter(F.col(price) > 0), key, [ts, tie], price, "prev_price")
+    """Priced events whose price differs from the one before (up: rises or drops only)."""
+    rows = with_previous(events.filter(F.col(price).isNotNull()), key, [ts, tie], price, "prev_price")
     p, q = F.col(price), F.col("prev_price")
     return rows.filter(p != q if up is None else p > q if up else p < q)
 
@@ -47,9 +47,16 @@ def anchored(df: DataFrame, ts: str, anchor: str | Column | None, name: str = "w
 
 
 def price_changed(events: DataFrame, key: str, price: str, ts: str, tie: str, anchor: str | None = None, only_older_than: int | None = None, days: int = 7) -> DataFrame:
-    """Changes in the last `days` before the anchor; with only_older_than, keys without one in that time."""
-    rows = anchored(price_steps(events, key, price, ts, tie), ts, anchor)
-    got = rows.filter((F.col(ts) >= F.col("window_anchor") - F.expr(f"INTERVAL {days} DAYS")) & (F.col(ts) <= F.col("window_anchor")))
+    """Changes from `days` before the anchor on; with only_older_than, those before that many days to it.
+
+    The anchor is the one given, else the newest priced event, whether it changes a price or not.
+    """
+    if anchor is None:
+        newest = F.broadcast(events.filter(F.col(price).isNotNull()).agg(F.max(ts).alias("window_anchor")))
+        rows = price_steps(events, key, price, ts, tie).crossJoin(newest)
+    else:
+        rows = anchored(price_steps(events, key, price, ts, tie), ts, anchor)
+    got = rows.filter(F.col(ts) >= F.col("window_anchor") - F.expr(f"INTERVAL {days} DAYS"))
     if only_older_than is not None:
         got = got.filter(F.col(ts) < F.col("window_anchor") - F.expr(f"INTERVAL {only_older_than} DAYS"))
     return got

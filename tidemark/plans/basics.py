@@ -59,19 +59,10 @@ def snk6(t):
     return sinks.reconstruct_unlisted(queue, mapping, price, stored).select("artifact_id", "listing_id")
 
 
-@query("lay1_compaction", "SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders WHERE o_orderdate < TIMESTAMP '1995-03-01'")
+@query("lay1_compaction", "SELECT o_orderkey, year(o_orderdate) AS year, month(o_orderdate) AS month FROM orders")
 def lay1(t):
-    path = folder(t, "small-files")
-    rows = t.orders.filter("o_orderdate < timestamp'1995-03-01'").select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    rows.repartition(4).write.partitionBy("year", "month").parquet(path)
-    layout.compact_due(t.spark, path, "year", "month", "1996-01-01", ["o_orderkey"])
-    return t.spark.read.parquet(path)
-
-
-@query("lay1_compaction_whole")
-def lay1_whole(t):
     """All orders, every closed month that is due."""
-    path = folder(t, "small-files-whole")
+    path = folder(t, "small-files")
     rows = t.orders.select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
     rows.repartition(4).write.partitionBy("year", "month").parquet(path)
     layout.compact_due(t.spark, path, "year", "month", "2002-01-01", ["o_orderkey"], most=1_000_000)

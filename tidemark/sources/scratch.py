@@ -11,10 +11,12 @@ _OWN: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; only where that is unset (tests), one in the temp folder."""
+    """The folder in spark.checkpoint.dir; where that is unset, one in the temp folder, in local mode only."""
     context = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if context.applicationId not in _OWN:
             _OWN[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
         path = _OWN[context.applicationId]
