@@ -1,12 +1,14 @@
 """Token ids in binary blocks, compressed by Re-Pair grammars.
 
-Documents are dealt to partitions by ranges of their id, so files follow ascending doc_id. Each task
+Documents are dealt to partitions by ranges of their id and first characters, so files follow ascending
+doc_id, a frequent id can be split, and the number of partitions grows with the input's bytes. Each task
 encodes its documents, gathers the ids into blocks of about BLOCK ids, and compresses each block:
-frequent pairs of neighbouring symbols become nonterminals, round after round. A block row stores the
-rules, the expansion length of every nonterminal and the symbols, so that any document is decoded
-alone, from its own symbols. Spark's Parquet writer makes the files, on any store that Spark reaches.
+frequent pairs of neighbouring symbols become nonterminals, round after round, until no pair pays for
+its rule or symbols run out. A block row stores the rules, the expansion length of every nonterminal and
+the symbols, so that any document is decoded alone, from its own symbols. Spark's Parquet writer makes
+the files, on any store that Spark reaches.
 
-Symbols, ids included, are below 2**16; the vocabulary leaves room for the nonterminals.
+Symbols take two bytes where the vocabulary leaves room for rules below 2**16, else four.
 
 Defined results: a null or empty text is the end id alone; a null doc_id comes first; repeated doc_ids
 are kept as rows of their own, in the order of their texts; an empty table gives no blocks. A block
@@ -18,9 +20,9 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,15 @@ from pyspark.sql import Window as W
 from tidemark.llm.common import scratch
 
 BLOCK = 1 << 21
-ROUNDS = 3
-#: Pieces whose ids a worker remembers before it forgets them all.
+#: Nonterminals that two-byte symbols must leave room for.
+ROOM = 4096
+#: Bytes of input that a task encodes where more tasks than spark.sql.shuffle.partitions are due, and how
+#: many times more at most: the estimate of a plan that joins tables can be far too high.
+TASK_BYTES = 128 << 20
+MORE_TASKS = 16
+#: Characters of a text that tell documents of one id apart when they are dealt to tasks.
+PREFIX = 64
+#: Pieces whose ids a worker remembers.
 REMEMBERED = 1_000_000
 END = 0
 #: A piece may end before a space only after a character that no reading of \s takes for white space.
@@ -51,6 +60,20 @@ def byte_letters() -> list[str]:
 
 
 LETTERS = {b: c for b, c in enumerate(byte_letters())}
+SPACE = LETTERS[32]
+
+
+class Pieces(dict):
+    """Numbers pieces in the order in which they are first asked for; new ones wait in a list."""
+
+    def __init__(self, pieces: list[str]):
+        super().__init__(zip(pieces, range(len(pieces)), strict=True))
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        n = self[piece] = len(self)
+        self.new.append(piece)
+        return n
 
 
 class Encoder:
@@ -58,7 +81,8 @@ class Encoder:
 
     No pre-token reaches over the boundary between a visible character and a space, so ids of pieces
     cut there, joined, are those of the whole text. Texts where that can't be seen are encoded whole.
-    A piece that is a plain word goes to the library's model at once, as its pre-tokens are known.
+    A piece of plain words, each on a line, goes to the library's model at once, as its pre-tokens are known.
+    Of REMEMBERED pieces those that came again stay, and the others are forgotten.
     """
 
     def __init__(self, path: str):
@@ -69,75 +93,100 @@ class Encoder:
         self.model = self.tok.model
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.marks: dict[str, list[int]] = {"": []}
-        self.forget()
+        self.kind = symbol_type(self.vocab)
+        self.code = {np.uint16: "H", np.uint32: "I"}[self.kind]
+        # ids as bytes: millions of lists would keep the garbage collector busy
+        self.marks: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {}
+        self.newline = self.pre_token("\n")
+        self.known = Pieces([])
+        self.flat, self.at, self.size, self.again = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.stems: dict[str, list[int]] = {}
-        self.flat, self.at, self.size = np.zeros(0, np.uint16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        stay = np.flatnonzero(self.again)
+        stay = stay if 2 * len(stay) <= REMEMBERED else stay[:0]
+        self.flat, size = self.tokens(stay)
+        pieces = list(self.known)
+        self.known, self.size, self.at = Pieces([pieces[k] for k in stay.tolist()]), size, np.cumsum(size) - size
+        self.again = np.zeros(len(stay), bool)
+        self.stems = {}
 
     def plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pre_token(self, text: str) -> list[int]:
-        letters = text.translate(LETTERS) if text.isascii() else text.encode().decode("latin-1").translate(LETTERS)
-        return [t.id for t in self.model.tokenize(letters)]
+    def pre_token(self, text: str) -> bytes:
+        """Ids of one pre-token, as bytes."""
+        letters = text.encode().decode("latin-1").translate(LETTERS)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def stem(self, word: str) -> bytes:
+        """Ids of a plain word, with its space if it has one."""
+        got = self.stems.get(word)
+        if got is None:
+            if word.isascii():  # letters stand for themselves in the vocabulary
+                tokens = self.model.tokenize(SPACE + word[1:] if word[0] == " " else word)
+                got = array(self.code, [t.id for t in tokens]).tobytes()
+            else:
+                got = self.pre_token(word)
+            self.stems[word] = got
+        return got
+
+    def mark(self, mark: str) -> bytes:
+        got = self.marks.get(mark)
+        if got is None:
+            got = self.marks[mark] = self.pre_token(mark)
+        return got
+
+    def simple(self, piece: str) -> bytes | None:
+        """Ids of a piece after a space if it is plain words, each with marks, on lines of their own."""
+        m = SIMPLE.fullmatch(piece)
+        if m:
+            return self.stem(" " + m[1]) + self.mark(m[2])
+        lines = [SIMPLE.fullmatch(x) for x in piece.split("\n")]
+        if None in lines:
+            return None
+        return self.newline.join([self.stem(" " * (k == 0) + m[1]) + self.mark(m[2]) for k, m in enumerate(lines)])
 
     def remember(self, pieces: list[str]) -> None:
         """Learn the ids of each piece after a space."""
-        odd, ids = [], []
-        for k, x in enumerate(pieces):
-            m = SIMPLE.fullmatch(x)
-            if m is None:
-                odd.append(k)
-                ids.append([])
-                continue
-            word, mark = m.groups()
-            stem = self.stems.get(word)
-            if stem is None:
-                stem = self.stems[word] = self.pre_token(" " + word)
-            if mark not in self.marks:
-                self.marks[mark] = self.pre_token(mark)
-            ids.append(stem + self.marks[mark] if mark else stem)
+        ids = list(map(self.simple, pieces))
+        odd = [k for k, got in enumerate(ids) if got is None]
         for k, got in zip(odd, self.plain([" " + pieces[k] for k in odd]), strict=True):
-            ids[k] = got
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.known.update(zip(pieces, range(len(self.at), len(self.at) + len(pieces)), strict=True))
+            ids[k] = array(self.code, got).tobytes()
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.kind).itemsize
         self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint16, int(size.sum()))])
+        self.again = np.concatenate([self.again, np.zeros(len(ids), bool)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), self.kind)])
+
+    def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, joined, and how many each has."""
+        n = self.size[numbers]
+        ends = np.cumsum(n)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.at[numbers] - ends + n, n)], n
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text with the end id."""
         if len(self.known) > REMEMBERED:
             self.forget()
-        known = self.known
-        pieces: list[list[str] | None] = []
-        new: set[str] = set()
+        number, before = self.known.__getitem__, len(self.known)
+        heads, tails, none = [], [], np.zeros(0, np.int64)
         for t in texts:
+            head, space, tail = t.partition(" ")
             if UNSAFE.search(t) or t.startswith(" ") or any(s in t for s in self.special):
-                pieces.append(None)
-            else:
-                # every piece but a text's first follows a space; a first piece is encoded apart, below
-                parts = t.split(" ")
-                pieces.append(parts)
-                new.update(set(parts).difference(known))
-        if new:
-            self.remember(list(new))
-        firsts = self.plain([p[0] if p else t for p, t in zip(pieces, texts, strict=True)])
-        out = []
-        for p, first in zip(pieces, firsts, strict=True):
-            head = np.array([*first] if p else [*first, END], np.uint16)
-            if not p:
-                out.append(head)
-                continue
-            w = np.fromiter(map(known.__getitem__, p[1:]), np.int64, len(p) - 1)
-            n = self.size[w]
-            ends = np.cumsum(n)
-            body = self.flat[np.arange(ends[-1] if len(w) else 0) + np.repeat(self.at[w] - ends + n, n)]
-            out.append(np.concatenate([head, body, np.array([END], np.uint16)]))
-        return out
+                head, space = t, ""
+            # every piece but a text's first follows a space; a first piece is encoded apart
+            heads.append(head)
+            tails.append(np.fromiter(map(number, tail.split(" ")), np.int64) if space else none)
+        if self.known.new:
+            self.remember(self.known.new)
+            self.known.new = []
+        numbers = np.concatenate([none, *tails])
+        self.again[numbers[numbers < before]] = True
+        ids, n = self.tokens(numbers)
+        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum([0, *map(len, tails)])].tolist()
+        end = np.array([END], self.kind)
+        return [np.concatenate([np.array(head, self.kind), ids[a:b], end]) for head, a, b in zip(self.plain(heads), ends, ends[1:], strict=False)]
 
 
 @cache
@@ -145,34 +194,40 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def re_pair(ids: np.ndarray, last: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def symbol_type(base: int) -> type:
+    """Two bytes a symbol where the vocabulary leaves room for rules beside it, else four."""
+    return np.uint16 if base <= (1 << 16) - ROOM else np.uint32
+
+
+def re_pair(ids: np.ndarray, last: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, last, rules, expansion lengths): `last` marks the symbol that ends a document.
 
-    Each round replaces all pairs that are frequent enough to pay for their rule; where occurrences
-    overlap, the leftmost goes first. No pair reaches over the end of a document.
+    Each round counts all pairs and replaces the most frequent ones, with two thirds of the nonterminals
+    that are left, until no pair pays for its rule or nonterminals run out. Where occurrences overlap, the
+    leftmost goes first. No pair reaches over the end of a document. Rules are (left, right) rows.
     """
-    sym, rules, lens = ids.astype(np.uint32), [], []
-    free = (1 << 16) - base
-    for r in range(rounds):
-        if len(sym) < 2 or not free:
-            break
-        key = (sym[:-1] << np.uint32(16)) | sym[1:]
+    kind = symbol_type(base)
+    sym, rules, lens = ids.astype(kind), [], [np.ones(base, np.int64)]
+    width = 8 * sym.itemsize
+    free = (1 << 16) - base if kind == np.uint16 else 1 << 20
+    wide = np.uint32 if kind == np.uint16 else np.uint64
+    pays = (2 * sym.itemsize + 4) // sym.itemsize + 1  # a rule's symbols and its length
+    while len(sym) > 1 and free:
+        key = (sym[:-1].astype(wide) << wide(width)) | sym[1:]
         inner = ~last[:-1]
         seen = np.sort(key[inner])
-        if not len(seen):
-            break
-        edge = np.flatnonzero(np.concatenate(([True], seen[1:] != seen[:-1])))
+        edge = np.flatnonzero(np.concatenate((np.ones(min(1, len(seen)), bool), seen[1:] != seen[:-1])))
         times = np.diff(np.append(edge, len(seen)))
-        quota = -(-free // (rounds - r))
-        often = np.flatnonzero(times >= max(8, len(seen) >> 14))
-        if len(often) > quota:
-            often = often[np.argpartition(times[often], len(often) - quota)[len(often) - quota :]]
+        often = np.flatnonzero(times >= pays)
         if not len(often):
             break
-        pairs = seen[edge[often]]
+        quota = min(free, max(2 * free // 3, ROOM // 4))
+        if len(often) > quota:
+            often = often[np.argpartition(times[often], len(often) - quota)[len(often) - quota :]]
+        pairs = seen[edge[np.sort(often)]]
         # a table finds a pair by its hash; of two pairs with one hash, one waits for the next round
+        spread = lambda k: (k * wide(0x9E3779B97F4A7C15 % (1 << 2 * width))) >> wide(2 * width - 20)  # noqa: B023, E731
         table = np.full(1 << 20, -1, np.int32)
-        spread = lambda k: (k * np.uint32(2654435769)) >> np.uint32(12)
         table[spread(pairs)] = np.arange(len(pairs))
         pairs = pairs[np.sort(table[table >= 0])]
         table[:] = -1
@@ -183,31 +238,37 @@ def re_pair(ids: np.ndarray, last: np.ndarray, base: int, rounds: int = ROUNDS)
         hit = pairs[which] == key[place]
         place, which = place[hit], which[hit]
         # in a run of places side by side, every second one stays
-        start = np.concatenate(([True], place[1:] != place[:-1] + 1)) if len(place) else np.zeros(0, bool)
-        first = np.maximum.accumulate(np.where(start, np.arange(len(place)), 0)) if len(place) else np.zeros(0, int)
-        even = (np.arange(len(place)) - first) % 2 == 0
-        place, which = place[even], which[even]
-        sym[place] = (base + len(lens) + which).astype(np.uint32)
+        start = np.flatnonzero(np.concatenate((np.ones(min(1, len(place)), bool), place[1:] != place[:-1] + 1)))
+        odd = (np.arange(len(place), dtype=np.int32) - np.repeat(start.astype(np.int32), np.diff(np.append(start, len(place))))) & 1
+        place, which = place[odd == 0], which[odd == 0]
+        # a pair that its neighbours took the places of makes no rule
+        used = np.bincount(which, minlength=len(pairs)) > 0
+        which, pairs = (np.cumsum(used) - 1)[which], pairs[used]
+        made = sum(map(len, lens))
+        sym[place] = (made + which).astype(kind)
         keep = np.ones(len(sym), bool)
         keep[place + 1] = False
         last[place] = last[place + 1]
         sym, last = sym[keep], last[keep]
-        left, right = (pairs >> np.uint32(16)).astype(np.int64), (pairs & np.uint32(0xFFFF)).astype(np.int64)
-        size = np.concatenate([np.ones(base, np.int64), np.array(lens, np.int64)])
-        rules.append(pairs)
-        lens.extend((size[left] + size[right]).tolist())
+        rules.append(np.stack([pairs >> wide(width), pairs & wide((1 << width) - 1)], axis=1).astype(kind))
+        size = np.concatenate(lens)
+        lens.append(size[rules[-1][:, 0]] + size[rules[-1][:, 1]])
         free -= len(pairs)
-    return sym.astype(np.uint16), last, (np.concatenate(rules) if rules else np.zeros(0, np.uint32)), np.array(lens, np.uint32)
+    return sym, last, (np.concatenate(rules) if rules else np.zeros((0, 2), kind)), np.concatenate([np.zeros(0, np.int64), *lens[1:]]).astype(np.uint32)
 
 
 def expansions(rules: np.ndarray, lens: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(flat ids, start, length) by symbol; nonterminals follow the vocabulary's own ids."""
-    parts: list[np.ndarray] = []
-    for pair in rules.tolist():
-        a, b = pair >> 16, pair & 0xFFFF
-        parts.append(np.concatenate([np.array([x], np.uint16) if x < base else parts[x - base] for x in (a, b)]))
-    size = np.concatenate([np.ones(base, np.int64), lens.astype(np.int64)])
-    return np.concatenate([np.arange(base, dtype=np.uint16), *parts]), np.cumsum(size) - size, size
+    flat, size = np.arange(base, dtype=rules.dtype), np.ones(base, np.int64)
+    most, done = rules.max(1, initial=0), 0
+    while done < len(rules):
+        # rules of one round use what rounds before made
+        ahead = np.flatnonzero(most[done:] >= len(size))
+        n = done + int(ahead[0]) if len(ahead) else len(rules)
+        flat = np.concatenate([flat, decode(rules[done:n].ravel(), (flat, np.cumsum(size) - size, size))])
+        size = np.concatenate([size, lens[done:n]])
+        done = n
+    return flat, np.cumsum(size) - size, size
 
 
 def decode(symbols: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
@@ -220,9 +281,12 @@ def decode(symbols: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray]
 def write_blocks(docs: DataFrame, path: str, tokenizer: str, text: str = "text", key: str = "doc_id", block: int = BLOCK) -> None:
     """Encode every whole text and write block rows under path, in ascending order of key."""
     spark = docs.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    dealt = dealt.repartitionByRange(n, "k").sortWithinPartitions("k", "t").select(F.spark_partition_id().alias("p"), "k", "t")
+    # the plan's own estimate: the size of the files behind it, without reading them
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = max(n, min(-(-size // TASK_BYTES), MORE_TASKS * n))
+    dealt = dealt.repartitionByRange(n, "k", F.substring("t", 1, PREFIX)).sortWithinPartitions("k", "t").select(F.spark_partition_id().alias("p"), "k", "t")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
@@ -234,7 +298,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, text: str = "text",
             last[np.cumsum(n_ids) - 1] = True
             sym, last, rules, lens = re_pair(np.concatenate(held), last, enc.vocab)
             n_sym = np.diff(np.concatenate(([0], np.flatnonzero(last) + 1)))
-            row = [part, seq, keys[0], int(n_ids.sum()), np.array([k or 0 for k in keys], "<i8").tobytes(), np.array([k is None for k in keys], "u1").tobytes(), n_sym.astype("<i8").tobytes(), n_ids.astype("<i8").tobytes(), rules.astype("<u4").tobytes(), lens.astype("<u4").tobytes(), sym.astype("<u2").tobytes(), enc.vocab]
+            row = [part, seq, keys[0], int(n_ids.sum()), np.array([k or 0 for k in keys], "<i8").tobytes(), np.array([k is None for k in keys], "u1").tobytes(), n_sym.astype("<i8").tobytes(), n_ids.astype("<i8").tobytes(), rules.tobytes(), lens.tobytes(), sym.tobytes(), enc.vocab]
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, TYPES, strict=True)], names=NAMES)
 
         for batch in batches:
@@ -274,10 +338,12 @@ def read_digest(blocks: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 get = lambda name, kind: np.frombuffer(row[name], kind)  # noqa: B023, E731
-                table = expansions(get("rules", "<u4"), get("expansions", "<u4"), row["base"])
-                n_sym, n_ids, symbols = get("doc_symbols", "<i8"), get("doc_tokens", "<i8"), get("symbols", "<u2")
-                at = np.cumsum(n_sym) - n_sym
-                crc = [zlib.crc32(decode(symbols[a : a + n], table).astype("<u4").tobytes()) for a, n in zip(at.tolist(), n_sym.tolist(), strict=True)]
+                kind = symbol_type(row["base"])
+                table = expansions(get("rules", kind).reshape(-1, 2), get("expansions", "<u4"), row["base"])
+                n_sym, n_ids, symbols = get("doc_symbols", "<i8"), get("doc_tokens", "<i8"), get("symbols", kind)
+                all_ids = memoryview(decode(symbols, table).astype("<u4")).cast("B")
+                ends = (4 * np.cumsum(n_ids)).tolist()
+                crc = [zlib.crc32(all_ids[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
                 ids = pa.array(get("doc_ids", "<i8"), mask=get("doc_nulls", "u1").astype(bool))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(row["start"] + np.cumsum(n_ids) - n_ids), pa.array(n_ids), pa.array(crc, pa.int64()), pa.array(n_sym)], names=["doc_id", "start", "n_tokens", "ids_crc32", "n_symbols"])
 
