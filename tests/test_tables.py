@@ -219,3 +219,19 @@ def test_whole_tables(spark, tmp_path):
     done = run("lay1_compaction")
     assert rows(done) == sorted(((k, int(d[:4]), int(d[5:7])) for k, d in orders), key=repr)
     assert len(done.inputFiles()) == len({d[:7] for _, d in orders}) > 12  # one file a month: none was left
+
+
+def test_swaps_cut_short_are_mended(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    spark.range(40).selectExpr("id", "2024 as year", "id % 2 + 1 as month").repartition(3).write.partitionBy("year", "month").parquet(path)
+    (tmp_path / "t/_old/year=2024").mkdir(parents=True)
+    (tmp_path / "t/year=2024/month=1").rename(tmp_path / "t/_old/year=2024/month=1")  # died between the renames
+    done = layout.compact_due(spark, path, "year", "month", "2024-06-01", ["id"])
+    assert [d[1:] for d in done] == [(20, 20)] * 2
+    assert rows(spark.read.parquet(path), "id") == [(k,) for k in sorted(range(40), key=lambda k: repr((k,)))]
+    states = {r["state"] for r in layout.compaction_states(spark, path, "year", "month", "2024-06-01").collect()}
+    assert states == {"done"}
+    layout.rewrite_months(spark.range(3).selectExpr("id", "timestamp'2024-01-01' as ts"), f"{tmp_path}/m", "ts", ["id"])
+    (tmp_path / "m/table").rename(tmp_path / "m/_old")
+    layout.rewrite_months(spark.range(5).selectExpr("id", "timestamp'2024-01-01' as ts"), f"{tmp_path}/m", "ts", ["id"])
+    assert spark.read.parquet(f"{tmp_path}/m/table").count() == 5

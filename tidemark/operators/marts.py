@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import exprs as X
-from tidemark.operators.runs import with_previous
+from tidemark.operators.runs import percent_rank, with_previous
+from tidemark.sources.scratch import written
 
 
 def active_models(tracked: DataFrame, configs: DataFrame, config: str = "search_key", enabled: str = "enabled", group: Sequence[str] = ("make", "model")) -> DataFrame:
@@ -33,12 +34,13 @@ def volatility_features(
     """One row a key, of its open run, as of an instant.
 
     obs and events are cut at the instant here; history, bench and the runs should have been made from
-    inputs cut at it (cut_at does that), else they look ahead.
+    inputs cut at it (cut_at does that), else they look ahead. Runs with their metadata, which five parts
+    of the result read, are written to the checkpoint folder first.
     """
     at = X.as_of(as_of)
     seen = obs.filter(F.col(ts) <= at)
     meta = seen.filter((F.col(source) == main) & F.col(key).isNotNull()).groupBy(key, listing).agg(*[X.latest(c, ts, tie).alias(c) for c in (dealer, *group)])
-    rows = state_runs.join(meta, [key, listing], "left")
+    rows = written(state_runs.join(meta, [key, listing], "left"), "runs")
     stats = rows.groupBy(key).agg((F.count("*") - 1).alias("total_state_changes"), F.count_distinct(listing).alias("listing_id_change_count"), F.min("run_started_at").alias("first_seen_at"), F.max("run_ended_at").alias("latest_fetched_at"))
     turned = with_previous(rows, key, ["run_started_at", fingerprint], state, "prev")
     turned = turned.groupBy(key).agg(F.count_if(F.col(state) != F.col("prev")).alias("listing_state_change_count"))
@@ -85,10 +87,14 @@ def newest_state(obs: DataFrame, key: str, state: str, source: str, ts: str, tie
     return obs.filter(F.col(key).isNotNull()).groupBy(key).agg(X.latest_row([state, source], ts, tie).alias("r")).select(key, F.col(f"r.c_{state}").alias("newest_state"), F.col(f"r.c_{source}").alias("newest_source"))
 
 
-def vehicle_snapshot(latest: DataFrame, history: DataFrame, newest: DataFrame, active: DataFrame | None, as_of: str, *, key: str = "vin17", history_key: str = "vin", group: Sequence[str] = ("make", "model"), main: str = "detail", fresh: str = "7 DAYS") -> DataFrame:
-    """Current state of every key: the main source's own state if its row is the newest, else by price age."""
+def vehicle_snapshot(latest: DataFrame, history: DataFrame, newest: DataFrame | None, active: DataFrame | None, as_of: str, *, key: str = "vin17", history_key: str = "vin", group: Sequence[str] = ("make", "model"), main: str = "detail", fresh: str = "7 DAYS") -> DataFrame:
+    """Current state of every key: the main source's own state if its row is the newest, else by price age.
+
+    newest has newest_state and newest_source by key; it is None where history has these columns itself.
+    """
     h = history.withColumnRenamed(history_key, "__k").withColumnRenamed("current_price", "price")
-    out = latest.join(h, F.col(key) == F.col("__k"), "left").drop("__k").join(newest, key, "left")
+    out = latest.join(h, F.col(key) == F.col("__k"), "left").drop("__k")
+    out = out if newest is None else out.join(newest, key, "left")
     if active is not None:
         a = active.select(*[F.col(g).alias(f"__{g}") for g in group])
         on = [F.lower(F.col(g)) == F.col(f"__{g}") for g in group]
@@ -109,7 +115,7 @@ def deal_scores(snapshot: DataFrame, bench: DataFrame, dealers: DataFrame | None
     over nulls; 0 is what a reader would expect. The price percentile is taken among all priced keys.
     """
     priced = snapshot.filter(F.col(price) > 0)
-    ranked = priced.withColumn("__pctl", F.percent_rank().over(W.partitionBy(*group).orderBy(price)))
+    ranked = percent_rank(priced, group, price, "__pctl")
     depth = snapshot.filter((F.col("current_state") == "active") & F.col(dealer).isNotNull()).groupBy(dealer, *group).agg(F.count("*").alias("dealer_inventory_count"))
     v = ranked.filter(F.col("current_state") == "active").join(bench, list(group), "left").join(depth, [dealer, *group], "left")
     if dealers is not None:

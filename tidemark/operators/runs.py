@@ -42,11 +42,15 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str | Column], value:
     return df.withColumn(name, F.lag(value).over(W.partitionBy(key).orderBy(*[X.col(o) for o in order])))
 
 
-def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str) -> DataFrame:
-    """One row a key: current, first, least and greatest price, counts of events, drops and rises."""
-    rows = with_previous(events.select(key, price, ts, tie), key, [ts, tie], price, "prev")
+def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str, newest: Sequence[str] = ()) -> DataFrame:
+    """One row a key: current, first, least and greatest price, counts of events, drops and rises.
+
+    The `newest` columns come from the key's newest row, as newest_<name>.
+    """
+    rows = with_previous(events.select(key, price, ts, tie, *newest), key, [ts, tie], price, "prev")
     p = F.col(price)
-    return rows.groupBy(key).agg(
+    last = [X.latest_row(list(newest), ts, tie).alias("__last")] if newest else []
+    out = rows.groupBy(key).agg(
         X.latest(price, ts, tie).alias("current_price"),
         F.max(F.when(p.isNotNull(), F.col(ts))).alias("price_observed_at"),
         X.earliest(price, ts, tie).alias("first_price"),
@@ -57,7 +61,21 @@ def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str) ->
         F.count_if(p > F.col("prev")).alias("price_increase_count"),
         F.min(ts).alias("first_seen_at"),
         F.max(ts).alias("last_seen_at"),
+        *last,
     )
+    return out.select("*", *[F.col(f"__last.c_{c}").alias(f"newest_{c}") for c in newest]).drop("__last")
+
+
+def percent_rank(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
+    """percent_rank() of value, not null, within its group: ranked are a group's distinct values with their counts."""
+    counts = df.groupBy(*group, value).agg(F.count("*").alias("__n"))
+    w = W.partitionBy(*group)
+    below, all_ = F.sum("__n").over(w.orderBy(value)) - F.col("__n"), F.sum("__n").over(w)
+    ranks = counts.select(*[F.col(c).alias(f"__{c}") for c in (*group, value)], F.when(all_ > 1, below / (all_ - 1)).otherwise(0.0).alias(name))
+    on = F.col(value) == F.col(f"__{value}")
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"__{g}"))
+    return df.join(ranks, on).drop(*[f"__{c}" for c in (*group, value)])
 
 
 def benchmarks(latest: DataFrame, history: DataFrame, key: str, history_key: str, group: Sequence[str], list_price: str, discount: str = "decimal(5,2)") -> DataFrame:

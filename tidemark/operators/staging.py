@@ -6,8 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tidemark.functions import exprs as X
+from tidemark.sources.scratch import written
 
 
 def project(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
@@ -138,9 +140,19 @@ def page_of(df: DataFrame, order: Sequence[Column | str], offset: int, n: int) -
     return df.orderBy(*order).offset(offset).limit(n)
 
 
-def every_nth(df: DataFrame, key: str, n: int) -> DataFrame:
-    """A systematic sample: about every n-th row, by the key's hash, so no global order is needed."""
-    return df.filter(F.pmod(F.xxhash64(key), F.lit(n)) == 0)
+def every_nth(df: DataFrame, order: Sequence[str], n: int, start: int = 0) -> DataFrame:
+    """A systematic sample: rows start, start + n, start + 2 n, ... of df in the given order.
+
+    No task sees all rows: they are sorted by ranges and written, each range is counted, and a row's
+    number is its place in its range plus the rows of the ranges before (one count a range).
+    """
+    at = written(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("__at", 33)
+    counts = at.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = counts.select("__part", (F.sum("__n").over(W.orderBy("__part")) - F.col("__n")).alias("__before"))
+    number = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = at.withColumn("__part", part).join(before, "__part")
+    return rows.filter((number >= start) & (F.pmod(number - start, F.lit(n)) == 0)).select(*df.columns)
 
 
 def bernoulli(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:

@@ -180,6 +180,20 @@ def st4(t):
     return t.spark.read.parquet(out)
 
 
+@query("st6_change_events", "SELECT CAST(user_id AS VARCHAR) AS key, ts, p AS before, event_type AS after, 'changed' AS kind FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS p FROM events) WHERE p <> event_type")
+def st6(t):
+    """Changes of each user's event type, from the events as a stream."""
+    out, name = folder(t, "changes"), "spark.sql.streaming.stateStore.providerClass"
+    before = t.spark.conf.get(name)
+    t.spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        rows = streams.change_events(stream_of(t), "user_id", "ts", "event_type")
+        rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", folder(t, "ck")).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        t.spark.conf.set(name, before)
+    return t.spark.read.parquet(out)
+
+
 @query("st5_fold_stream", B.with_sql(B.OBS, M.VOLUME) + "SELECT * FROM volume")
 def st5(t):
     """Micro-batches through the same hour-window recomputation that batch jobs use."""

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from tidemark.functions import exprs as X
 from tidemark.operators import marts, runs, staging
 from tidemark.plans.registry import SHIP_END, Tables
+from tidemark.sources.scratch import written
 
 PRIORITY = ("purchase", "click")
 
@@ -72,12 +73,10 @@ BENCH = """bench AS (SELECT make, model, count(*) AS national_listing_count, CAS
 
 
 def part_snapshot(t: Tables) -> DataFrame:
-    """Parts with prices, state and dealer, all models being active."""
-    s = sales(t)
-    newest = marts.newest_state(s.withColumnRenamed("vin", "vin17"), "vin17", "listing_state", "source", "ts", "tie")
-    dealer = s.groupBy("vin").agg(X.latest("customer_id", "ts", "tie").alias("customer_id"))
-    latest = parts(t).join(dealer, F.col("vin17") == F.col("vin"), "left").drop("vin")
-    return marts.vehicle_snapshot(latest, sales_history(t), newest, None, SHIP_END, fresh="90 DAYS")
+    """Parts with prices, state and dealer, all models being active: one scan of the line items."""
+    h = runs.price_history(sales(t), "vin", "price", "ts", "tie", newest=["listing_state", "source", "customer_id"])
+    h = h.withColumnsRenamed({"newest_listing_state": "newest_state", "newest_customer_id": "customer_id"})
+    return marts.vehicle_snapshot(parts(t), h, None, None, SHIP_END, fresh="90 DAYS")
 
 
 SNAPSHOT = f"""newest AS (SELECT vin AS nv, arg_max(listing_state, (ts, tie)) AS ns, arg_max(source, (ts, tie)) AS nsrc, arg_max(customer_id, (ts, tie)) AS customer_id FROM sales GROUP BY vin),
@@ -92,7 +91,10 @@ def dealer_names(t: Tables) -> DataFrame:
 
 
 def part_deals(t: Tables) -> DataFrame:
-    return marts.deal_scores(part_snapshot(t), part_benchmarks(t), dealer_names(t))
+    snapshot = written(part_snapshot(t), "snapshot")
+    history = snapshot.select(F.col("vin17").alias("vin"), F.col("price").alias("current_price"))
+    bench = runs.benchmarks(parts(t), history, "vin17", "vin", ["make", "model"], "msrp", "decimal(12,2)")
+    return marts.deal_scores(snapshot, bench, dealer_names(t))
 
 
 DEALS = """ranked AS (SELECT *, percent_rank() OVER (PARTITION BY make, model ORDER BY price) AS pctl FROM snapshot WHERE price > 0),

@@ -157,6 +157,43 @@ def px2(t):
     return pages.parsed(t.pages, "page_id", "html").select("page_id", F.col("n_links").cast("long").alias("n_links"))
 
 
+def listing_pages(t):
+    """Parts as listing pages: a result card and a broken one, the detail's data and dealer, a carousel card."""
+    price = F.concat(F.lit("$"), F.format_number(F.floor("p_retailprice"), 0))
+    card = F.to_json(F.struct(F.concat(F.lit("L"), "p_partkey").alias("listingId"), F.col("p_brand").alias("make"), F.col("p_type").alias("model"), price.alias("price"), F.struct(F.lpad(F.pmod("p_partkey", F.lit(100000)).cast("string"), 5, "0").alias("zip")).alias("seller"), F.struct(F.col("p_size").alias("page_number")).alias("metadata")))
+    data = F.to_json(F.struct(F.concat(F.lit("L"), "p_partkey").alias("listing_id"), F.col("p_brand").alias("make"), F.col("p_name").alias("model"), price.alias("price"), F.format_number("p_size", 0).alias("mileage")))
+    page = F.concat(
+        F.lit("<html><head><title>"), "p_name", F.lit('</title><script id="vehicle-json" type="application/json">'), data, F.lit("</script></head><body><div data-vehicle-details='"), card, F.lit("'></div><div data-vehicle-details='{broken'></div>"),
+        F.lit('<span data-part="name">'), "p_type", F.lit('</span><p data-part="address">'), F.col("p_partkey").cast("string"), F.lit(" Main St, Austin, TX "), F.lpad(F.pmod("p_partkey", F.lit(100000)).cast("string"), 5, "0"),
+        F.lit('</p><div data-listing-id="C'), F.col("p_partkey").cast("string"), F.lit('">Used '), (F.col("p_size") + 1950).cast("string"), F.lit(" "), "p_brand", F.lit(" <b>"), price, F.lit("</b> "), F.col("p_size").cast("string"), F.lit(" mi.</div></body></html>"),
+    )
+    return pages.parsed(t.part.select("p_partkey", page.alias("html")), "p_partkey", "html")
+
+
+DOLLARS = "CAST(floor(p_retailprice) AS INT)"
+ZIP = "lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0')"
+
+
+@query("px1_result_cards", f"SELECT p_partkey, 'L' || p_partkey AS listing_id, p_brand AS make, p_type AS model, {DOLLARS} AS price, {ZIP} AS seller_zip, CAST(p_size AS INT) AS page_number FROM part")
+def px1_cards(t):
+    return pages.card_rows(listing_pages(t), "p_partkey").select("p_partkey", "listing_id", "make", "model", "price", "seller_zip", "page_number")
+
+
+@query("px1_card_counts", "SELECT p_partkey, 2 AS cards_found, 1 AS cards_read, 1 AS cards_failed FROM part")
+def px1_counts(t):
+    return pages.card_counts(listing_pages(t), "p_partkey")
+
+
+@query("px2_detail_pages", f"SELECT p_partkey, 'active' AS page_state, 'L' || p_partkey AS listing_id, p_brand AS make, p_name AS model, {DOLLARS} AS price, CAST(p_size AS INT) AS mileage, p_type AS dealer_name, p_partkey || ' Main St' AS dealer_street, 'Austin' AS dealer_city, 'TX' AS dealer_state, {ZIP} AS dealer_zip FROM part")
+def px2_details(t):
+    return pages.detail_rows(listing_pages(t), "p_partkey").drop("vin", "has_phone")
+
+
+@query("px3_carousel", f"SELECT p_partkey, 'C' || p_partkey AS listing_id, {DOLLARS} AS price, CAST(p_size AS INT) AS mileage, 'used' AS condition, CAST(p_size + 1950 AS INT) AS year, p_brand AS body FROM part")
+def px3_carousel(t):
+    return pages.carousel_rows(listing_pages(t), "p_partkey")
+
+
 # sinks, layout and streams: each writes a table in the shared folder and reads it back
 
 

@@ -134,9 +134,10 @@ def sl7(t):
     return staging.page_of(t.customer, [F.desc("c_acctbal"), "c_custkey"], 100, 25).select("c_custkey")
 
 
-@query("sl8_systematic_sample")
+@query("sl8_systematic_sample", "SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem QUALIFY (row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_suppkey) - 1) % 10 = 0")
 def sl8(t):
-    return staging.every_nth(t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey"), "l_orderkey", 10)
+    columns = ["l_orderkey", "l_linenumber", "l_suppkey"]
+    return staging.every_nth(t.lineitem.select(*columns), columns, 10)
 
 
 @query("wn10_novelty", "SELECT user_id, d AS step, n AS new, avg(n) OVER w AS avg_new, count(n) OVER w = 5 AND avg(n) OVER w < 2.0 AS should_stop FROM (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1, 2) WINDOW w AS (PARTITION BY user_id ORDER BY d ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)")

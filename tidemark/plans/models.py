@@ -8,6 +8,7 @@ from tidemark.functions import exprs as X
 from tidemark.operators import marts, runs, staging, state
 from tidemark.plans import bindings as B
 from tidemark.plans.registry import EVENTS_END, ORDERS_END, SHIP_END, query
+from tidemark.sources.scratch import written
 
 # staging
 
@@ -149,9 +150,9 @@ def m9(t):
     """Parts as listings: runs of their state, all inputs cut at the instant."""
     at = M9_AT
     obs = marts.cut_at(B.sales(t), "ts", at).withColumnRenamed("vin", "vin17").withColumn("listing_id", F.col("vin17") * 1)
-    obs = obs.join(B.parts(t).select("vin17", "make", "model"), "vin17").withColumn("fingerprint", X.fingerprint(["listing_state"]))
+    obs = written(obs.join(B.parts(t).select("vin17", "make", "model"), "vin17").withColumn("fingerprint", X.fingerprint(["listing_state"])), "observations")
     events = obs.select(F.col("vin17").alias("vin"), "price", "ts", "tie")
-    history = runs.price_history(events, "vin", "price", "ts", "tie")
+    history = written(runs.price_history(events, "vin", "price", "ts", "tie"), "history")
     bench = runs.benchmarks(B.parts(t), history, "vin17", "vin", ["make", "model"], "msrp", "decimal(12,2)")
     state_runs = runs.runs(obs.filter("source = 'detail'"), "vin17", ["ts", "tie"], ["fingerprint", "listing_state"], first=["listing_id"])
     source_runs = runs.runs(obs, "listing_id", ["ts", "tie"], "listing_state", sources={"detail": F.col("source") == "detail", "srp": F.col("source") == "srp"})

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 _OWN: dict[str, str] = {}
@@ -23,3 +24,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(path)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a Parquet table in the checkpoint folder: what several parts of a plan read is computed once."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

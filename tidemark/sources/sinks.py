@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from tidemark.sources.scratch import ensure_checkpoint_dir
 
+#: Rows of an exported file at most.
+FILE_ROWS = 2_000_000
+
 
 def stamped(obs: DataFrame, now: str | None = None) -> DataFrame:
     """Observations as they are stored: written_at, year, month and day of fetched_at or else written_at,
@@ -61,12 +64,15 @@ def content_hash(df: DataFrame) -> DataFrame:
 
 def export(tables: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]], path: str) -> DataFrame:
     """Write tables (frame, partition columns, sort columns) to a new generation folder, and a manifest
-    of rows, content hash, files and SHA-256 of each file's bytes. An existing folder is refused."""
+    of rows, content hash, files and SHA-256 of each file's bytes. An existing folder is refused.
+
+    A partition of many rows is split over tasks by the adaptive rebalance, and a file holds FILE_ROWS
+    rows at most, so that one file's bytes fit in the task that hashes them."""
     manifest = None
     for name, (df, parts, sort) in tables.items():
-        rows = df.repartition(*parts) if parts else df
+        rows = df.hint("rebalance", *parts) if parts else df
         rows = rows.sortWithinPartitions(*parts, *sort)
-        writer = rows.write.mode("error").option("compression", "zstd")
+        writer = rows.write.mode("error").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS)
         (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{name}")
         spark = df.sparkSession
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{path}/{name}")
@@ -115,7 +121,8 @@ def reconstruct_unlisted(queue_events: DataFrame, mapping_events: DataFrame, pri
 
 def replace_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str, buckets: int = 64) -> None:
     """Replace the batch's keys in a Parquet table laid out by hash bucket of the key: only buckets that
-    the batch touches are read and written again (dynamic partition overwrite)."""
+    the batch touches are read and written again (dynamic partition overwrite). A table keeps its number
+    of buckets: take one for each few GB that it will hold; a bucket itself is split over tasks."""
     rows = batch.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
     try:
         there = spark.read.parquet(path)
@@ -129,7 +136,7 @@ def replace_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str, b
         keys = rows.select(F.col(key).alias("__k")).distinct()
         old = there.join(F.broadcast(touched), "bucket", "left_semi").join(keys, F.col(key).eqNullSafe(F.col("__k")), "left_anti")
         rows = old.select(*rows.columns).unionByName(rows).checkpoint()  # read before its folders are replaced
-    rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("bucket").parquet(path)
+    rows.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("bucket").parquet(path)
 
 
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
