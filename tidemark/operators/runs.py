@@ -23,6 +23,12 @@ def top_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column]
     return out if rank else out.drop(name)
 
 
+def least_values(df: DataFrame, group: str, value: str, n: int, name: str) -> DataFrame:
+    """The n least distinct values of each group, sorted; each task passes on n of a group at most."""
+    top = top_per_key(df.select(group, value).distinct(), group, [F.col(value).asc_nulls_last()], n)
+    return top.groupBy(group).agg(F.sort_array(F.collect_list(value)).alias(name))
+
+
 def latest_observation(obs: DataFrame, key: str, source: str, priority: Sequence[str], ts: str, tie: str, required: str | None = None) -> DataFrame:
     """The best row of every key: source by priority, then the newest, then the greatest tie column.
 
