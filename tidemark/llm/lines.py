@@ -5,13 +5,15 @@ or more along some chain of lines, form a component; of each component the first
 order of doc_id and line number. BANDS bands of ROWS minima find a pair of similarity 0.8 with
 probability 0.998; every pair found is verified on the lines themselves.
 
-A bucket of a band is never gathered: its lines are first paired with its smallest line only. Those that
-verification refuses are then compared with the whole bucket, in tiles of TILE by TILE lines, and a tile
-gives a spanning forest of its links. So no link that banding finds is lost to a bucket's size, and no
-task holds a bucket.
+Lines are hashed where they are read, so only hashes are shuffled to find the distinct ones. A bucket of
+a band is never gathered: each line first meets its bucket's smallest one only. Once the components of
+these links are known, only buckets of several components are left, and there only lines outside the
+smallest line's component meet the others, in tiles of TILE by TILE lines. A tile gives a spanning forest
+of its links between components. So no link that banding finds is lost to a bucket's size, and no task
+holds a bucket.
 
-The shingles are hashed by numpy in Arrow batches: shingling by SQL functions alone took longer than
-this operator's whole time limit (README).
+The shingles are hashed by numpy in Arrow batches: the same steps as SQL functions went over this
+operator's limits (README has the figures).
 
 Defined results: lines end at \\n; a line without a visible character always stays; a shorter line than a
 shingle is one shingle; a null text has no lines; equal rows (doc_id and text) are judged alike, and
@@ -24,99 +26,90 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NONSPACE, components, cut
+from tidemark.llm.common import NONSPACE, components, cut, discard
+from tidemark.llm.minhash import BANDS, MIX, band_keys
+from tidemark.llm.tiles import forest, tile_rows, tiled
 
 SHINGLE = 8
-BANDS, ROWS = 12, 4
 #: Similarity in tenths.
 THRESHOLD = 8
-TILE = 128
-#: Shingles hashed at once.
-BLOCK = 1 << 16
-SEEDS = np.random.default_rng(7).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint32)
-ODD, FLIP = SEEDS[0] | np.uint32(1), SEEDS[1]
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Pairs verified at once, columns of a tile's matrix at once, and shingles from which a tile goes pair by pair.
+PAIRS = 256
+COLUMNS = 1 << 15
+LARGE = 1 << 22
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """(lines, BANDS) 64-bit keys; equal keys of one band are a candidate."""
+def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts): 64-bit hashes of all shingles, line by line, and how many each line has."""
     codes = np.frombuffer("".join(x if len(x) >= SHINGLE else x + "\0" * (SHINGLE - len(x)) for x in lines).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     size = np.maximum(np.fromiter(map(len, lines), np.int64, len(lines)), SHINGLE)
     h, m = (codes + np.uint64(1)) * MIX, 1
     while m < SHINGLE:
         h = h[:-m] * np.uint64(pow(int(MIX), m, 1 << 64)) + h[m:]
         m *= 2
-    n = size - SHINGLE + 1
     own = np.ones(len(codes), bool)  # shingles that lie in one line
     ends = np.cumsum(size)
     for k in range(1, SHINGLE):
         own[ends - k] = False
-    mixed = ((h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)
-    v = mixed.astype(np.uint32)[own[: len(mixed)]]
-    least = np.empty((BANDS * ROWS, len(lines)), np.uint32)
-    start = np.cumsum(n) - n
-    a = 0
-    while a < len(lines):
-        b = max(a + 1, int(np.searchsorted(start, start[a] + BLOCK)))
-        part = v[start[a] : start[b] if b < len(lines) else len(v)]
-        for k in range(BANDS * ROWS):
-            least[k, a:b] = np.minimum.reduceat((part ^ FLIP[k]) * ODD[k], start[a:b] - start[a])
-        a = b
-    keys = np.empty((len(lines), BANDS), np.uint64)
-    for k in range(BANDS):
-        x = np.full(len(lines), k + 1, np.uint64)
-        for r in range(ROWS):
-            x = (x ^ least[k * ROWS + r]) * MIX
-            x ^= x >> np.uint64(29)
-        keys[:, k] = x
-    return keys
-
-
-def shingle_set(line: str) -> set[str]:
-    return {line[i : i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
-
-
-def similar(a: set[str], b: set[str]) -> bool:
-    if 10 * min(len(a), len(b)) < THRESHOLD * max(len(a), len(b)):
-        return False
-    both = len(a & b)
-    return 10 * both >= THRESHOLD * (len(a) + len(b) - both)
-
-
-def tile_links(left: list[tuple[int, str]], right: list[tuple[int, str]]) -> list[tuple[int, int]]:
-    """Links between two tiles of a bucket that connect what all similar pairs would."""
-    sets = {i: shingle_set(t) for i, t in [*left, *right]}
-    number: dict[str, int] = {}
-    for s in sets.values():
-        for x in s:
-            number.setdefault(x, len(number))
-
-    def matrix(rows: list[tuple[int, str]]) -> np.ndarray:
-        out = np.zeros((len(rows), len(number)), np.float32)
-        for k, (i, _) in enumerate(rows):
-            out[k, [number[x] for x in sets[i]]] = 1
-        return out
-
-    both = (matrix(left) @ matrix(right).T).astype(np.int64)
-    a, b = (np.array([len(sets[i]) for i, _ in rows]) for rows in (left, right))
-    hit = 10 * both >= THRESHOLD * (a[:, None] + b[None, :] - both)
-    parent = {i: i for i in sets}
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    out = []
-    for x, y in zip(*np.nonzero(hit), strict=True):
-        i, j = find(left[x][0]), find(right[y][0])
-        if i != j:
-            parent[max(i, j)] = min(i, j)
-            out.append((left[x][0], right[y][0]))
-    return out
+    h = h[own[: len(h)]]
+    return (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93), size - SHINGLE + 1
+
+
+def distinct_of(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct keys of row number and 48 bits of hash."""
+    key = np.sort((rows.astype(np.uint64) << np.uint64(48)) | (hashes >> np.uint64(16)))
+    return key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
+
+
+def similar(left: list[str], right: list[str]) -> np.ndarray:
+    """Whether the lines of each pair are similar."""
+    out = [np.zeros(0, bool)]
+    for at in range(0, len(left), PAIRS):
+        n = min(PAIRS, len(left) - at)
+        sets = []
+        for part in (left[at : at + n], right[at : at + n]):
+            v, count = line_shingles(part)
+            sets.append(distinct_of(np.repeat(np.arange(n), count), v))
+        a, b = (np.bincount((s >> np.uint64(48)).astype(np.int64), minlength=n) for s in sets)
+        all_keys = np.sort(np.concatenate(sets))
+        twice = all_keys[1:][all_keys[1:] == all_keys[:-1]]
+        both = np.bincount((twice >> np.uint64(48)).astype(np.int64), minlength=n)
+        out.append(10 * both >= THRESHOLD * (a + b - both))
+    return np.concatenate(out)
+
+
+def similar_of_tile(left: list[str], right: list[str]) -> np.ndarray:
+    """(left, right) similarity verdicts, by products of 0/1 matrices over some shingles at a time."""
+    lines = left + right
+    v, count = line_shingles(lines)
+    number = np.unique(v, return_inverse=True)[1]
+    order = np.argsort(number, kind="stable")
+    rows, number = np.repeat(np.arange(len(lines)), count)[order], number[order]
+    both, size = np.zeros((len(left), len(right)), np.float32), np.zeros(len(lines), np.float32)
+    for at in range(0, int(number[-1]) + 1, COLUMNS):
+        x, y = np.searchsorted(number, [at, at + COLUMNS])
+        m = np.zeros((len(lines), min(COLUMNS, int(number[-1]) + 1 - at)), np.float32)
+        m[rows[x:y], number[x:y] - at] = 1
+        both += m[: len(left)] @ m[len(left) :].T
+        size += m.sum(1)
+    a, b = size[: len(left), None], size[None, len(left) :]
+    return 10 * both >= THRESHOLD * (a + b - both)
+
+
+def tile_links(left: list[tuple[int, int, str]], right: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Links between (component, id, line) of two tiles that connect the components that all similar pairs would."""
+    apart = np.array([x[0] for x in left])[:, None] != np.array([x[0] for x in right])[None, :]
+    s, t = [x[2] for x in left], [x[2] for x in right]
+    if sum(map(len, s)) + sum(map(len, t)) <= LARGE:
+        x, y = np.nonzero(similar_of_tile(s, t) & apart)
+    else:
+        x, y = np.nonzero(apart)
+        ok = np.array([similar([s[i]], [t[j]])[0] for i, j in zip(x, y, strict=True)], bool)
+        x, y = x[ok], y[ok]
+    return forest(x, y, left, right)
 
 
 def exploded(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -125,94 +118,71 @@ def exploded(docs: DataFrame, text: str, key: str) -> DataFrame:
     return rows.filter(F.col("line").rlike(NONSPACE))
 
 
-def hashed(rows: DataFrame) -> DataFrame:
-    return rows.select("doc_id", "mark", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+def hashes(line: str) -> tuple[Column, Column]:
+    return F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")
+
 
+def signatures(rows: DataFrame) -> DataFrame:
+    """(place, h1, h2, keys) of lines (doc_id, mark, line_no, line)."""
 
-def with_bands(rows: DataFrame) -> DataFrame:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                keys = band_keys(batch.column(5).to_pylist()).view(np.int64)
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                v, count = line_shingles(part.column(5).to_pylist())
+                keys = band_keys((v >> np.uint64(32)).astype(np.uint32), np.cumsum(count) - count).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:5], lists], names=["doc_id", "mark", "line_no", "h1", "h2", "keys"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], lists], names=["doc_id", "mark", "line_no", "h1", "h2", "keys"])
 
-    given = rows.select("doc_id", "mark", "line_no", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), "line")
-    return given.mapInArrow(each, "doc_id long, mark long, line_no int, h1 long, h2 long, keys array<long>")
+    given = rows.select("doc_id", "mark", "line_no", *hashes("line"), "line")
+    out = given.mapInArrow(each, "doc_id long, mark long, line_no int, h1 long, h2 long, keys array<long>")
+    return out.select(F.struct("doc_id", "mark", "line_no").alias("place"), "h1", "h2", "keys")
 
 
-def verified(pairs: DataFrame) -> DataFrame:
-    """(a, b, ok) of (a, b, s, t): are the lines s and t similar?"""
+def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """(a, b, ok) of (a, b): are the lines of the two ids similar? lines has (id, line)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = [similar(shingle_set(s), shingle_set(t)) for s, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            ok = similar(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
-    return pairs.select("a", "b", "s", "t").mapInArrow(each, "a long, b long, ok boolean")
-
-
-def tiled(rest: DataFrame) -> DataFrame:
-    """(a, b) links of rows (bucket, i, j, side, id, line), each tile pair's rows in one task."""
-
-    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, sides = None, ([], [])
-
-        def links() -> pa.RecordBatch:
-            out = tile_links(*sides) if all(sides) else []
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-        for batch in batches:
-            for bucket, i, j, side, k, line in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (bucket, i, j) != now:
-                    yield links()
-                    now, sides = (bucket, i, j), ([], [])
-                sides[side].append((k, line))
-        yield links()
-
-    rest = rest.select("bucket", "i", "j", "side", "id", "line").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return rest.mapInArrow(each, "a long, b long")
+    of = lambda c, t: lines.select(F.col("id").alias(c), F.col("line").alias(t))
+    return pairs.join(of("a", "s"), "a").join(of("b", "t"), "b").select("a", "b", "s", "t").mapInArrow(each, "a long, b long, ok boolean")
 
 
 def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(h1, h2, n, keep): each distinct line, its count, and its component's first place."""
-    place = F.struct("doc_id", "mark", "line_no")
-    distinct = with_bands(exploded(docs, text, key)).groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("n"), F.any_value("keys").alias("keys"))
+    """(h1, h2, keep): each line that repeats or is similar to another, and its component's first place."""
+    rows = exploded(docs, text, key)
+    distinct = signatures(rows).groupBy("h1", "h2").agg(F.min("place").alias("place"), F.count("*").alias("n"), F.any_value("keys").alias("keys"))
     distinct = cut(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     member = distinct.select("id", F.explode("keys").alias("bucket"))
-    buckets = member.groupBy("bucket").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1")
+    buckets = cut(member.groupBy("bucket").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1"), "buckets")
     member = cut(member.join(buckets, "bucket"), "members")
-    involved = member.select("id").distinct().join(distinct.select("id", "place"), "id").select("id", "place.*")
-    involved = involved.select("id", F.col("doc_id").alias("d"), F.col("mark").alias("m"), F.col("line_no").alias("l"))
-    text_of = exploded(docs, text, key).join(involved, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("line_no") == F.col("l"))).select("id", "line")
-    text_of = cut(text_of.dropDuplicates(["id"]), "line-texts")
-    star = member.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
-    star = star.join(text_of.select(F.col("id").alias("a"), F.col("line").alias("s")), "a").join(text_of.select(F.col("id").alias("b"), F.col("line").alias("t")), "b")
-    star = cut(verified(star), "star")
-    # what its bucket's smallest line refused, against the bucket's other lines
-    refused = member.filter("n > 2").join(star.filter("not ok"), (F.col("id") == F.col("a")) & (F.col("low") == F.col("b")), "left_semi")
-    open_ = cut(refused.groupBy("bucket").agg(F.count("*").alias("u")), "open")
-    part = lambda rows: F.pmod(F.xxhash64("id"), F.ceil(rows / TILE)).cast("int")
-    tiles = lambda rows: F.explode(F.sequence(F.lit(0), (F.ceil(rows / TILE) - 1).cast("int")))
-    one = refused.join(open_, "bucket").select("bucket", part(F.col("u")).alias("i"), tiles(F.col("n")).alias("j"), F.lit(0).alias("side"), "id")
-    other = member.filter("id <> low").join(open_, "bucket").select("bucket", tiles(F.col("u")).alias("i"), part(F.col("n")).alias("j"), F.lit(1).alias("side"), "id")
-    rest = tiled(one.union(other).join(text_of, "id"))
-    edges = cut(star.filter("ok").select("a", "b").union(rest).distinct(), "edges")
-    nodes = distinct.select(F.col("id").alias("node"))
-    classes = components(nodes.join(edges.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node"), edges, "line-links")
-    placed = classes.join(distinct.select(F.col("id").alias("node"), "place"), "node")
-    first = placed.groupBy("component").agg(F.min("place").alias("keep"))
-    fuzzy = classes.join(first, "component").select(F.col("node").alias("id"), "keep")
-    out = distinct.join(fuzzy, "id", "left").select("h1", "h2", "n", F.coalesce("keep", "place").alias("keep"))
+    nodes = cut(member.select(F.col("id").alias("node")).distinct(), "nodes")
+    at = distinct.join(nodes, F.col("id") == F.col("node"), "left_semi").select("id", F.col("place.doc_id").alias("d"), F.col("place.mark").alias("m"), F.col("place.line_no").alias("l"))
+    lines = rows.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("line_no") == F.col("l"))).select("id", "line")
+    lines = cut(lines.dropDuplicates(["id"]), "lines")
+    pairs = member.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
+    edges = cut(verified(pairs, lines).filter("ok").select("a", "b"), "star")
+    known = cut(components(nodes, edges, "line-links"), "components")
+    placed = cut(member.join(known.withColumnRenamed("node", "id"), "id"), "placed")
+    more = cut(tiled(tile_rows(placed, known).join(lines.withColumnRenamed("line", "text"), "id"), tile_links).distinct(), "more")
+    if not more.isEmpty():
+        known = cut(components(nodes, edges.union(more), "line-links"), "components")
+    first = known.join(distinct.select(F.col("id").alias("node"), "place"), "node").groupBy("component").agg(F.min("place").alias("keep"))
+    fuzzy = known.join(first, "component").select(F.col("node").alias("id"), "keep")
+    known_as = distinct.select("h1", "h2", "n", "id", "place").join(fuzzy, "id", "left").select("h1", "h2", "n", "place", F.coalesce("keep", "place").alias("keep"))
+    out = cut(known_as.filter((F.col("n") > 1) | ~F.col("keep").eqNullSafe(F.col("place"))).select("h1", "h2", "keep"), "lines-kept")
+    discard(distinct, buckets, member, nodes, lines, edges, placed, known, more)
     return out
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_removed, removed (line numbers from 0), kept_text."""
-    keep = line_components(docs, text, key)
-    rows = hashed(exploded(docs, text, key)).join(keep, ["h1", "h2"])
+    rows = exploded(docs, text, key).select("doc_id", "mark", "line_no", *hashes("line")).join(line_components(docs, text, key), ["h1", "h2"])
     gone = rows.filter(~F.struct("doc_id", "mark", "line_no").eqNullSafe(F.col("keep"))).groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
-    gone = gone.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), "removed")
+    gone = cut(gone.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), "removed"), "removed-lines")
     all_rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.split(F.coalesce(text, F.lit("")), "\n").alias("lines"), F.col(text).isNull().alias("empty"))
     out = all_rows.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
