@@ -18,9 +18,11 @@ _OWN: dict[str, str] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder named in spark.checkpoint.dir; where that is unset, one of our own, in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _OWN:
             _OWN[app] = "file://" + tempfile.mkdtemp(prefix="spark-ckpt-")
