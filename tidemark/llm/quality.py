@@ -190,10 +190,11 @@ def quality_rules(docs: DataFrame, labels: DataFrame, text: str = "text", key: s
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, all their columns, that quality_rules keeps.
 
-    Texts are counted twice, once to learn and once to judge, so that they are neither shuffled nor
-    copied to disk.
+    Labelled texts are counted twice, once to learn and once to judge, so that the texts that stay need
+    no copy on disk; those without a label are counted once.
     """
-    counted = cut(count_features(docs, text, (key,)), "counts")
+    labelled = labels.filter(F.col("quality").isNotNull()).select(key).distinct()
+    counted = cut(count_features(docs.select(key, text).join(labelled, key, "left_semi"), text, (key,)), "counts")
     learned = learned_from(counted, labels, key)
     discard(counted)
     row = unused(docs, "__row")
