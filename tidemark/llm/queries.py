@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, html, langid, lines, mixing, quality, repeats, simhash, tokens, urls
+from tidemark.llm import decontam, html, langid, lines, mixing, negatives, periods, pii, quality, repeats, simhash, tokens, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,13 +66,27 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents whose id asks for it are read with repeated words."""
+    return periods.find_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [op1_source_mixing, op2_line_dedup, op3_url_filter, op4_repeated_strings, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules]
+    named = [op1_source_mixing, op2_line_dedup, op3_url_filter, op4_repeated_strings, op5_token_output, op6_decontamination, op7_html_text, op8_simhash_dedup, op9_language_id, op10_quality_rules, op11_personal_data, op12_periodic_runs, op13_hard_negatives]
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": OP3}
+    return {"op3_url_filter": OP3, "op13_hard_negatives": OP13}
 
 
 OP3 = """
@@ -90,3 +104,19 @@ best AS (
 SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
 FROM parsed p LEFT JOIN best b ON p.host = b.host AND p.path = b.path
 """
+
+OP13 = """
+WITH item AS (
+  SELECT row_number() OVER () AS u, vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.u, a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM item a JOIN item b ON a.u <> b.u WHERE a.id % 50 = 0),
+positive AS (SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY u ORDER BY score DESC, id NULLS LAST) <= 5),
+negative AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.u, p.id ORDER BY n.score DESC, n.id NULLS LAST) AS rank
+  FROM positive p JOIN scored n ON p.u = n.u AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 3
+"""
