@@ -1,5 +1,7 @@
 """Literal rows in, literal rows out."""
 
+import random
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -179,6 +181,34 @@ def test_relistings_and_closure(spark):
     assert rows(vins) == [("v",)] and rows(listings) == [("L1",), ("L2",)]
 
 
+def test_entity_closure(spark):
+    """Against a plain fixpoint of sets; edges in their order, passes cut short, artifacts that lead nowhere."""
+    r = random.Random(4)
+    pairs = {(r.randrange(40), 100 + r.randrange(60)) for _ in range(45)}
+    remaps = {(r.randrange(40), 100 + r.randrange(60), 100 + r.randrange(60)) for _ in range(25)}
+
+    def brute(vins, listings, passes):
+        for _ in range(passes):
+            listings = listings | {b for a, b in pairs if a in vins}
+            vins = vins | {a for a, b in pairs if b in listings}
+            listings = listings | {p for a, b, p in remaps if a in vins or b in listings}
+        return vins, listings
+
+    links = spark.createDataFrame([*pairs, (None, 7), (3, None)], "vin int, listing int")
+    maps = spark.createDataFrame(list(remaps), "vin int, listing int, previous int")
+    steps = [[("vin", "listing", links)], [("listing", "vin", links)], [("vin", "listing", maps.selectExpr("vin", "previous as listing")), ("listing", "listing", maps.selectExpr("listing as `from`", "previous as `to`"))]]
+    vin, listing = min(pairs), max(remaps)
+    seeds = {"vin": spark.createDataFrame([(vin[0],), (None,)], "vin int"), "listing": spark.createDataFrame([(listing[1],)] * 2, "listing int")}
+    for passes, rounds in ((1, 1), (2, 2), (None, 99)):
+        found = selectors.entity_closure(steps, seeds, passes)
+        vins, listings = brute({vin[0]}, {listing[1]}, rounds)
+        assert {x[0] for x in rows(found["vin"])} == vins and {x[0] for x in rows(found["listing"])} == listings
+        assert found["vin"].count() == len(vins)
+    obs = spark.createDataFrame([(1, vin[0], None, "2024-01-05"), (2, None, listing[1], "2024-01-05"), (3, vin[0], None, "2023-01-05"), (4, 999, 998, "2024-01-05"), (None, vin[0], None, "2024-01-05")], "artifact int, vin int, listing int, ts string").withColumn("ts", F.to_timestamp("ts"))
+    got = selectors.attached([(obs, "ts")], found, "artifact", "2024-01-01", "2024-02-01", spark.createDataFrame([(9,), (1,)], "artifact int"))
+    assert rows(got) == [(1,), (2,), (9,)]
+
+
 def test_price_selectors(spark):
     df = frame(spark, "l string, price int, ts string, id int", ("L1", 20000, "2026-01-01", 1), ("L1", 19000, "2026-01-02", 2), ("L1", 21000, "2026-01-03", 3), ("L16", 1, "2026-06-01", 4), ("L16", 2, "2026-08-01", 5), ("L17", 1, "2026-06-01", 6), ("L17", 2, "2026-07-10", 7))
     key = lambda d: {r["l"] for r in d.collect()}
@@ -229,20 +259,6 @@ def test_prefix_match_needs_whole_words(spark):
     assert rows(staging.prefix_match(df, t, "make", "rest", "make2", "model")) == [("m", "civic si"), ("m", "civic")]
 
 
-CARD = '<div data-vehicle-details=\'{"listingId":"L1","vin":"1HGCM82633A004352","make":"M","price":"$1,234","seller":{"zip":"12345"},"metadata":{"page_number":2}}\'></div><div data-vehicle-details="{broken"></div>'
-DETAIL = '<html><head><title>Car</title><script id="vehicle-json" type="application/json">{"listing_id":"L2","vin":"1hgcm82633a004352","price":"20,500"}</script></head><body><a href="/x">x</a><span data-part="name">Dealer</span><div data-part="address">1 Main St, Austin, TX 78701</div><div data-listing-id="L3">Used 2021 Some Car <b>$9,999</b> 12,000 mi.</div></body></html>'
-
-
-def test_pages(spark):
-    df = spark.createDataFrame([(1, CARD), (2, DETAIL), (3, "<title>Just a moment</title>"), (4, "<p>This car is no longer listed"), (5, None)], "id long, html string")
-    p = pages.parsed(df, "id", "html").cache()
-    assert rows(pages.card_rows(p, "id"), "listing_id", "price", "seller_zip", "page_number") == [("L1", 1234, "12345", 2)]
-    assert rows(pages.card_counts(p, "id").filter("id = 1")) == [(1, 2, 1, 1)]
-    assert rows(pages.detail_rows(p, "id").filter("id = 2"), "listing_id", "vin", "price", "dealer_name", "dealer_city", "dealer_zip") == [("L2", VIN, 20500, "Dealer", "Austin", "78701")]
-    assert rows(pages.carousel_rows(p, "id"), "listing_id", "price", "mileage", "condition", "year") == [("L3", 9999, 12000, "used", 2021)]
-    assert rows(pages.routed(p), "id", "route") == [(1, "observation"), (2, "observation"), (3, "skip"), (4, "tombstone"), (5, "observation")]
-
-
 def test_page_states(spark):
     data = '<script id="initial-activity-data" type="application/json">{"listing_id":"L"}</script>'
     pages_of = {
@@ -256,13 +272,3 @@ def test_page_states(spark):
     }
     df = spark.createDataFrame(list(enumerate(pages_of)), "id long, html string")
     assert [r["page_state"] for r in pages.parsed(df, "id", "html").orderBy("id").collect()] == list(pages_of.values())
-
-
-def test_cards_keep_all_their_texts(spark):
-    many = "".join(f"<i>{k}</i>" for k in range(20))
-    cards = f'<div data-listing-id="A">Used 2021 Car{many}<b>$9,999</b><i>12,000 mi.</i></div><div data-listing-id="B">New 2020 Car<b>$5</b></div>'
-    cards += '<fuse-card><span>Used 2019 Van</span><span>$7</span><fuse-save data-listing-id="C"></fuse-save><i>3 mi</i></fuse-card>'
-    cards += '<p><a data-listing-id="D"></a>Used 2018 Bus <b>$8</b></p><p>$99 and 44 mi</p>'
-    df = spark.createDataFrame([(1, cards)], "id long, html string")
-    got = rows(pages.carousel_rows(pages.parsed(df, "id", "html"), "id"), "listing_id", "price", "mileage")
-    assert got == [("A", 9999, 12000), ("B", 5, None), ("C", 7, 3), ("D", 8, None)]

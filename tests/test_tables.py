@@ -189,7 +189,9 @@ def test_change_events(spark, tmp_path):
 
 def test_whole_tables(spark, tmp_path):
     """Queries over whole tables against brute force."""
-    from tidemark.plans import catalog
+    from tidemark.operators import selectors
+    from tidemark.plans import bindings as B
+    from tidemark.plans import catalog, registry
 
     def given(name, columns, data):
         spark.createDataFrame(data, columns).write.parquet(f"{tmp_path}/{name}.parquet")
@@ -199,8 +201,9 @@ def test_whole_tables(spark, tmp_path):
     given("lineitem", "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long", line)
     part = [(7, "Brand#11", "red"), (8, "Brand#12", "red hot"), (51, "Brand#12", "red"), (52, "Brand#12", "blue"), (100, "Brand#11", "green tea")]
     given("part", "p_partkey long, p_brand string, p_name string", part)
-    events = [(1, 1, "click", "2024-01-01"), (2, 1, "purchase", "2024-01-20"), (3, 2, "click", "2024-01-25"), (4, 3, "purchase", "2024-01-02")]
-    e = spark.createDataFrame([(*r, 1.0, "{}") for r in events], "event_id long, user_id long, event_type string, ts string, value double, props string")
+    events = [(1, 1, "click", "2024-01-01"), (2, 1, "purchase", "2024-01-20"), (3, 2, "click", "2024-01-25"), (4, 3, "purchase", "2024-01-02"), (5, 3, "click", "2024-01-03"), (6, 4, "purchase", "2024-01-04"), (7, 4, "click", "2024-01-04")]
+    unusable = {5, 6}  # no make: 3 has no usable click, 4 no usable purchase
+    e = spark.createDataFrame([(*r, 1.0, '{"k": 1}' if r[0] in unusable else '{"k": 50}') for r in events], "event_id long, user_id long, event_type string, ts string, value double, props string")
     e.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
     orders = [(k, f"{1992 + k % 8}-{1 + k % 12:02d}-05") for k in range(400)]
     o = spark.createDataFrame(orders, "o_orderkey long, day string")
@@ -210,12 +213,9 @@ def test_whole_tables(spark, tmp_path):
     assert rows(run("jn11_elsewhere")) == sorted({a for a in line if a[2] and any(b[2] == a[2] and b[3] != a[3] for b in line)}, key=repr)
     starts = lambda p, x: p[1] == x[1] and (p[2] + " ").startswith(x[2].split(" ")[0] + " ")
     assert rows(run("jn10_prefix_match")) == sorted(((p[0],) for p in part if any(starts(p, x) for x in part)), key=repr)
-    reached = {p[0] for p in part if p[1] == "Brand#11"}
-    for _ in range(5):
-        reached |= {a[2] for a in line if a[2] and a[3] in {b[3] for b in line if b[2] in reached}}
-    assert 105 in reached and rows(run("co4_closure")) == sorted(((a,) for a in reached), key=repr)
     assert rows(run("se10_detail_beats_srp"), "vin17", "artifact_id") == [(1, 2)]
-    assert rows(run("se11_srp_fallback"), "vin17", "artifact_id") == [("1 2024-01-01", 1), ("2 2024-01-25", 3)]
+    assert rows(selectors.best_source(B.observations(registry.Tables(spark, str(tmp_path))).filter("k > 10"), "vin17", "source", B.PRIORITY, "fetched_at", "artifact_id", wanted="click", never="purchase"), "vin17") == [(2,), (4,)]
+    assert rows(run("se11_srp_fallback"), "vin17", "artifact_id") == [("1 2024-01-01", 1), ("2 2024-01-25", 3), ("4 2024-01-04", 7)]
     done = run("lay1_compaction")
     assert rows(done) == sorted(((k, int(d[:4]), int(d[5:7])) for k, d in orders), key=repr)
     assert len(done.inputFiles()) == len({d[:7] for _, d in orders}) > 12  # one file a month: none was left

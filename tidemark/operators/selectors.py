@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,8 +70,14 @@ def without_history(obs: DataFrame, events: DataFrame, key: str, event_key: str,
     return obs.select(key).distinct().join(priced, key, "left_anti")
 
 
-def best_source(obs: DataFrame, key: str, source: str, priority: Sequence[str], ts: str, tie: str, wanted: str, also: str | None = None, never: str | None = None) -> DataFrame:
-    """Keys whose best row is of the wanted source, that have also been seen by `also`, never by `never`."""
+def best_source(obs: DataFrame, key: str, source: str, priority: Sequence[str], ts: str, tie: str, wanted: str, also: str | None = None, never: str | None = None, required: str | None = None) -> DataFrame:
+    """Keys whose best row is of the wanted source, that have also been seen by `also`, never by `never`.
+
+    Rows without `required` are not usable: they are neither the best nor seen. A null key is none.
+    """
+    obs = obs.filter(F.col(key).isNotNull())
+    if required:
+        obs = obs.filter(F.col(required).isNotNull())
     flags = {"__also": also, "__never": never}
     best = F.max(F.struct((-X.rank_by(source, priority)).alias("p"), F.col(ts).alias("t"), F.col(tie).alias("i"), F.col(source).alias("s")))
     rows = obs.groupBy(key).agg(best.alias("b"), *[F.coalesce(F.bool_or(F.col(source) == v), F.lit(False)).alias(n) for n, v in flags.items() if v])
@@ -176,24 +184,70 @@ def seeds(obs: DataFrame, groups: DataFrame, group: Sequence[str], order: Sequen
 
 
 def closure(keys: DataFrame, links: DataFrame, left: str, right: str, passes: int = 5) -> tuple[DataFrame, DataFrame]:
-    """All left and right entities reachable from left keys over links, in at most `passes` rounds.
+    """All left and right entities reachable from left keys over links, in at most `passes` rounds."""
+    pairs = links.select(left, right).dropna().distinct()
+    found = entity_closure([[(left, right, pairs)], [(right, left, pairs)]], {left: keys.select(left)}, passes)
+    return found[left], found[right]
 
-    Only new entities are followed in a round. Key sets stay distributed; a round brings one count to
-    the driver and is written to the checkpoint folder to end its lineage.
+
+def entity_closure(steps: Sequence[Sequence[tuple[str, str, DataFrame]]], seeds: Mapping[str, DataFrame], passes: int | None = 5) -> dict[str, DataFrame]:
+    """Kind -> all entities of that kind reachable from the seeds, one column named by the kind.
+
+    An edge is (from kind, to kind, frame); its frame has a column of either kind's name, or "from" and "to"
+    for two entities of one kind. A pass takes the steps in order, and the edges of a step together, until
+    nothing is new or `passes` are done (None: no limit). Every edge follows only entities that it has not
+    followed before. Entities stay distributed; a step brings only whether it found any to the driver,
+    and is written to the checkpoint folder to end its lineage. Null ids are no entities.
     """
-    ensure_checkpoint_dir(links.sparkSession)
-    pairs = links.select(left, right).dropna().distinct()
-    seen_l = keys.select(left).dropna().distinct()
-    front, seen_r = seen_l, None
-    for _ in range(passes):
-        reach = pairs.join(front, left, "left_semi").select(right).distinct()
-        new_r = (reach if seen_r is None else reach.join(seen_r, right, "left_anti")).checkpoint()
-        seen_r = new_r if seen_r is None else seen_r.union(new_r)
-        new_l = pairs.join(new_r, right, "left_semi").select(left).distinct().join(seen_l, left, "left_anti").checkpoint()
-        if new_l.isEmpty():
+    kinds = dict.fromkeys([*seeds, *(k for step in steps for a, b, _ in step for k in (a, b))])
+    spark = steps[0][0][2].sparkSession
+    ensure_checkpoint_dir(spark)
+    found: dict[str, list[DataFrame]] = {k: [seeds[k].select(k).dropna().distinct().checkpoint()] if k in seeds else [] for k in kinds}
+    done: dict[tuple[int, int], int] = {}
+    both = lambda frames: reduce(DataFrame.union, frames)
+    for _ in range(passes) if passes else count():
+        grown = False
+        for i, step in enumerate(steps):
+            reached: dict[str, DataFrame] = {}
+            for j, (a, b, frame) in enumerate(step):
+                fresh = found[a][done.get((i, j), 0) :]
+                done[i, j] = len(found[a])
+                if fresh:
+                    source, target = (a, b) if a != b else ("from", "to")
+                    to = frame.join(both(fresh).withColumnRenamed(a, source), source, "left_semi").select(F.col(target).alias(b)).dropna()
+                    reached[b] = reached[b].union(to) if b in reached else to
+            for kind, rows in reached.items():
+                new = rows.distinct()
+                if found[kind]:
+                    new = new.join(both(found[kind]), kind, "left_anti")
+                new = new.checkpoint()
+                if not new.isEmpty():
+                    found[kind].append(new)
+                    grown = True
+        if not grown:
             break
-        seen_l, front = seen_l.union(new_l), new_l
-    return seen_l, seen_r
+    return {k: both(v) if v else seeds_of(steps, k).limit(0) for k, v in found.items()}
+
+
+def seeds_of(steps: Sequence[Sequence[tuple[str, str, DataFrame]]], kind: str) -> DataFrame:
+    """A column of entities of a kind, for its type."""
+    a, b, frame = next(e for step in steps for e in step if kind in e[:2])
+    return frame.select(F.col(kind if a != b else "from").alias(kind))
+
+
+def attached(tables: Sequence[tuple[DataFrame, str]], core: Mapping[str, DataFrame], artifact: str, start: str, end: str, roots: DataFrame | None = None) -> DataFrame:
+    """Distinct artifacts of rows that name an entity of the core, in a time window, and the roots.
+
+    tables: (frame, its time). What is attached never widens the core.
+    """
+    out = None if roots is None else roots.select(artifact)
+    for frame, ts in tables:
+        rows = frame.filter(F.col(artifact).isNotNull() & (F.col(ts) >= F.lit(start).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp")))
+        for kind, entities in core.items():
+            if kind in frame.columns:
+                hit = rows.join(entities, kind, "left_semi").select(artifact)
+                out = hit if out is None else out.union(hit)
+    return out.distinct()
 
 
 def membership(df: DataFrame, vins: DataFrame | None, listings: DataFrame, ts: str, start: str, end: str, vin: str = "vin", listing: str = "listing_id", exact: DataFrame | None = None, exact_on: Sequence[str] = ()) -> DataFrame:

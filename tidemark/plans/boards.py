@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import functions as F
@@ -147,9 +148,11 @@ def du7(t):
 # pages
 
 
-@query("px_titles_links")
+@query("px_titles_links", r"""WITH p AS (SELECT page_id, html, nullif(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '') AS title FROM pages)
+SELECT page_id, title, CAST(len(regexp_extract_all(html, '<a href=')) AS INT) AS n_links, CASE WHEN regexp_matches(title, 'just a moment|attention required|checking your browser', 'i') THEN 'blocked' WHEN regexp_matches(html, '\\bno longer available\\b|\\bno longer listed\\b', 'i') THEN 'unlisted' ELSE 'active' END AS page_state,
+       CASE WHEN regexp_matches(title, 'just a moment|attention required|checking your browser', 'i') THEN 'skip' WHEN regexp_matches(html, '\\bno longer available\\b|\\bno longer listed\\b', 'i') THEN 'tombstone' ELSE 'observation' END AS route FROM p""")
 def px1(t):
-    return pages.routed(pages.parsed(t.pages, "page_id", "html")).select("page_id", "title", "n_links", "page_state", "route")
+    return pages.routed(pages.parsed(t.pages, "page_id", "html")).select("page_id", F.nullif("title", F.lit("")).alias("title"), "n_links", "page_state", "route")
 
 
 @query("px_link_counts", "SELECT page_id, len(regexp_extract_all(html, '<a href=')) AS n_links FROM pages")
@@ -157,43 +160,87 @@ def px2(t):
     return pages.parsed(t.pages, "page_id", "html").select("page_id", F.col("n_links").cast("long").alias("n_links"))
 
 
+#: A listing site's pages for parts and suppliers: result cards of every kind, a detail page's data and dealer, a
+#: carousel, and what pages of a challenge and of a dead listing have. {} are columns of LISTING.
+RESULTS = """<fuse-card data-vehicle-details='{"listingId": "L{k}", "vin": "{vin}", "make": "{brand}", "model": "{type}", "year": {year}, "price": "{dollars}", "mileage": {size}.75, "stockType": "used", "isaContext": "abc", "seller": {"zip": "{zip}"}, "metadata": {"page_number": "p {size}", "position_on_page": {size}}}'><a href="/x"></a></fuse-card>
+<spark-card data-vehicle-details='{"listingId": " S{k} ", "make": "{brand}", "price": null, "isaContext": 5}'></spark-card>
+<div data-vehicle-details='{"listingId": "D{k}"}'></div><fuse-card data-vehicle-details='{broken'></fuse-card><spark-card data-vehicle-details='{"make": "x"}'></spark-card>"""
+DATA = """<script id="other">{"listing_id": "no"}</script><script id="initial-activity-data" type="application/json">{"listing_id": "L{k}", "vin": "{vin}", "make": "{brand}", "model": "{name}", "year": "{year}", "price": "{dollars}", "mileage": {size}, "bodystyle": "{type}", "dealer_name": "{supplier}", "dealer_zip": "{zip}"}</script>"""
+DEALER = """<section class="wide dealer-card"><h4>Dealer <b>{supplier}</b></h4><div class="map-link"><a href="#">{k} Main St, Austin, TX {zip}</a></div><p class="website"><a href="https://{k}.example/?utm=1">site</a></p><a href="/dealers/{k}/">all</a><fuse-rating rating="4.{digit}"></fuse-rating></section><script>x = {"seller": {"phoneNumber": "{phone}", "zipcode": "00000"}}</script>"""
+CAROUSEL = """<spark-card><spark-save data-listing-id="outside"></spark-save><span class="price">$1</span></spark-card><div class="x listings-carousel"><fuse-card-carousel>
+<fuse-card><fuse-save data-listing-id="C{k}"></fuse-save><a href="/vehicledetail/C{k}/"><span class="price"><b>{dollars}</b></span> <span class="body">New {year} {brand}</span></a><span slot="footer">{size} mi</span></fuse-card>
+<spark-card><a href="/vehicledetail/00000000-0000-0000-0000-{twelve}/">x</a><span class="body">{type}</span></spark-card><fuse-card><span class="price">$5</span></fuse-card></fuse-card-carousel></div>"""
+NOTICE = """<spark-notification class="a unlisted-notification" title="No longer listed"> Sold <b>today</b> </spark-notification>"""
+STATE = "CASE p_size % 7 WHEN 0 THEN 'blocked' WHEN 1 THEN 'unlisted' WHEN 2 THEN 'unlisted' ELSE 'active' END"
+LISTING = """part JOIN supplier ON s_suppkey = p_partkey % 10"""
+VALUES = {"k": "p_partkey", "vin": "concat('1FTEW1E50JK', lpad(p_partkey, 6, '0'))", "brand": "p_brand", "type": "p_type", "name": "p_name", "size": "p_size", "year": "p_size + 1950", "dollars": "concat('$', format_number(floor(p_retailprice), 0))", "zip": "lpad(p_partkey % 100000, 5, '0')", "supplier": "s_name", "digit": "p_size % 10", "phone": "concat('555-', s_suppkey)", "twelve": "lpad(p_partkey, 12, '0')"}
+
+
 def listing_pages(t):
-    """Parts as listing pages: a result card and a broken one, the detail's data and dealer, a carousel card."""
-    price = F.concat(F.lit("$"), F.format_number(F.floor("p_retailprice"), 0))
-    card = F.to_json(F.struct(F.concat(F.lit("L"), "p_partkey").alias("listingId"), F.col("p_brand").alias("make"), F.col("p_type").alias("model"), price.alias("price"), F.struct(F.lpad(F.pmod("p_partkey", F.lit(100000)).cast("string"), 5, "0").alias("zip")).alias("seller"), F.struct(F.col("p_size").alias("page_number")).alias("metadata")))
-    data = F.to_json(F.struct(F.concat(F.lit("L"), "p_partkey").alias("listing_id"), F.col("p_brand").alias("make"), F.col("p_name").alias("model"), price.alias("price"), F.format_number("p_size", 0).alias("mileage")))
+    """Parsed pages (p_partkey, url, parts) in the site's markup."""
+    rows = t.part.join(t.supplier, F.expr("s_suppkey = p_partkey % 10"))
+
+    def filled(text: str):
+        pieces = re.split(r"\{(\w+)\}", text)
+        return F.concat(*[F.expr(VALUES[x]).cast("string") if k % 2 else F.lit(x) for k, x in enumerate(pieces)])
+
+    kind = F.col("p_size") % 7
     page = F.concat(
-        F.lit("<html><head><title>"), "p_name", F.lit('</title><script id="vehicle-json" type="application/json">'), data, F.lit("</script></head><body><div data-vehicle-details='"), card, F.lit("'></div><div data-vehicle-details='{broken'></div>"),
-        F.lit('<span data-part="name">'), "p_type", F.lit('</span><p data-part="address">'), F.col("p_partkey").cast("string"), F.lit(" Main St, Austin, TX "), F.lpad(F.pmod("p_partkey", F.lit(100000)).cast("string"), 5, "0"),
-        F.lit('</p><div data-listing-id="C'), F.col("p_partkey").cast("string"), F.lit('">Used '), (F.col("p_size") + 1950).cast("string"), F.lit(" "), "p_brand", F.lit(" <b>"), price, F.lit("</b> "), F.col("p_size").cast("string"), F.lit(" mi.</div></body></html>"),
+        F.lit("<html><head><title>"), F.when(kind == 0, "Just a moment...").otherwise(F.col("p_name")), F.lit("</title>"), F.when(kind == 0, "").otherwise(filled(DATA)), F.lit("</head><body>"), F.when(kind == 1, NOTICE).when(kind == 2, "<p>This car is no longer available.</p>").otherwise(""),
+        F.when(F.col("p_size") % 2 == 0, filled(DEALER)).otherwise(""), filled(CAROUSEL), filled(RESULTS), F.lit("</body></html>"),
     )
-    return pages.parsed(t.part.select("p_partkey", page.alias("html")), "p_partkey", "html")
+    url = filled("https://site.example/vehicledetail/00000000-0000-0000-0000-{twelve}/")
+    return pages.parsed(rows.select("p_partkey", url.alias("url"), page.alias("html")), "p_partkey", "html", "url")
 
 
 DOLLARS = "CAST(floor(p_retailprice) AS INT)"
 ZIP = "lpad(CAST(p_partkey % 100000 AS VARCHAR), 5, '0')"
+VIN = "'1FTEW1E50JK' || lpad(CAST(p_partkey AS VARCHAR), 6, '0')"
+PAGE_ID = "'00000000-0000-0000-0000-' || lpad(CAST(p_partkey AS VARCHAR), 12, '0')"
 
 
-@query("px1_result_cards", f"SELECT p_partkey, 'L' || p_partkey AS listing_id, p_brand AS make, p_type AS model, {DOLLARS} AS price, {ZIP} AS seller_zip, CAST(p_size AS INT) AS page_number FROM part")
+@query("px1_result_cards", f"""SELECT p_partkey, 'L' || p_partkey AS listing_id, '/vehicledetail/L' || p_partkey || '/' AS canonical_detail_url, {VIN} AS vin, p_brand AS make, p_type AS model, CAST(p_size + 1950 AS INT) AS year, {DOLLARS} AS price, CAST(p_size AS INT) AS mileage, 'used' AS stock_type, 'ABC' AS isa_context, {ZIP} AS seller_zip, CAST(p_size AS INT) AS page_number, CAST(p_size AS INT) AS position_on_page, {DOLLARS} AS last_seen_price FROM part
+UNION ALL SELECT p_partkey, 'S' || p_partkey, '/vehicledetail/S' || p_partkey || '/', NULL, p_brand, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM part""")
 def px1_cards(t):
-    return pages.card_rows(listing_pages(t), "p_partkey").select("p_partkey", "listing_id", "make", "model", "price", "seller_zip", "page_number")
+    return pages.card_rows(listing_pages(t), "p_partkey").select("p_partkey", "listing_id", "canonical_detail_url", "vin", "make", "model", "year", "price", "mileage", "stock_type", "isa_context", "seller_zip", "page_number", "position_on_page", "last_seen_price")
 
 
-@query("px1_card_counts", "SELECT p_partkey, 2 AS cards_found, 1 AS cards_read, 1 AS cards_failed FROM part")
+@query("px1_card_counts", "SELECT p_partkey, 4 AS cards_found, 2 AS listing_ids_extracted, 1 AS json_failures FROM part")
 def px1_counts(t):
     return pages.card_counts(listing_pages(t), "p_partkey")
 
 
-@query("px2_detail_pages", f"SELECT p_partkey, 'active' AS page_state, 'L' || p_partkey AS listing_id, p_brand AS make, p_name AS model, {DOLLARS} AS price, CAST(p_size AS INT) AS mileage, p_type AS dealer_name, p_partkey || ' Main St' AS dealer_street, 'Austin' AS dealer_city, 'TX' AS dealer_state, {ZIP} AS dealer_zip FROM part")
+def px2_sql() -> str:
+    live = lambda x: f"CASE WHEN p_size % 7 <> 0 THEN {x} END"
+    dealer = lambda x: f"CASE WHEN p_size % 7 <> 0 AND p_size % 2 = 0 THEN {x} END"
+    return f"""SELECT p_partkey, {STATE} AS listing_state, CASE WHEN p_size % 7 = 1 THEN 'No longer listed' END AS unlisted_title, CASE p_size % 7 WHEN 1 THEN 'Sold today' WHEN 2 THEN 'page contains ''no longer available/listed'' marker text' END AS unlisted_message,
+    CASE WHEN p_size % 7 = 0 THEN {PAGE_ID} ELSE 'L' || p_partkey END AS listing_id, CASE WHEN p_size % 7 = 0 THEN 'url' ELSE 'initial-activity-data' END AS listing_id_source,
+    {live(VIN)} AS vin, {live("p_brand")} AS make, {live("p_name")} AS model, {live("CAST(p_size + 1950 AS INT)")} AS year, {live(DOLLARS)} AS price, {live("CAST(p_size AS INT)")} AS mileage, {live("p_type")} AS body_style,
+    {live("CASE WHEN p_size % 2 = 0 THEN 'Dealer' || s_name ELSE s_name END")} AS dealer_name, {live(ZIP)} AS dealer_zip, {dealer("p_partkey || ' Main St'")} AS dealer_street, {dealer("'Austin'")} AS dealer_city, {dealer("'TX'")} AS dealer_state,
+    {dealer("'555-' || s_suppkey")} AS dealer_phone, {dealer("'https://' || p_partkey || '.example/'")} AS dealer_website, {dealer("'/dealers/' || p_partkey || '/'")} AS dealer_url, {dealer("4 + (p_size % 10) / 10")} AS dealer_rating FROM {LISTING}"""
+
+
+@query("px2_detail_pages", px2_sql())
 def px2_details(t):
-    return pages.detail_rows(listing_pages(t), "p_partkey").drop("vin", "has_phone")
+    return pages.detail_rows(listing_pages(t), "p_partkey").drop("trim", "msrp", "stock_type", "fuel_type", "seller_id", "customer_id")
 
 
-@query("px3_carousel", f"SELECT p_partkey, 'C' || p_partkey AS listing_id, {DOLLARS} AS price, CAST(p_size AS INT) AS mileage, 'used' AS condition, CAST(p_size + 1950 AS INT) AS year, p_brand AS body FROM part")
+@query("px3_carousel", f"""SELECT p_partkey, 'C' || p_partkey AS listing_id, '/vehicledetail/C' || p_partkey || '/' AS canonical_detail_url, {DOLLARS} AS price, CAST(p_size AS INT) AS mileage, 'New ' || (p_size + 1950) || ' ' || p_brand AS body, 'New' AS condition, CAST(p_size + 1950 AS INT) AS year FROM part WHERE p_size % 7 <> 0
+UNION ALL SELECT p_partkey, {PAGE_ID}, '/vehicledetail/' || {PAGE_ID} || '/', NULL, NULL, p_type, NULL, NULL FROM part WHERE p_size % 7 <> 0""")
 def px3_carousel(t):
     return pages.carousel_rows(listing_pages(t), "p_partkey")
 
 
+@query("px3_carousel_counts", "SELECT p_partkey, p_size % 7 <> 0 AS carousel_found, CASE WHEN p_size % 7 = 0 THEN 0 ELSE 3 END AS cards_found, CASE WHEN p_size % 7 = 0 THEN 0 ELSE 2 END AS cards_parsed, CASE WHEN p_size % 7 = 0 THEN 0 ELSE 1 END AS missing_listing_id, CASE WHEN p_size % 7 = 0 THEN 0 ELSE 1 END AS missing_price, 0 AS missing_body, CASE WHEN p_size % 7 = 0 THEN 0 ELSE 1 END AS missing_mileage FROM part")
+def px3_counts(t):
+    return pages.carousel_counts(listing_pages(t), "p_partkey")
+
+
+@query("px4_routes", f"SELECT p_partkey, {STATE} AS page_state, CASE p_size % 7 WHEN 0 THEN 'skip' WHEN 1 THEN 'tombstone' WHEN 2 THEN 'tombstone' ELSE 'observation' END AS route FROM part")
+def px4_routes(t):
+    return pages.routed(listing_pages(t)).select("p_partkey", "page_state", "route")
+
+
 # sinks, layout and streams: each writes a table in the shared folder and reads it back
 
 

@@ -205,11 +205,21 @@ def se9(t):
     return selectors.without_history(t.customer, t.orders.filter("o_totalprice > 450000"), "c_custkey", "o_custkey", "o_totalprice")
 
 
-RANK = "SELECT vin17, artifact_id, source, fetched_at FROM (SELECT *, row_number() OVER (PARTITION BY vin17 ORDER BY CASE source WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 3 END, fetched_at DESC, artifact_id DESC) AS n, bool_or(source = 'purchase') OVER (PARTITION BY vin17) AS p, bool_or(source = 'click') OVER (PARTITION BY vin17) AS c FROM obs) WHERE n = 1 AND "
+def best_sql(condition: str) -> str:
+    """Rows with a make are usable; sources and the best row are taken from them alone."""
+    return f"""usable AS (SELECT * FROM obs WHERE make IS NOT NULL),
+vin_sources AS (SELECT vin17, bool_or(source = 'purchase') AS has_purchase, bool_or(source = 'click') AS has_click FROM usable GROUP BY vin17),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY vin17 ORDER BY CASE source WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 3 END, fetched_at DESC, artifact_id DESC) AS rn FROM usable)
+SELECT r.vin17, r.artifact_id, r.source, r.fetched_at FROM ranked r JOIN vin_sources v USING (vin17) WHERE r.rn = 1 AND {condition}"""
 
 
 def best(rows, **kw):
-    return selectors.best_source(rows, "vin17", "source", B.PRIORITY, "fetched_at", "artifact_id", **kw)
+    return selectors.best_source(rows, "vin17", "source", B.PRIORITY, "fetched_at", "artifact_id", required="make", **kw)
+
+
+def made(t, rows):
+    """Observations with the make that their page shows: the rest of rows whose k is small show none."""
+    return rows.withColumn("make", F.when(F.col("k") > 10, F.concat(F.lit("make "), F.col("k").cast("string"))))
 
 
 def by_day(t):
@@ -217,9 +227,11 @@ def by_day(t):
     return B.observations(t).withColumn("vin17", F.concat_ws(" ", "vin17", F.to_date("fetched_at")))
 
 
-BY_DAY = "obs AS (SELECT * REPLACE (vin17 || ' ' || CAST(CAST(fetched_at AS DATE) AS VARCHAR) AS vin17) FROM obs0)"
-query("se10_detail_beats_srp", B.with_sql(B.OBS) + RANK + "source = 'purchase' AND p AND c")(lambda t: best(B.observations(t), wanted="purchase", also="click"))
-query("se11_srp_fallback", B.with_sql(B.OBS.replace("obs AS", "obs0 AS", 1), BY_DAY) + RANK + "source = 'click' AND NOT p")(lambda t: best(by_day(t), wanted="click", never="purchase"))
+MADE = "obs AS (SELECT * {replace}, CASE WHEN k > 10 THEN 'make ' || k END AS make FROM obs0)"
+BY_DAY = MADE.format(replace="REPLACE (vin17 || ' ' || CAST(CAST(fetched_at AS DATE) AS VARCHAR) AS vin17)")
+OBS0 = B.OBS.replace("obs AS", "obs0 AS", 1)
+query("se10_detail_beats_srp", B.with_sql(OBS0, MADE.format(replace="")).rstrip() + ", " + best_sql("r.source = 'purchase' AND v.has_purchase AND v.has_click"))(lambda t: best(made(t, B.observations(t)), wanted="purchase", also="click"))
+query("se11_srp_fallback", B.with_sql(OBS0, BY_DAY).rstrip() + ", " + best_sql("r.source = 'click' AND NOT v.has_purchase"))(lambda t: best(made(t, by_day(t)), wanted="click", never="purchase"))
 query("se12_seen_by", B.with_sql(B.OBS) + "SELECT DISTINCT vin17 FROM obs WHERE source = 'signup'")(lambda t: selectors.seen_by(B.observations(t), "vin17", "source", "signup"))
 
 
@@ -263,15 +275,36 @@ def co3(t):
     return selectors.seeds(t.part, selectors.density(t.part, ["p_brand"], least=80), ["p_brand"], [F.col("p_partkey")]).select("p_brand", "p_partkey")
 
 
-LINKS = "links AS (SELECT DISTINCT l_partkey AS a, l_suppkey AS b FROM lineitem)"
+#: Customers stand for VINs, order days for listings; an order in parts maps its customer and day to the day a year before.
+EDGES = """pairs AS (SELECT DISTINCT o_custkey AS vin, CAST(o_orderdate AS DATE) AS listing FROM orders), remaps AS (SELECT DISTINCT o_custkey AS vin, CAST(o_orderdate AS DATE) AS listing, CAST(o_orderdate AS DATE) - 364 AS previous FROM orders WHERE o_orderstatus = 'P'),
+edges AS (SELECT 'vin' AS fk, CAST(vin AS VARCHAR) AS f, 'listing' AS tk, CAST(listing AS VARCHAR) AS t FROM pairs UNION ALL SELECT 'listing', CAST(listing AS VARCHAR), 'vin', CAST(vin AS VARCHAR) FROM pairs
+  UNION ALL SELECT 'vin', CAST(vin AS VARCHAR), 'listing', CAST(previous AS VARCHAR) FROM remaps UNION ALL SELECT 'listing', CAST(listing AS VARCHAR), 'listing', CAST(previous AS VARCHAR) FROM remaps),
+core(kind, id) AS (SELECT 'vin', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < -900 UNION SELECT 'listing', CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders WHERE o_totalprice > 499000 UNION SELECT e.tk, e.t FROM core JOIN edges e ON e.fk = core.kind AND e.f = core.id)
+"""
+
 
+def entities(t):
+    """The closed core of EDGES, to the fixpoint."""
+    day = F.col("o_orderdate").cast("date")
+    pairs = t.orders.select(F.col("o_custkey").alias("vin"), day.alias("listing")).distinct()
+    remaps = t.orders.filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("vin"), day.alias("from"), F.date_sub(day, 364).alias("to")).distinct()
+    steps = [[("vin", "listing", pairs)], [("listing", "vin", pairs)], [("vin", "listing", remaps.select("vin", F.col("to").alias("listing"))), ("listing", "listing", remaps.select("from", "to"))]]
+    seeds = {"vin": t.customer.filter("c_acctbal < -900").select(F.col("c_custkey").alias("vin")), "listing": t.orders.filter("o_totalprice > 499000").select(day.alias("listing"))}
+    return selectors.entity_closure(steps, seeds, None)
 
-@query("co4_closure", f"""WITH RECURSIVE {LINKS}, walk(a, depth) AS (SELECT p_partkey, 0 FROM part WHERE p_brand = 'Brand#11' UNION SELECT y.a, depth + 1 FROM walk JOIN links x ON x.a = walk.a JOIN links y ON y.b = x.b WHERE depth < 5)
-SELECT DISTINCT a FROM walk""")
+
+@query("co4_closure", f"WITH RECURSIVE {EDGES} SELECT kind, id FROM core")
 def co4(t):
-    """From the parts of one brand, over all links."""
-    links = t.lineitem.select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"))
-    return selectors.closure(t.part.filter("p_brand = 'Brand#11'").select(F.col("p_partkey").alias("a")), links, "a", "b")[0]
+    """VINs and listings, from seeds of both kinds, over links and previous listings."""
+    found = entities(t)
+    return found["vin"].select(F.lit("vin").alias("kind"), F.col("vin").cast("string").alias("id")).union(found["listing"].select(F.lit("listing"), F.col("listing").cast("string")))
+
+
+@query("co4_artifacts", f"WITH RECURSIVE {EDGES} SELECT o_orderkey FROM orders WHERE o_totalprice > 490000 OR (o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1995-04-01' AND (CAST(o_custkey AS VARCHAR) IN (SELECT id FROM core WHERE kind = 'vin') OR CAST(CAST(o_orderdate AS DATE) AS VARCHAR) IN (SELECT id FROM core WHERE kind = 'listing')))")
+def co4_artifacts(t):
+    """Orders of the closed core in one quarter, and the dearest of any time; they lead no further."""
+    rows = t.orders.select("o_orderkey", "o_orderdate", F.col("o_custkey").alias("vin"), F.col("o_orderdate").cast("date").alias("listing"))
+    return selectors.attached([(rows, "o_orderdate")], entities(t), "o_orderkey", "1995-01-01", "1995-04-01", t.orders.filter("o_totalprice > 490000"))
 
 
 @query("co5_membership", "SELECT DISTINCT o_orderkey, o_custkey FROM orders WHERE (o_custkey < 50 AND o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01') OR o_orderkey % 1000 = 7")
