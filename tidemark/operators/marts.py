@@ -195,6 +195,11 @@ def scrape_volume(obs: DataFrame, ts: str, source: str, artifact: str, listing:
     out = obs.groupBy(F.date_trunc("hour", F.col(ts)).alias("hour"), F.col(source).alias("source")).agg(
         F.count_distinct(artifact).alias("artifact_count"), F.count("*").alias("observation_count"), F.count_distinct(listing).alias("unique_listings"), good.alias("valid_vins")
     )
+    return volume_facts(out, main)
+
+
+def volume_facts(out: DataFrame, main: str = "detail") -> DataFrame:
+    """The yield of the main source and the key of counts by hour and source."""
     out = out.withColumn("extraction_yield_pct", F.when(F.col("source") == main, X.percent("valid_vins", "observation_count")))
     return out.withColumn("volume_key", F.md5(F.concat_ws("|", F.date_format("hour", "yyyy-MM-dd HH:mm:ss"), "source")))
 

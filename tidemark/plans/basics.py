@@ -194,30 +194,62 @@ def st6(t):
     return t.spark.read.parquet(out)
 
 
+def in_waves(t, rows, ts, make, waves=3):
+    """rows as a log that grows by as many appends, in order of time; the stream of make() is started anew after each. Where its states are."""
+    from tidemark.streaming import folds
+
+    log, out, checkpoint = folder(t, "log"), folder(t, "states"), folder(t, "ck")
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    ends = rows.agg(F.percentile_approx(micros, [k / waves for k in range(1, waves)], 10_000)).first()[0] or []
+    with folds.state_store(t.spark):
+        for k in range(len(ends) + 1):
+            wave = rows.filter((micros > ends[k - 1] if k else F.lit(True)) & (micros <= ends[k] if k < len(ends) else F.lit(True)))
+            wave.write.mode("append").parquet(log)
+            folds.kept(make(streams.source(t.spark, log, rows.schema)), out, checkpoint).start().awaitTermination()
+    return out
+
+
 @query("st5_fold_stream", B.with_sql(B.OBS, M.VOLUME) + "SELECT * FROM volume")
 def st5(t):
-    """Micro-batches through the same hour-window recomputation that batch jobs use."""
-    seen, target = folder(t, "seen"), folder(t, "target")
+    """Hourly volume with exact distinct counts, kept in state; no delivered row is read again."""
+    from tidemark.streaming import folds
+
+    rows = B.observations(t).select("fetched_at", "source", "artifact_id", "listing_id", "k")
+    out = in_waves(t, rows, "fetched_at", lambda s: folds.hourly_distincts(s, "fetched_at", "source", "artifact_id", "listing_id", F.col("k") > 10, parts=1))
+    return folds.volume(folds.current(t.spark, out, ["hour", "source", "kind", "part"]), "purchase")
+
+
+def folded(t, rows, ts, key, make):
+    from tidemark.streaming import folds
+
+    return folds.current(t.spark, in_waves(t, rows, ts, lambda s: make(folds, s)), key)
+
+
+@query("st5_price_state", B.with_sql(B.ORDER_EVENTS) + "SELECT vin, max(ts) AS ts, arg_max(tie, (ts, tie)) AS tie, arg_max(price, (ts, tie)) AS price, arg_max(state, (ts, tie)) AS state FROM oe GROUP BY vin")
+def st5_price_state(t):
+    return folded(t, B.order_events(t), "ts", "vin", lambda f, s: f.fold(s, "vin", ["ts", "tie"], ["price"], ["state"]))
+
+
+@query("st5_present", B.with_sql(B.ORDER_EVENTS) + "SELECT vin, max(ts) AS ts, arg_max(tie, (ts, tie)) AS tie, arg_max(price, (ts, tie)) AS price FROM oe o WHERE (ts, tie) > coalesce((SELECT max((ts, tie)) FROM oe d WHERE d.vin = o.vin AND d.state = 'P'), (TIMESTAMP '1900-01-01', -1::BIGINT)) GROUP BY vin")
+def st5_present(t):
+    return folded(t, B.order_events(t), "ts", "vin", lambda f, s: f.fold(s, "vin", ["ts", "tie"], ["price"], deleted=F.col("state") == "P"))
+
 
-    def make(rows):
-        return marts.scrape_volume(rows, "fetched_at", "source", "artifact_id", "listing_id", F.col("k") > 10, "purchase")
+@query("st5_newest_mapping", B.with_sql(B.SALES) + "SELECT vin, arg_min(customer_id, customer_id) AS customer_id, any_value(ts) AS ts FROM sales s WHERE ts = (SELECT max(ts) FROM sales x WHERE x.vin = s.vin) GROUP BY vin")
+def st5_newest_mapping(t):
+    return folded(t, B.sales(t), "ts", "vin", lambda f, s: f.newest_mapping(s, "vin", "customer_id", "ts"))
 
-    def apply(batch, n):
-        batch.write.mode("append").parquet(seen)
-        source = B.observations(_Seen(t, seen))
-        old = t.spark.read.parquet(f"{target}/{n - 1}") if n else None
-        incremental.time_window(source, old, "fetched_at", "hour", "72 HOURS", make, "hour", ["hour", "source"]).write.mode("overwrite").parquet(f"{target}/{n}")
-        apply.last = n
 
-    streams.upsert_stream(stream_of(t), folder(t, "ck"), apply).start().awaitTermination()
-    return t.spark.read.parquet(f"{target}/{apply.last}")
+@query("st5_relistings", B.with_sql(B.SALES) + "SELECT vin, customer_id, ts, CASE WHEN p IS NULL THEN 'mapped' ELSE 'remapped' END AS event_type, p AS previous FROM (SELECT *, lag(customer_id) OVER (PARTITION BY vin ORDER BY ts, tie) AS p FROM sales) WHERE p IS NULL OR p <> customer_id")
+def st5_relistings(t):
+    from tidemark.streaming import folds
 
+    return t.spark.read.parquet(in_waves(t, B.sales(t), "ts", lambda s: folds.relistings(s, "vin", "customer_id", "ts", "tie"))).drop("batch")
 
-class _Seen:
-    """The given tables with the events that a stream has delivered so far."""
 
-    def __init__(self, t, path):
-        self.events = t.spark.read.parquet(path)
+@query("st5_attempts", B.with_sql(B.COOLDOWN, M.COUNTER) + "SELECT * FROM blocked")
+def st5_attempts(t):
+    return folded(t, B.cooldown_log(t).select("listing_id", "event_at", "event_id", "event_type"), "event_at", "listing_id", lambda f, s: f.attempt_counter(s, "listing_id", "event_at", "event_id", F.col("event_type") == "cleared"))
 
 
 @query("cs1_merge", B.with_sql(B.ORDER_EVENTS) + "SELECT vin, max(ts) AS ts, arg_max(tie, (ts, tie)) AS tie, arg_max(price, (ts, tie)) AS price, arg_max(state, (ts, tie)) AS state FROM oe GROUP BY vin")
