@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 import zlib
 from collections.abc import Sequence
 
@@ -62,26 +61,60 @@ def storage_scenarios(profile: DataFrame, body_bytes: float, diff_bytes: float)
     return out.withColumn("diff_saving_pct", X.percent(F.col("full_bytes") - F.col("diff_bytes"), "full_bytes", 2)).withColumn("per_state_saving_pct", X.percent(F.col("full_bytes") - F.col("per_state_bytes"), "full_bytes", 2))
 
 
+def common_lines(a: list, b: list) -> int:
+    """Length of the longest common subsequence, by bit vectors: a word of machine bits of b for each step."""
+    lo = 0
+    while lo < min(len(a), len(b)) and a[lo] == b[lo]:
+        lo += 1
+    hi = 0
+    while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    a, b = a[lo : len(a) - hi], b[lo : len(b) - hi]
+    there = set(a)
+    b = [x for x in b if x in there]  # lines of one side only are in no subsequence
+    places: dict = {}
+    for k, x in enumerate(b):
+        places.setdefault(x, []).append(k)
+    masks = {x: sum(1 << k for k in p) for x, p in places.items() if len(p) > 1}
+    full = (1 << len(b)) - 1
+    row = full  # a 0 where the common length grows
+    for x in a:
+        if x in places:
+            hit = row & (masks[x] if x in masks else 1 << places[x][0])
+            row = ((row + hit) | (row - hit)) & full
+    return lo + hi + len(b) - row.bit_count()
+
+
 @pandas_udf(T.ArrayType(T.IntegerType()))
 def changed_lines(before: pd.Series, after: pd.Series) -> pd.Series:
-    """[added, removed] lines between two versions; null if there is no version before."""
+    """[added, removed] lines of a shortest edit between two versions; null if one of them is."""
 
     def one(a: str | None, b: str | None) -> list[int] | None:
         if a is None or b is None:
             return None
-        if a == b:
-            return [0, 0]
-        ops = difflib.SequenceMatcher(None, a.split("\n"), b.split("\n"), autojunk=False).get_opcodes()
-        return [sum(o[4] - o[3] for o in ops if o[0] != "equal"), sum(o[2] - o[1] for o in ops if o[0] != "equal")]
+        x, y = a.split("\n"), b.split("\n")
+        same = common_lines(x, y)
+        return [len(y) - same, len(x) - same]
 
     return pd.Series([one(a, b) for a, b in zip(before, after, strict=True)])
 
 
 def version_diffs(df: DataFrame, key: str, ts: str, body: str) -> DataFrame:
-    """Every version after a key's first: lines added and removed since the one before, and if any."""
-    rows = df.select(key, ts, body).withColumn("__before", F.lag(body).over(W.partitionBy(key).orderBy(ts)))
-    rows = rows.filter(F.col("__before").isNotNull()).withColumn("__d", changed_lines("__before", body))
-    return rows.select(key, ts, F.col("__d")[0].alias("lines_added"), F.col("__d")[1].alias("lines_removed"), F.coalesce(F.col("__d")[0] + F.col("__d")[1] > 0, F.lit(False)).alias("changed"))
+    """Every version after a key's first: lines added and removed since the one before, and if any.
+
+    Versions are put in order by their hashes; a body is joined to its pair once, and only where the hashes differ.
+    Versions of one key and time are ordered by hash. A version without body, or after one, has null counts.
+    """
+    slim = df.select(key, ts, F.sha2(body, 256).alias("__h"), F.lit(True).alias("__is"))
+    order = W.partitionBy(key).orderBy(ts, "__h")
+    rows = slim.withColumns({"__g": F.lag("__h").over(order), "__after": F.lag("__is").over(order)}).filter("__after and __g is not null")
+    bodies = df.select(F.sha2(body, 256).alias("__x"), F.col(body).alias("__body")).filter("__x is not null").dropDuplicates(["__x"])
+    pairs = rows.filter("__g <> __h").select("__g", "__h").distinct()
+    pairs = pairs.join(bodies.withColumnsRenamed({"__x": "__g", "__body": "__before"}), "__g").join(bodies.withColumnsRenamed({"__x": "__h", "__body": "__now"}), "__h")
+    diffs = pairs.select("__g", "__h", changed_lines("__before", "__now").alias("__d"))
+    out = rows.join(diffs, ["__g", "__h"], "left")
+    of = lambda k: F.when(F.col("__g") == F.col("__h"), 0).otherwise(F.col("__d")[k])
+    return out.select(key, ts, of(0).alias("lines_added"), of(1).alias("lines_removed"), F.coalesce(of(0) + of(1) > 0, F.lit(False)).alias("changed"))
 
 
 def diff_summary(diffs: DataFrame) -> DataFrame:
@@ -96,7 +129,10 @@ def recompression(df: DataFrame, body: str, key: str, now: int = 3, then: int =
         raw = bodies.str.encode("utf-8")
         return pd.Series([[len(b), len(zlib.compress(b, now)), len(zlib.compress(b, then))] for b in raw])
 
-    rows = df.filter(F.col(body).isNotNull()).filter(F.pmod(F.xxhash64(key), F.lit(stride)) == 0).select(sizes(body).alias("s"))
+    rows = df.filter(F.col(body).isNotNull())
+    if stride > 1:
+        rows = rows.join(every_nth(rows.select(key), key, stride).select(key), key, "left_semi")
+    rows = rows.select(sizes(body).alias("s"))
     out = rows.agg(F.count("*").alias("sampled"), F.sum(F.col("s")[0]).alias("raw_bytes"), F.sum(F.col("s")[1]).alias("now_bytes"), F.sum(F.col("s")[2]).alias("then_bytes"))
     out = out.withColumn("saving_pct", X.percent(F.col("now_bytes") - F.col("then_bytes"), "now_bytes", 2))
     return out.withColumn("verdict", F.when(F.col("saving_pct") >= 15, "worthwhile").when(F.col("saving_pct") >= 5, "marginal").otherwise("not worthwhile"))

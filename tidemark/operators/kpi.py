@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import exprs as X
+from tidemark.operators.ranks import with_quantiles
 from tidemark.operators.staging import optional_filters, since
 
 TIER_ORDER = ("excellent", "good", "fair", "weak")
@@ -74,9 +75,9 @@ def spread(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*group).agg(F.count("*").alias("vehicles"), F.median(v).alias("median_value"), F.round(F.avg(v), 1).alias("avg_value"), F.min(value).alias("min_value"), F.max(value).alias("max_value"))
 
 
-def price_percentiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[int] = (10, 25, 50, 75, 90)) -> DataFrame:
-    """Interpolated percentiles p10 to p90 to 6 places, from one exact aggregate."""
-    got = df.groupBy(*group).agg(F.count(value).alias("vehicles"), F.percentile(F.col(value).cast("double"), [p / 100 for p in points]).alias("q"))
+def price_percentiles(df: DataFrame, group: Sequence[str], value: str, points: Sequence[int] = (10, 25, 50, 75, 90), spread: bool = False) -> DataFrame:
+    """Exact interpolated percentiles p10 to p90 to 6 places. spread: for groups whose distinct values are too many for a task."""
+    got = with_quantiles(df.select(*group, value), group, value, [p / 100 for p in points], [F.count(value).alias("vehicles")], spread)
     return got.select(*group, "vehicles", *[F.round(F.col("q")[k], 6).alias(f"p{p}") for k, p in enumerate(points)])
 
 

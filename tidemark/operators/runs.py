@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import exprs as X
+from tidemark.operators.ranks import with_quantiles
 
 
 def desc(columns: Sequence[str | Column]) -> list[Column]:
@@ -84,21 +85,21 @@ def percent_rank(df: DataFrame, group: Sequence[str], value: str, name: str) ->
     return df.join(ranks, on).drop(*[f"__{c}" for c in (*group, value)])
 
 
-def benchmarks(latest: DataFrame, history: DataFrame, key: str, history_key: str, group: Sequence[str], list_price: str, discount: str = "decimal(5,2)") -> DataFrame:
+def benchmarks(latest: DataFrame, history: DataFrame, key: str, history_key: str, group: Sequence[str], list_price: str, discount: str = "decimal(5,2)", spread: bool = False) -> DataFrame:
     """Price statistics of each group: exact percentiles, to the even integer, and the mean discount.
 
+    spread: for groups whose distinct prices are too many for a task.
+
     Percentiles are first rounded to 6 places, so that the last bits of the interpolation don't move a half.
     """
     h = history.filter(F.col("current_price") > 0).select(F.col(history_key).alias("__k"), F.col("current_price").alias("p"))
     rows = latest.join(h, F.col(key) == F.col("__k")).filter(" and ".join(f"{g} is not null" for g in group))
     p, m = F.col("p"), F.col(list_price)
-    quantiles = F.percentile(p.cast("double"), [0.1, 0.25, 0.5, 0.75, 0.9])
-    out = rows.groupBy(*group).agg(
+    out = with_quantiles(rows.select(*group, list_price, p), group, p, [0.1, 0.25, 0.5, 0.75, 0.9], [
         F.count("*").alias("national_listing_count"),
         X.to_int_half_even(F.avg(p.cast("double"))).alias("national_avg_price"),
-        quantiles.alias("q"),
         F.avg(F.when(m > 0, (m - p).cast("double") / m * 100)).cast(discount).alias("national_avg_discount_pct"),
-    )
+    ], spread)
     names = ["national_p10_price", "national_p25_price", "national_median_price", "national_p75_price", "national_p90_price"]
     return out.select(*group, "national_listing_count", "national_avg_price", *[X.to_int_half_even(F.round(F.col("q")[k], 6)).alias(n) for k, n in enumerate(names)], "national_avg_discount_pct")
 

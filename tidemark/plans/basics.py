@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from tidemark import schema
 from tidemark.functions import exprs as X
-from tidemark.operators import incremental, marts, runs, state
+from tidemark.operators import marts, ranks, runs, state
 from tidemark.plans import bindings as B
 from tidemark.plans import models as M
 from tidemark.plans.boards import folder
@@ -112,6 +114,13 @@ def ag(t):
 
 
 query("ag4_arg_max_ignores_null", "SELECT user_id, arg_max(CASE WHEN event_type <> 'error' THEN event_type END, ts) AS last_good, arg_min(CASE WHEN event_type <> 'error' THEN event_type END, ts) AS first_good FROM events GROUP BY 1")(lambda t: t.events.groupBy("user_id").agg(X.latest(F.when(F.col("event_type") != "error", F.col("event_type")), "ts", "event_id").alias("last_good"), X.earliest(F.when(F.col("event_type") != "error", F.col("event_type")), "ts", "event_id").alias("first_good")))
+@query("ag5_grouped_quantiles", "SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, " + ", ".join(f"round(quantile_cont(l_extendedprice, {p}), 6) AS q{k}" for k, p in enumerate((0.01, 0.25, 0.5, 0.99))) + " FROM lineitem GROUP BY 1, 2")
+def ag5_grouped(t):
+    """A few groups of very many rows: their values are sorted in ranges, not held by a task."""
+    q = ranks.grouped_quantiles(t.lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice", [0.01, 0.25, 0.5, 0.99])
+    return q.select("l_returnflag", "l_linestatus", "n", *[F.round(F.col("q")[k], 6).alias(f"q{k}") for k in range(4)])
+
+
 query("ag5_6_percentile_median", "SELECT p_type, round(quantile_cont(p_retailprice, 0.9), 6) AS p90, round(median(p_retailprice), 6) AS mid FROM part GROUP BY 1")(lambda t: t.part.groupBy("p_type").agg(F.round(F.percentile("p_retailprice", 0.9), 6).alias("p90"), F.round(F.median("p_retailprice"), 6).alias("mid")))
 query("ag9_distinct", "SELECT DISTINCT p_brand, p_type FROM part")(lambda t: t.part.select("p_brand", "p_type").dropDuplicates())
 query("ag10_having", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1 HAVING count(*) > 12")(lambda t: t.orders.groupBy("o_custkey").agg(F.count("*").alias("n")).filter("n > 12"))
@@ -157,6 +166,46 @@ def stream_of(t):
     return streams.timestamps(t.spark.readStream.schema(t.spark.read.parquet(path).schema).parquet(path + "*"))
 
 
+# a live table and page files
+
+
+@query("src3_live_table", "SELECT c_custkey, c_name, c_mktsegment, c_acctbal FROM customer WHERE c_acctbal > 1000 AND c_mktsegment <> 'BUILDING'")
+def src3(t):
+    """Customers in an embedded database, read in partitions; the filter is the database's."""
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex}"
+    live = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    kinds = "c_custkey BIGINT, c_name VARCHAR(64), c_mktsegment VARCHAR(32)"
+    t.customer.repartition(1).write.format("jdbc").option("url", url + ";create=true").option("dbtable", "customer").option("createTableColumnTypes", kinds).options(**live).save()
+    rows = readers.jdbc(t.spark, url, "customer", "c_custkey", partitions=4, **live)
+    return rows.filter("c_acctbal > 1000 and c_mktsegment <> 'BUILDING'").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+
+
+def page_files(t):
+    """The pages as files of a page store: fetched on days of two months, by the protocol of their url."""
+    path = folder(t, "store")
+    day = F.expr("timestamp'2024-01-20' + make_interval(0, 0, 0, cast(page_id % 30 as int))")
+    sinks.write_pages(t.pages.select("page_id", day.alias("at"), F.split("url", "://")[0].alias("kind"), "html"), path, "at", "kind", "page_id", "html")
+    return f"{path}/html"
+
+
+PAGE_FILES = "SELECT page_id, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, split_part(url, '://', 1) AS artifact_type, length(html) AS n_chars, md5(html) AS body_md5 FROM (SELECT *, TIMESTAMP '2024-01-20' + to_days(CAST(page_id % 30 AS INT)) AS d FROM pages)"
+
+
+def page_rows(pages):
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "year", "month", "artifact_type", F.length("html").cast("long").alias("n_chars"), F.md5("html").alias("body_md5"))
+
+
+@query("src7_page_files", PAGE_FILES)
+def src7_files(t):
+    return page_rows(readers.pages(t.spark, page_files(t)))
+
+
+@query("src7_page_folders", PAGE_FILES + " WHERE month(d) = 2 AND split_part(url, '://', 1) = 'https'")
+def src7_folders(t):
+    """Files in other folders are not opened."""
+    return page_rows(readers.pages(t.spark, page_files(t), "month = 2 and artifact_type = 'https'"))
+
+
 @query("st1_append_stream", "SELECT event_id, event_type FROM events")
 def st1(t):
     out = folder(t, "appended")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,3 +144,30 @@ def replace_by_key(spark: SparkSession, path: str, batch: DataFrame, key: str, b
 def aligned(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the schema's columns, in its order and types; missing ones null."""
     return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def write_pages(df: DataFrame, path: str, ts: str, kind: str, key: str, body: str) -> None:
+    """One zstd file a page: html/year=/month=/artifact_type=/<key>.html.zst under path, which pyarrow's file systems must reach.
+
+    Names come from the rows, and a file is moved to its name when it is whole: a task that runs again writes the same files.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        made = set()
+        for batch in batches:
+            for year, month, kind_, name, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                folder = f"{root}/html/year={year}/month={month}/artifact_type={kind_}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                part = f"{folder}/_{name}.{uuid.uuid4().hex}"
+                with store.open_output_stream(part, compression="zstd") as out:
+                    out.write((text or "").encode())
+                store.move(part, f"{folder}/{name}.html.zst")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["written"])
+
+    rows = df.select(F.year(ts), F.month(ts), F.col(kind).cast("string"), F.col(key).cast("string"), F.col(body))
+    rows.mapInArrow(each, "written long").agg(F.sum("written")).first()
