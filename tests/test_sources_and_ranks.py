@@ -8,7 +8,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import duplicates, kpi, ranks
+from tidemark.operators import duplicates, kpi, ranks, runs, scans
 from tidemark.sources import readers, sinks
 
 
@@ -109,3 +109,24 @@ def test_spread_quantiles_equal_plain_ones(spark):
     df = spark.createDataFrame([(r.choice(["a", "b", None]), r.randrange(50) if r.random() < 0.9 else None) for _ in range(500)] + [("c", None)], "g string, v int")
     plain, spread = (kpi.price_percentiles(df, ["g"], "v", spread=s) for s in (False, True))
     assert rows(plain) == rows(spread)
+
+
+@pytest.fixture
+def many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hot_entities_are_split(spark, many_ranges):
+    """Half of all rows are one entity's: scans in ranges equal windows."""
+    r = random.Random(5)
+    data = [("hot" if k % 2 else r.choice(["a", "b", None]), r.randrange(300), k, r.choice(["x", "x", "x", "y", None]), r.choice([None, *range(5)])) for k in range(1200)]
+    df = spark.createDataFrame(data, "e string, ts int, id int, s string, price int").withColumn("ts", F.timestamp_seconds(F.col("ts") * 3600)).repartition(3)
+    at = scans.ranged(df, "e", ["ts", "id"])
+    assert at.filter("e = 'hot'").select("__part").distinct().count() > 1
+    plain, spread = (runs.runs(df, "e", ["ts", "id"], ["s"], first=["price"], spread=x) for x in (False, True))
+    assert rows(plain, *sorted(plain.columns)) == rows(spread, *sorted(plain.columns)) and plain.count() > 100
+    plain, spread = (runs.price_history(df, "e", "price", "ts", "id", ["s"], spread=x) for x in (False, True))
+    assert rows(plain, *sorted(plain.columns)) == rows(spread, *sorted(plain.columns))
+    assert runs.runs(df.limit(0), "e", ["ts", "id"], "s", spread=True).count() == 0

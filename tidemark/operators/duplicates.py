@@ -13,15 +13,18 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from tidemark.functions import exprs as X
+from tidemark.operators.runs import least_values
+from tidemark.operators.staging import every_nth
 
 
 def semantic_duplicates(df: DataFrame, fields: Sequence[str], artifact: str, n: int = 20, members: int = 5) -> DataFrame:
     """The n largest groups of equal fields, with the first few members of each."""
     rows = df.select(artifact, X.fingerprint(fields, 256).alias("state_hash"))
     groups = rows.groupBy("state_hash").agg(F.count_distinct(artifact).alias("artifacts")).filter("artifacts > 1").orderBy(F.desc("artifacts"), "state_hash").limit(n)
-    w = W.partitionBy("state_hash").orderBy(artifact)
-    inside = rows.join(F.broadcast(groups), "state_hash").withColumn("member", F.dense_rank().over(w)).filter(F.col("member") <= members)
-    return inside.distinct()
+    # a task passes on a few least artifacts of a group, so the largest groups are never in one
+    first = least_values(rows.join(F.broadcast(groups), "state_hash", "left_semi"), "state_hash", artifact, members, "__first")
+    out = first.join(F.broadcast(groups), "state_hash").select("state_hash", "artifacts", F.posexplode("__first").alias("__n", artifact))
+    return out.select("state_hash", artifact, "artifacts", (F.col("__n") + 1).alias("member"))
 
 
 def duplicate_profile(df: DataFrame, listing: str, artifact: str, ts: str, state: str) -> DataFrame:
@@ -131,7 +134,7 @@ def recompression(df: DataFrame, body: str, key: str, now: int = 3, then: int =
 
     rows = df.filter(F.col(body).isNotNull())
     if stride > 1:
-        rows = rows.join(every_nth(rows.select(key), key, stride).select(key), key, "left_semi")
+        rows = rows.join(every_nth(rows.select(key), [key], stride).select(key), key, "left_semi")
     rows = rows.select(sizes(body).alias("s"))
     out = rows.agg(F.count("*").alias("sampled"), F.sum(F.col("s")[0]).alias("raw_bytes"), F.sum(F.col("s")[1]).alias("now_bytes"), F.sum(F.col("s")[2]).alias("then_bytes"))
     out = out.withColumn("saving_pct", X.percent(F.col("now_bytes") - F.col("then_bytes"), "now_bytes", 2))

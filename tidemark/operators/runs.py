@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import exprs as X
+from tidemark.operators import scans
 from tidemark.operators.ranks import with_quantiles
 
 
@@ -49,12 +50,14 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str | Column], value:
     return df.withColumn(name, F.lag(value).over(W.partitionBy(key).orderBy(*[X.col(o) for o in order])))
 
 
-def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str, newest: Sequence[str] = ()) -> DataFrame:
+def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str, newest: Sequence[str] = (), spread: bool = False) -> DataFrame:
     """One row a key: current, first, least and greatest price, counts of events, drops and rises.
 
-    The `newest` columns come from the key's newest row, as newest_<name>.
+    The `newest` columns come from the key's newest row, as newest_<name>. spread: for keys whose rows are too
+    many for a task (scans.ranged); time and tie must then tell a key's rows apart.
     """
-    rows = with_previous(events.select(key, price, ts, tie, *newest), key, [ts, tie], price, "prev")
+    rows = events.select(key, price, ts, tie, *newest)
+    rows = scans.neighbours(scans.ranged(rows, key, [ts, tie]), key, [ts, tie], {"prev": price}, "__first") if spread else with_previous(rows, key, [ts, tie], price, "prev")
     p = F.col(price)
     last = [X.latest_row(list(newest), ts, tie).alias("__last")] if newest else []
     out = rows.groupBy(key).agg(
@@ -116,21 +119,30 @@ def fingerprints(obs: DataFrame, key: Sequence[str], fields: Sequence[str], orde
     return out.select(*dict.fromkeys([*(["observation_id"] if ids else []), *key, *order, name, *carry]))
 
 
-def runs(df: DataFrame, entity: str, order: Sequence[str], state: str | Sequence[str], first: Sequence[str] = (), sources: Mapping[str, Column] | None = None, distinct: Mapping[str, str] | None = None, any_of: Sequence[str] = ()) -> DataFrame:
+def runs(df: DataFrame, entity: str, order: Sequence[str], state: str | Sequence[str], first: Sequence[str] = (), sources: Mapping[str, Column] | None = None, distinct: Mapping[str, str] | None = None, any_of: Sequence[str] = (), spread: bool = False) -> DataFrame:
     """Maximal runs of equal state of an entity in order; order[0] is the time, the rest break ties.
 
     Per run: n, start and end, duration and time to the next run in hour boundaries, is_open for the
     last. `first` columns come from the run's first row, `any_of` columns from any row that has them;
-    `sources` gives counts (n_<name>) and flags (<name>_seen) of rows that meet a condition.
+    `sources` gives counts (n_<name>) and flags (<name>_seen) of rows that meet a condition. spread: for
+    entities whose rows are too many for a task (scans.ranged); order must then tell an entity's rows apart.
     """
     states = [state] if isinstance(state, str) else list(state)
-    w = W.partitionBy(entity).orderBy(*order)
-    changed = F.lit(False)
-    for s in states:
-        changed = changed | X.distinct_from(s, F.lag(s).over(w))
-    # the flag is a column of its own before it is summed
-    rows = df.withColumn("__new", F.when((F.row_number().over(w) == 1) | changed, 1).otherwise(0))
-    rows = rows.withColumn("__run", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    if spread:
+        before = {f"__was{k}": c for k, c in enumerate(states)}
+        rows = scans.neighbours(scans.ranged(df, entity, order), entity, order, before, "__first")
+        differs = F.col("__first")
+        for was, c in before.items():
+            differs = differs | X.distinct_from(c, was)
+        rows = scans.running(rows.withColumn("__new", differs.cast("int")), entity, order, "__new", "__run").drop(*before, "__first", "__part")
+    else:
+        w = W.partitionBy(entity).orderBy(*order)
+        changed = F.lit(False)
+        for s in states:
+            changed = changed | X.distinct_from(s, F.lag(s).over(w))
+        # the flag is a column of its own before it is summed
+        rows = df.withColumn("__new", F.when((F.row_number().over(w) == 1) | changed, 1).otherwise(0))
+        rows = rows.withColumn("__run", F.sum("__new").over(w.rowsBetween(W.unboundedPreceding, W.currentRow)))
     ts = order[0]
     aggs = [F.min(ts).alias("run_started_at"), F.max(ts).alias("run_ended_at"), F.count("*").alias("n_observations")]
     aggs += [F.first(s).alias(s) for s in states]
@@ -140,7 +152,10 @@ def runs(df: DataFrame, entity: str, order: Sequence[str], state: str | Sequence
         aggs += [F.count_if(met).alias(f"n_{name}"), F.coalesce(F.bool_or(met), F.lit(False)).alias(f"{name}_seen")]
     aggs += [F.count_distinct(c).alias(name) for name, c in (distinct or {}).items()]
     out = rows.groupBy(entity, "__run").agg(*aggs)
-    out = out.withColumn("next_run_started_at", F.lead("run_started_at").over(W.partitionBy(entity).orderBy("__run")))
+    if spread:
+        out = scans.neighbours(scans.ranged(out, entity, ["__run"]), entity, ["__run"], {"next_run_started_at": "run_started_at"}, "__last", ahead=True).drop("__last", "__part")
+    else:
+        out = out.withColumn("next_run_started_at", F.lead("run_started_at").over(W.partitionBy(entity).orderBy("__run")))
     out = out.withColumn("run_duration_hours", X.hour_diff("run_started_at", "run_ended_at")).withColumn("hours_until_change", X.hour_diff("run_started_at", "next_run_started_at"))
     return out.withColumn("is_open_run", F.col("next_run_started_at").isNull()).drop("__run")
 

@@ -68,6 +68,16 @@ def m3(t):
     return runs.price_history(B.order_events(t), "vin", "price", "ts", "tie")
 
 
+STATUS_EVENTS = "oe AS (SELECT o_orderstatus AS vin, CAST(round(o_totalprice * 100) AS BIGINT) AS price, o_orderdate AS ts, o_orderkey AS tie FROM orders)"
+
+
+@query("m3_hot_history", B.with_sql(STATUS_EVENTS, B.history_sql("oe")) + "SELECT * FROM history")
+def m3_hot(t):
+    """Three keys have all rows; they are split over tasks."""
+    rows = t.orders.select(F.col("o_orderstatus").alias("vin"), B.cents("o_totalprice").alias("price"), F.col("o_orderdate").alias("ts"), F.col("o_orderkey").alias("tie"))
+    return runs.price_history(rows, "vin", "price", "ts", "tie", spread=True)
+
+
 @query("m4_benchmarks", B.sales_with(B.BENCH) + "SELECT * REPLACE (CAST(national_avg_discount_pct AS DOUBLE) AS national_avg_discount_pct) FROM bench")
 def m4(t):
     return B.part_benchmarks(t).withColumn("national_avg_discount_pct", F.col("national_avg_discount_pct").cast("double"))
@@ -104,6 +114,16 @@ def m7(t):
     return runs.runs(B.order_events(t), "vin", ["ts", "tie"], "state", first=["queue"])
 
 
+TYPED = "typed AS (SELECT event_type, ts, event_id, CASE WHEN value > 20 THEN 'high' ELSE 'low' END AS state FROM events)"
+
+
+@query("m7_hot_runs", B.with_sql(TYPED, runs_sql("typed", "event_type", "ts, event_id", ["state"], "min(ts) AS run_started_at, max(ts) AS run_ended_at, count(*) AS n_observations, any_value(state) AS state")) + "SELECT * FROM runs")
+def m7_hot(t):
+    """Runs of a few entities that have all rows between them."""
+    rows = t.events.select("event_type", "ts", "event_id", F.when(F.col("value") > 20, "high").otherwise("low").alias("state"))
+    return runs.runs(rows, "event_type", ["ts", "event_id"], "state", spread=True)
+
+
 OBS_RUNS = runs_sql("obs2", "vin17", "fetched_at, artifact_id", ["state"], "min(fetched_at) AS run_started_at, max(fetched_at) AS run_ended_at, count(*) AS n_observations, any_value(state) AS state, max(listing_id) AS listing_id, "
     "count(*) FILTER (source = 'purchase') AS n_purchase, bool_or(source = 'purchase') AS purchase_seen, count(*) FILTER (source = 'click') AS n_click, bool_or(source = 'click') AS click_seen, count(DISTINCT artifact_id) AS artifacts")
 
