@@ -97,12 +97,20 @@ def test_export_is_immutable_and_hashes_ignore_order(spark, tmp_path):
 
 
 def test_publish_checks_its_key(spark, tmp_path):
-    df = spark.createDataFrame([(1,), (1,)], "k int")
-    with pytest.raises(ValueError, match="repeated"):
-        sinks.publish(df, str(tmp_path / "p"), "1", "k")
-    with pytest.raises(ValueError, match="null"):
-        sinks.publish(spark.createDataFrame([(1,), (None,)], "k int"), str(tmp_path / "p"), "2", "k")
-    assert sinks.publish(df.distinct(), str(tmp_path / "p"), "3", "k")["rows"] == 1
+    path = str(tmp_path / "p")
+    with pytest.raises(ValueError, match="1 repeated keys"):
+        sinks.publish(spark.createDataFrame([(1,), (1,)], "k int"), path, "1", "k")
+    with pytest.raises(ValueError, match="1 null keys"):
+        sinks.publish(spark.createDataFrame([(1,), (None,)], "k int"), path, "2", "k")
+    assert sinks.snapshots(spark, path) == [] and not list(tmp_path.glob("p/**/*.parquet"))  # nothing to read
+    one = sinks.publish(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-03")], "k int, t string"), path, "1", "k", "t")  # the version that failed
+    assert (one["rows"], one["max_ts"], one["sequence"], one["parent_id"]) == (2, "2024-01-03", 1, None)
+    with pytest.raises(FileExistsError):
+        sinks.publish(spark.createDataFrame([(3, "")], "k int, t string"), path, "1", "k")
+    two = sinks.publish(spark.createDataFrame([(3, "")], "k int, t string"), path, "2", "k")
+    assert (two["sequence"], two["parent_id"]) == (2, one["snapshot_id"]) and [x["version"] for x in sinks.snapshots(spark, path)] == ["1", "2"]
+    assert rows(spark.read.parquet(path), "k", "version") == [(1, 1), (2, 1), (3, 2)]
+    assert sinks.publish(spark.createDataFrame([], "k int"), path, "3", "k")["rows"] == 0
 
 
 def test_reconstruct_unlisted(spark):

@@ -277,6 +277,19 @@ def snk5(t):
     return t.spark.read.parquet(facts["location"])
 
 
+@query("snk5_snapshots", "SELECT '1' AS version, 1 AS sequence, count(*) AS rows, CAST(max(o_orderdate) AS VARCHAR) AS max_ts, FALSE AS has_parent FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT '2', 2, count(*), CAST(max(o_orderdate) AS VARCHAR), TRUE FROM orders")
+def snk5_snapshots(t):
+    """Facts of two versions; one that fails between them leaves none."""
+    path = folder(t, "versions")
+    sinks.publish(t.orders.filter("o_orderstatus = 'F'"), path, "1", "o_orderkey", "o_orderdate")
+    try:
+        sinks.publish(t.orders.union(t.orders), path, "2", "o_orderkey")
+    except ValueError:
+        sinks.publish(t.orders, path, "2", "o_orderkey", "o_orderdate")
+    facts = [(x["version"], x["sequence"], x["rows"], x["max_ts"], x["parent_id"] is not None) for x in sinks.snapshots(t.spark, path)]
+    return t.spark.createDataFrame(facts, "version string, sequence int, rows long, max_ts string, has_parent boolean")
+
+
 @query("lay_replace_by_key", "SELECT c_custkey, CASE WHEN c_custkey % 10 = 3 THEN 0 ELSE c_nationkey END AS c_nationkey FROM customer")
 def lay_replace(t):
     path = folder(t, "keyed")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
+from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,23 +89,53 @@ def export(tables: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]],
 
 
 def publish(df: DataFrame, path: str, version: str, key: str, ts: str | None = None) -> dict:
-    """Write a table version, then check it: key not null and unique, as many rows as were meant.
+    """Publish a table version once it is checked: key not null and unique, as many rows as were written.
 
-    Raises ValueError if a check fails. Returns its location and facts.
+    The version is written and checked in a hidden folder, with its snapshot's facts, and then renamed to
+    path/version=<version>, so readers of path see it whole or not at all. Raises ValueError if a check
+    fails and FileExistsError if the version is there; neither leaves anything that can be read.
+    Returns the snapshot's facts.
     """
-    target = f"{path}/version={version}"
-    df.write.mode("error").option("compression", "zstd").parquet(target)
-    back = df.sparkSession.read.parquet(target)
-    aggs = [F.count("*").alias("rows"), F.count(key).alias("keys"), F.count_distinct(key).alias("distinct_keys")] + ([F.max(ts).alias("max_ts")] if ts else [])
-    facts = back.agg(*aggs).first().asDict()
-    wanted = df.count()
-    if facts["keys"] != facts["rows"]:
-        raise ValueError(f"{facts['rows'] - facts['keys']} null keys in {target}")
-    if facts["distinct_keys"] != facts["rows"]:
-        raise ValueError(f"{facts['rows'] - facts['distinct_keys']} repeated keys in {target}")
-    if facts["rows"] != wanted:
-        raise ValueError(f"{facts['rows']} rows in {target}, {wanted} meant")
-    return {"location": target, "version": version, **facts}
+    spark = df.sparkSession
+    target, staged = f"{path}/version={version}", f"{path}/_staging/{version}-{uuid.uuid4().hex}"
+    fs, at = store_of(spark, path)
+    if fs.exists(at(target)):
+        raise FileExistsError(target)
+    parent = max(snapshots(spark, path), key=lambda x: x["sequence"], default=None)
+    seen = Observation()
+    df.observe(seen, F.count("*").alias("rows")).write.option("compression", "zstd").parquet(staged)
+    try:
+        back = spark.read.schema(df.schema).parquet(staged)
+        aggs = [F.count("*").alias("rows"), F.count(key).alias("keys"), F.count_distinct(key).alias("distinct_keys")] + ([F.max(ts).cast("string").alias("max_ts")] if ts else [])
+        facts = back.agg(*aggs).first().asDict()
+        for wrong, what in ((facts["rows"] - facts["keys"], "null keys"), (facts["keys"] - facts["distinct_keys"], "repeated keys"), (seen.get["rows"] - facts["rows"], "rows lost")):
+            if wrong:
+                raise ValueError(f"{wrong} {what} in version {version} of {path}")
+        content = content_hash(back).first()["content_hash"]
+        made = {"version": version, "sequence": parent["sequence"] + 1 if parent else 1, "parent_id": parent["snapshot_id"] if parent else None, "content_hash": content, "schema": df.schema.jsonValue(), **facts}
+        made = {"snapshot_id": hashlib.sha256(json.dumps(made, sort_keys=True).encode()).hexdigest()[:16], "committed_at": datetime.now(UTC).isoformat(), **made}
+        out = fs.create(at(f"{staged}/_snapshot.json"), True)
+        out.write(bytearray(json.dumps(made).encode()))
+        out.close()
+        if not fs.rename(at(staged), at(target)):
+            raise OSError(f"{staged} could not be moved to {target}")
+    finally:
+        fs.delete(at(staged), True)
+    return {"location": target, **made}
+
+
+def snapshots(spark: SparkSession, path: str) -> list[dict]:
+    """The facts of every published version of path, one small file each, in order."""
+    fs, at = store_of(spark, path)
+    found = fs.globStatus(at(f"{path}/version=*/_snapshot.json")) or []
+    read = spark._jvm.org.apache.commons.io.IOUtils.toString
+    return sorted((json.loads(read(fs.open(x.getPath()), "UTF-8")) for x in found), key=lambda x: x["sequence"])
+
+
+def store_of(spark: SparkSession, path: str):
+    """The file system of a path, and what makes its paths."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def publish_iceberg(df: DataFrame, name: str) -> None:
