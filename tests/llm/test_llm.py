@@ -99,6 +99,15 @@ def test_resample_repeats_rows(spark):
     assert mixing.resample(d).columns == d.columns
 
 
+@pytest.mark.parametrize("ids", [[None], [1, 2, 3]])
+def test_resample_does_not_depend_on_the_layout(spark, ids):
+    """Texts of one size under null or repeated ids."""
+    data = [(ids[k % len(ids)], f"w{k} x y", "abc"[k // 20]) for k in range(60)]
+    frame = spark.createDataFrame(data, "doc_id long, text string, source string")
+    one, three = (sorted((r["text"] for r in mixing.resample(frame.repartition(n, "text")).collect())) for n in (1, 3))
+    assert one == three and len(set(one)) > 20
+
+
 def test_mix_odd(spark):
     out = mixing.mix(odd_docs(spark)).collect()
     assert len(out) == 12 and all(r["taken"] == 0 for r in out if r["size"] == 0)
@@ -629,6 +638,17 @@ def test_language(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
 
 
+@pytest.mark.parametrize("key", [None, 7])
+@pytest.mark.parametrize("most", [5, 20, 4000])
+def test_languages_of_texts_under_one_id(spark, key, most):
+    """The sample is drawn by id and text, so rows of one id are not all in or all out."""
+    r = random.Random(8)
+    word = lambda letters: "".join(r.choice(letters) for _ in range(6))
+    data = [(key, " ".join(word("aehilnorst") for _ in range(40)), "en") for _ in range(30)] + [(key, " ".join(word("bcdfgküäöß") for _ in range(40)), "de") for _ in range(30)]
+    out = langid.predict(spark.createDataFrame(data, "doc_id long, text string, lang string"), max_train=most).collect()
+    assert collections.Counter(r["lang_pred"] for r in out) == {"en": 30, "de": 30}
+
+
 def test_language_reads_only_the_text(spark):
     d = docs(spark)
     other = d.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit("zz")).otherwise(F.col("lang"))).withColumn("source", F.lit(None))

@@ -30,7 +30,7 @@ ORDERS = (1, 2, 3, 4)
 BITS = 16
 #: Languages of one model; it has 4 << BITS bytes for each.
 BLOCK_LANGS = 128
-#: Documents learned from, at most about so many of each language; the sample is drawn by hash.
+#: Documents learned from, at most about so many of each language; the sample is drawn by hash of id and text.
 MAX_TRAIN = 4000
 #: Code points hashed at once, and n-grams whose rows of the model are added at once, in the cache.
 CHUNK = 1 << 20
@@ -90,9 +90,9 @@ def languages(rows: DataFrame, lang: str) -> dict[str, int]:
 
 def train(rows: DataFrame, text: str, lang: str, key: str, there: dict[str, int], langs: list[str], max_train: int) -> np.ndarray:
     """The model of langs: log-probabilities [bucket, language]; the last row has the priors."""
-    # the sample: ids whose hash lies under a share of the language's rows
+    # the sample: rows whose hash, of id and text, lies under a share of the language's rows
     share = F.create_map(*[x for name in langs for x in (F.lit(name), F.lit(min(1.0, max_train / there[name])))])
-    draw = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20)) < share[F.col(lang)] * (1 << 20)
+    draw = F.pmod(F.xxhash64(key, text, F.lit("sample")), F.lit(1 << 20)) < share[F.col(lang)] * (1 << 20)
     number = {name: k for k, name in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -105,7 +105,11 @@ def _join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
 
 
 def copies(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """sized (id, source, size and others) with source_size, target, rate and copies added."""
+    """sized (id, tie, source, size and others) with source_size, target, rate and copies added.
+
+    Rows of one size and source are told apart by id and tie, a hash of the text: which of them get a copy more does
+    not depend on how rows are laid out, whatever their ids. Rows equal in both are the same document.
+    """
     cells = cut(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "cells")
     goal = cut(targets(cells.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size")), weights, cap), "targets")
     lam = solve(cells.filter("size > 0"), goal, cap)
@@ -124,8 +128,8 @@ def copies(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP)
     plan = cut(plan.select(F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("n").alias("__n"), "source_size", "target", "rate", F.col("m").alias("__m")), "plan")
     met = sized.join(plan, F.col("source").eqNullSafe(F.col("__source")) & (F.col("size") == F.col("__size")))
     # a large cell is spread by hash into groups that are ranked apart
-    met = met.withColumn("__h", F.xxhash64("id", F.lit("copies"))).withColumn("__part", F.expr(f"pmod(__h, greatest(1, __n div {SPREAD}))"))
-    rank = F.row_number().over(W.partitionBy("source", "size", "__part").orderBy("__h", "id"))
+    met = met.withColumn("__h", F.xxhash64("id", "tie", F.lit("copies"))).withColumn("__part", F.expr(f"pmod(__h, greatest(1, __n div {SPREAD}))"))
+    rank = F.row_number().over(W.partitionBy("source", "size", "__part").orderBy("__h", "id", "tie"))
     met = met.withColumn("__k", rank).withColumn("__shift", F.expr("CASE WHEN __part = 0 THEN 0 ELSE pmod(xxhash64(__part), __n) END"))
     extra = F.expr("(__k * (__m % __n) + __shift) div __n - ((__k - 1) * (__m % __n) + __shift) div __n")
     met = met.withColumn("copies", (F.expr("__m div __n") + extra).cast("int"))
@@ -134,7 +138,7 @@ def copies(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP)
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """One row per row of docs: doc_id, size, source_size, target, taken, rate, copies."""
-    sized = docs.select(F.col(key).alias("id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"))
+    sized = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("tie"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"))
     out = copies(cut(sized, "sized"), weights, cap)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate", "copies")
 
@@ -142,6 +146,6 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
 def resample(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The rows of docs, all their columns, each as often as the mix takes it."""
     row = unused(docs, "__row")
-    sized = docs.select(F.struct("*").alias(row), F.col(key).alias("id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"))
+    sized = docs.select(F.struct("*").alias(row), F.col(key).alias("id"), F.xxhash64(text).alias("tie"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"))
     picked = copies(sized, weights, cap).filter("copies > 0")
     return picked.select(row, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("__copy")).select(f"{row}.*")
