@@ -264,6 +264,28 @@ def snk3(t):
     return t.spark.read.parquet(path)
 
 
+@query("snk3_flush_stream", "SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 0 ELSE 1 END AS batch FROM orders")
+def snk3_stream(t):
+    """Orders that grow by the later years while the first batch is flushed; they wait for the second."""
+    from tidemark.streaming import keyed
+
+    table, out, checkpoint = folder(t, "queue"), folder(t, "flushed"), folder(t, "ck")
+    late = F.col("o_orderdate") >= "1997-01-01"
+    shift = t.orders.agg(F.max("o_orderkey")).first()[0] + 1  # numbers in order of arrival
+    rows = t.orders.select((F.col("o_orderkey") + F.when(late, shift).otherwise(0)).alias("n"), "o_orderkey", "o_custkey", late.alias("late"))
+    add = lambda x: rows.filter(F.col("late") == x).drop("late").write.mode("append").parquet(table)
+
+    def apply(batch, number):
+        if number == 0:
+            add(True)
+        batch.drop("n").write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    add(False)
+    for _ in range(2):
+        keyed.flush(keyed.source(t.spark, table, "n", rows.drop("late").schema), checkpoint, apply).start().awaitTermination()
+    return t.spark.read.parquet(out)
+
+
 @query("snk4_export_manifest", "SELECT 'orders' AS table_name, count(*) AS rows FROM orders UNION ALL SELECT 'customer', count(*) FROM customer")
 def snk4(t):
     done = sinks.export({"orders": (t.orders, ["o_orderstatus"], ["o_orderkey"]), "customer": (t.customer, [], ["c_custkey"])}, folder(t, "export"))
