@@ -22,6 +22,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 import unicodedata
@@ -185,7 +186,8 @@ class Sheet:
     """Which elements a page's style rules hide or show."""
 
     def __init__(self, styles: list[str]):
-        self.rules: dict[str, list[tuple[tuple[int, int, int], int, str, set[str], dict[str, str]]]] = {}
+        # by one of its names or its tag, then by all of them: the order and value of what was declared last
+        self.rules: dict[str, dict[tuple[tuple[int, int, int], str, frozenset[str]], dict[str, tuple[int, str]]]] = {}
         order = 0
         for text in styles:
             text = outside_at_rules(re.sub(r"/\*.*?(?:\*/|\Z)", "", text, flags=re.S))
@@ -194,11 +196,12 @@ class Sheet:
                 for selector in selectors.split(",") if said else []:
                     m = SELECTOR.match(selector.strip())
                     if m and m[0]:
-                        names = set(re.findall(r"[.#][\w-]+", m[2]))
+                        names = frozenset(re.findall(r"[.#][\w-]+", m[2]))
                         tag = (m[1] or "*").lower()
                         ids = sum(x[0] == "#" for x in names)
                         at = min(names) if names else tag
-                        self.rules.setdefault(at, []).append(((ids, len(names) - ids, int(tag != "*")), order, tag, names, said))
+                        own = self.rules.setdefault(at, {}).setdefault(((ids, len(names) - ids, int(tag != "*")), tag, names), {})
+                        own |= {k: (order, v) for k, v in said.items()}
                         order += 1
 
     def of(self, node: Node) -> dict[str, str]:
@@ -207,9 +210,12 @@ class Sheet:
         said: dict[str, str] = {"display": "none"} if "hidden" in a else {}
         if self.rules:
             names = {"." + x for x in a.get("class", "").split()} | ({"#" + a["id"]} if a.get("id") else set())
-            met = [r for at in (*names, node.tag, "*") for r in self.rules.get(at, ()) if r[2] in ("*", node.tag) and r[3] <= names]
-            for r in sorted(met, key=lambda r: r[:2]):
-                said |= r[4]
+            met = [(weight, own) for at in (*names, node.tag, "*") for (weight, tag, need), own in self.rules.get(at, {}).items() if tag in ("*", node.tag) and need <= names]
+            best: dict[str, tuple] = {}
+            for weight, own in met:
+                for k, v in own.items():
+                    best[k] = max(best.get(k, ()), (weight, *v))
+            said |= {k: v[-1] for k, v in best.items()}
         return said | declared(a["style"]) if "style" in a else said
 
 
@@ -445,7 +451,8 @@ def table(node: Node) -> list[str]:
                 added.append((c, c + wide, r + deep - 1))
             c += wide
         open_ += added
-        taken.append({c: x if c == max(place) else wrapped(x) for c, x in place.items()})
+        last = max(place, default=-1)
+        taken.append({c: x if c == last else wrapped(x) for c, x in place.items()})
     wide: dict[int, int] = {}
     for place in taken:
         for c, lines in place.items():
@@ -454,7 +461,8 @@ def table(node: Node) -> list[str]:
     out = [*rendered(loose), *captions]
     for place in taken:
         # nothing stands right of a row's last cell
-        cells = [(wide[c], place.get(c, [])) for c in columns if c <= max(place, default=-1)]
+        last = max(place, default=-1)
+        cells = [(wide[c], place.get(c, [])) for c in columns[: bisect.bisect_right(columns, last)]]
         for k in range(max((len(x) for _, x in cells), default=0)):
             parts = [(n, x[k] if k < len(x) else "") for n, x in cells]
             out.append("  ".join(x + " " * (n - width(x)) for n, x in parts).rstrip())
