@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.sources import indexed
+
 EMPTY = "1900-01-01 00:00:00"
 
 
@@ -43,9 +45,25 @@ def affected(source: DataFrame, target: DataFrame | None, ts: str, lookback: str
     """
     if target is None:
         return transform(source)
+    return replace(target, affected_rows(source, target, ts, lookback, entity, transform, target_ts), entity)
+
+
+def affected_rows(source: DataFrame, target: DataFrame, ts: str, lookback: str, entity: str, transform: Callable[[DataFrame], DataFrame], target_ts: str) -> DataFrame:
+    """What the entities with a row in the lookback become, from all their rows."""
     touched = source.filter(F.col(ts) >= watermark(target, target_ts, lookback)).select(entity).distinct()
-    batch = transform(source.join(touched, entity, "left_semi"))
-    return replace(target, batch, entity)
+    return transform(source.join(touched, entity, "left_semi"))
+
+
+def rescan_at_rest(source: DataFrame, path: str, ts: str, lookback: str, transform: Callable[[DataFrame], DataFrame], target_ts: str | None = None, **layout: int) -> dict:
+    """rescan() of the indexed table at path: only files that hold the batch's keys are written again."""
+    target = indexed.read(source.sparkSession, path)
+    return indexed.replace(transform(source.filter(F.col(ts) >= watermark(target, target_ts or ts, lookback))), path, **layout)
+
+
+def affected_at_rest(source: DataFrame, path: str, ts: str, lookback: str, entity: str, transform: Callable[[DataFrame], DataFrame], target_ts: str, **layout: int) -> dict:
+    """affected() of the indexed table at path, whose key is the entity."""
+    target = indexed.read(source.sparkSession, path)
+    return indexed.replace(affected_rows(source, target, ts, lookback, entity, transform, target_ts), path, **layout)
 
 
 def time_window(source: DataFrame, target: DataFrame | None, ts: str, unit: str, lookback: str, transform: Callable[[DataFrame], DataFrame], target_ts: str, key: Sequence[str]) -> DataFrame:

@@ -9,7 +9,8 @@ from tidemark.operators import audits, incremental, marts, runs, selectors, stag
 from tidemark.plans import bindings as B
 from tidemark.plans import models as M
 from tidemark.plans.registry import EVENTS_END, query
-from tidemark.sources import readers
+from tidemark.sources import indexed, readers
+from tidemark.sources.scratch import new_table
 
 # sources, predicates, joins
 
@@ -356,27 +357,62 @@ def co8(t):
 CUT = "2024-01-20 00:00:00"
 
 
-@query("inc1_rescan", B.with_sql(B.OBS) + f"SELECT artifact_id, fetched_at, {M.FP} AS fingerprint FROM obs QUALIFY row_number() OVER (PARTITION BY artifact_id ORDER BY fetched_at DESC, fingerprint DESC) = 1")
+INC1 = B.with_sql(B.OBS) + f"SELECT artifact_id, fetched_at, {M.FP} AS fingerprint FROM obs QUALIFY row_number() OVER (PARTITION BY artifact_id ORDER BY fetched_at DESC, fingerprint DESC) = 1"
+INC2 = B.with_sql(B.ORDER_EVENTS, B.history_sql("oe")) + "SELECT * FROM history"
+INC3 = B.with_sql(B.ORDER_EVENTS, M.runs_sql("oe", "vin", "ts, tie", ["state"], "min(ts) AS run_started_at, max(ts) AS run_ended_at, count(*) AS n_observations, any_value(state) AS state")) + "SELECT * FROM runs"
+
+
+@query("inc1_rescan", INC1)
 def inc1(t):
     make = lambda rows: runs.fingerprints(rows, ["artifact_id"], M.FIELDS, ["fetched_at"])
     obs = B.observations(t)
     return incremental.rescan(obs, make(readers.between(obs, "fetched_at", end=CUT)), "fetched_at", "3 DAYS", "artifact_id", make)
 
 
-@query("inc2_affected_history", B.with_sql(B.ORDER_EVENTS, B.history_sql("oe")) + "SELECT * FROM history")
+@query("inc2_affected_history", INC2)
 def inc2(t):
     make = lambda rows: runs.price_history(rows, "vin", "price", "ts", "tie")
     oe = B.order_events(t)
     return incremental.affected(oe, make(readers.between(oe, "ts", end="2001-01-01")), "ts", "3 DAYS", "vin", make, "last_seen_at")
 
 
-@query("inc3_entity_runs", B.with_sql(B.ORDER_EVENTS, M.runs_sql("oe", "vin", "ts, tie", ["state"], "min(ts) AS run_started_at, max(ts) AS run_ended_at, count(*) AS n_observations, any_value(state) AS state")) + "SELECT * FROM runs")
+@query("inc3_entity_runs", INC3)
 def inc3(t):
     make = lambda rows: runs.runs(rows, "vin", ["ts", "tie"], "state")
     oe = B.order_events(t)
     return incremental.affected(oe, make(readers.between(oe, "ts", end="2001-01-01")), "ts", "3 DAYS", "vin", make, "run_ended_at")
 
 
+# the same on tables at rest: the base is a table with a key index, the second wave one commit
+
+
+@query("inc1_at_rest", INC1)
+def inc1_at_rest(t):
+    make = lambda rows: runs.fingerprints(rows, ["artifact_id"], M.FIELDS, ["fetched_at"])
+    obs, path = B.observations(t), new_table(t.spark, "fingerprints")
+    indexed.create(make(readers.between(obs, "fetched_at", end=CUT)), path, "artifact_id")
+    incremental.rescan_at_rest(obs, path, "fetched_at", "3 DAYS", make)
+    return indexed.read(t.spark, path)
+
+
+@query("inc2_at_rest", INC2)
+def inc2_at_rest(t):
+    make = lambda rows: runs.price_history(rows, "vin", "price", "ts", "tie")
+    oe, path = B.order_events(t), new_table(t.spark, "history")
+    indexed.create(make(readers.between(oe, "ts", end="2001-01-01")), path, "vin")
+    incremental.affected_at_rest(oe, path, "ts", "3 DAYS", "vin", make, "last_seen_at")
+    return indexed.read(t.spark, path)
+
+
+@query("inc3_at_rest", INC3)
+def inc3_at_rest(t):
+    make = lambda rows: runs.runs(rows, "vin", ["ts", "tie"], "state")
+    oe, path = B.order_events(t), new_table(t.spark, "runs")
+    indexed.create(make(readers.between(oe, "ts", end="2001-01-01")), path, "vin")
+    incremental.affected_at_rest(oe, path, "ts", "3 DAYS", "vin", make, "run_ended_at")
+    return indexed.read(t.spark, path)
+
+
 @query("inc4_time_window", B.with_sql(B.OBS, M.VOLUME) + "SELECT * FROM volume")
 def inc4(t):
     make = lambda rows: marts.scrape_volume(rows, "fetched_at", "source", "artifact_id", "listing_id", F.col("k") > 10, "purchase")

@@ -26,9 +26,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def new_table(spark: SparkSession, name: str) -> str:
+    """A path in the checkpoint folder that nothing has yet."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the checkpoint folder: what several parts of a plan read is computed once."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = new_table(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
