@@ -228,6 +228,30 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert got.count() == 0
 
 
+@pytest.mark.parametrize("max_bytes", [bloom.MAX_BYTES, 10 << 10])
+def test_urls_of_long_lists_in_shards(spark, max_bytes):
+    """6,000 rules and 80 path lengths: filters larger than max_bytes are asked in shards, with one result."""
+    listed = [(f"h{k % 900}.org", "/" + "x" * (k % 80) + str(k), "allow" if k % 3 else "block") for k in range(6000)]
+    rules = spark.createDataFrame(listed, "host string, path string, verdict string")
+    by_host = {}
+    for r in listed:
+        by_host.setdefault(r[0], []).append(r)
+    asked = [f"http://w{k % 2}.h{k % 1000}.org/" + "x" * (k % 80) + str(k) + "/q"[: k % 3] for k in range(0, 9000, 7)]
+    pages = spark.createDataFrame(list(enumerate(asked)), "page_id long, url string")
+    want = [(k, *brute_url(u, by_host.get(u.split("/")[2].split(".", 1)[1], []))) for k, u in enumerate(asked)]
+    assert sorted(tuple(r) for r in urls.judge(pages, rules, max_bytes=max_bytes).collect()) == want
+    assert {w[4] for w in want} == {"allow", "block"}
+
+
+def test_shards_are_a_partition(spark):
+    universe = spark.range(30_000).select(F.xxhash64("id").alias("h"), "id")
+    made = list(bloom.shards(universe.filter("id % 2 = 0").select("h"), universe.select("h"), 8 << 10))
+    assert len(made) > 2 and sum(1 / of for _, _, of in made) == 1
+    assert all(sum(map(len, levels)) <= (8 << 10) + 64 * len(levels) for levels, _, _ in made)
+    got = [F.get(bloom.member(*m)(F.array("h")), F.lit(0)).cast("int") for m in made]
+    assert universe.filter(sum(got[1:], got[0]) != F.when(F.col("id") % 2 == 0, 1).otherwise(0)).count() == 0
+
+
 # op4
 
 
@@ -793,3 +817,30 @@ def test_components_of_long_chains_and_stars(spark):
     nodes = spark.createDataFrame([(k,) for k in [*range(301), *range(1000, 1300), 7777]], "node long")
     got = {r["node"]: r["component"] for r in common.components(nodes, edges, "t").collect()}
     assert got == {**dict.fromkeys(range(301), 0), **dict.fromkeys(range(1000, 1300), 1000), 7777: 7777}
+
+
+def test_random_access_to_token_blocks(spark, tmp_path):
+    """Single documents and ranges of ids, from blocks of a few documents, equal the library's own ids."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(Q.tokenizer())
+    texts = [(k if k % 9 else None if k % 2 else 5, ("the cat sat on the mat again and again " * (k % 13) + f"number {k}") if k % 11 else None) for k in range(1, 90)]
+    path = str(tmp_path / "blocks")
+    tokens.write_blocks(spark.createDataFrame(texts, "doc_id long, text string"), path, Q.tokenizer(), block=400)
+    blocks = spark.read.parquet(path)
+    assert blocks.count() > 10
+    ids = lambda t: [*tok.encode(t or "", add_special_tokens=False).ids, tokens.END]
+    order = sorted(texts, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
+    flat, want = [], []
+    for k, t in order:
+        if k in (5, 14, 77, None):
+            want.append((k, len(flat), ids(t)))
+        flat += ids(t)
+    asked = spark.createDataFrame([(5,), (14,), (77,), (77,), (None,), (100_000,)], "doc_id long")
+    got = [(r["doc_id"], r["start"], r["ids"]) for r in tokens.read_documents(blocks, asked).orderBy("start").collect()]
+    assert got == want
+    for a, b in ((0, 1), (3, 1200), (len(flat) - 2, len(flat) + 50), (700, 700), (0, len(flat))):
+        piece = [x for r in tokens.read_range(blocks, a, b).orderBy("start").collect() for x in r["ids"]]
+        assert piece == flat[a:b]
+    assert tokens.read_range(blocks, 3, 9).first()["start"] == 3
+    assert tokens.read_documents(blocks.limit(0), asked).count() == 0 == tokens.read_range(blocks.limit(0), 0, 5).count()

@@ -8,6 +8,8 @@ So urls are judged without a join.
 
 Building reads the corpus once for its distinct keys; each level is written to the shared folder, and
 its bits are set by tasks and merged by bitwise or. Only filters reach the driver, sized by their keys.
+A cascade beyond the size that may be broadcast is cut by key hash into shards, each a cascade of its own
+keys, as many as it takes; one shard is held and asked at a time.
 """
 
 from __future__ import annotations
@@ -25,12 +27,11 @@ from tidemark.llm.common import cut, discard
 
 BITS_PER_KEY = 10
 HASHES = 5
-#: A cascade up to so many bytes is broadcast; a larger one gives way to a join on the keys.
+#: Bytes of filters that are broadcast at once; a larger cascade is cut into shards. SHARD_BYTES is the least that cuts it.
 MAX_BYTES = 64 << 20
+SHARD_BYTES = 4 << 10
 #: Bits that one row of a partial filter holds.
 SLICE = 1 << 16
-#: Path lengths of rules; more distinct ones than this are looked up by a join too.
-MAX_LENGTHS = 64
 MAX_LEVELS = 64
 
 
@@ -94,6 +95,22 @@ def build(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_BYTES) ->
     return levels
 
 
+def shards(listed: DataFrame, universe: DataFrame, max_bytes: int = MAX_BYTES) -> Iterator[tuple[list[np.ndarray], int, int]]:
+    """(bitmaps, shard, of) one after another: cascades of the keys with h mod `of` = shard, of max_bytes at most each.
+
+    A shard that is too large is cut in two. Only the one that is given out is held.
+    """
+    open_ = [(0, 1)]
+    while open_:
+        shard, of = open_.pop()
+        own = F.pmod("h", F.lit(of)) == shard
+        levels = build(listed.filter(own), universe.filter(own), max(max_bytes, SHARD_BYTES))
+        if levels is None:
+            open_ += [(shard + of, 2 * of), (shard, 2 * of)]
+        else:
+            yield levels, shard, of
+
+
 def _per_key(test):
     """A function of an array<long> column, from one of a numpy array."""
 
@@ -110,11 +127,11 @@ def _passes(bitmap: np.ndarray, level: int):
     return _per_key(lambda h: holds(bitmap, level, h))
 
 
-def member(levels: list[np.ndarray]):
-    """A function of an array<long> column of key hashes: which of them are listed?"""
+def member(levels: list[np.ndarray], shard: int = 0, of: int = 1):
+    """A function of an array<long> column of key hashes: which of them are listed in this shard?"""
 
     def listed(h: np.ndarray) -> np.ndarray:
-        out, open_ = np.zeros(len(h), bool), np.ones(len(h), bool)
+        out, open_ = np.zeros(len(h), bool), np.mod(h, of) == shard
         for level, bitmap in enumerate(levels):
             yes = holds(bitmap, level, h)
             out[open_ & ~yes] = level % 2 == 1  # denied here, so held by the level before

@@ -350,6 +350,85 @@ def read_digest(blocks: DataFrame) -> DataFrame:
     return placed.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long, n_symbols long")
 
 
+def unfold(symbols: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
+    """The ids of some symbols alone: their own rules are followed, level by level, and no others."""
+    while (inner := symbols >= base).any():
+        n = 1 + inner
+        out, at = np.repeat(symbols, n), np.cumsum(n)[inner] - 2
+        out[at], out[at + 1] = rules[symbols[inner] - base].T
+        symbols = out
+    return symbols
+
+
+class Block:
+    """One block row, read without expanding it: lengths of expansions tell which symbols a range of ids needs."""
+
+    def __init__(self, row: dict):
+        self.base, kind = row["base"], symbol_type(row["base"])
+        self.rules = np.frombuffer(row["rules"], kind).reshape(-1, 2)
+        self.symbols = np.frombuffer(row["symbols"], kind)
+        size = np.concatenate([np.ones(self.base, np.int64), np.frombuffer(row["expansions"], "<u4")])
+        self.ends = np.cumsum(size[self.symbols])
+
+    def ids(self, begin: int, end: int) -> np.ndarray:
+        """Ids begin to end (exclusive) of the block."""
+        if begin >= end:
+            return np.zeros(0, np.int32)
+        first, last = np.searchsorted(self.ends, begin, "right"), np.searchsorted(self.ends, end, "left")
+        before = self.ends[first - 1] if first else 0
+        return unfold(self.symbols[first : last + 1], self.rules, self.base)[begin - before : end - before].astype(np.int32)
+
+
+def pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranges (begin, end within the block) that each block row is asked for, a row each."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            block = Block(row)
+            for w in sorted(row["wanted"], key=lambda w: w["begin"]):
+                ids = pa.array(block.ids(w["begin"], w["end"]), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([w["doc_id"]], pa.int64()), pa.array([row["start"] + w["begin"]], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)], names=["doc_id", "start", "ids"])
+
+
+PIECE = "doc_id long, start long, ids array<int>"
+BODY = ["rules", "expansions", "symbols", "base"]
+
+
+def read_range(blocks: DataFrame, begin: int, end: int) -> DataFrame:
+    """Ids begin to end (exclusive) of all ids written, as (start, ids) rows, one a block that has some.
+
+    Grammars and symbols are read of those blocks alone, and only symbols that reach into the range are expanded.
+    """
+    at = starts(blocks.select("part", "seq", "n_tokens"))
+    size = blocks.select("part", "seq", "n_tokens").join(at, ["part", "seq"]).filter((F.col("start") < end) & (F.col("start") + F.col("n_tokens") > begin))
+    own = F.struct(F.lit(None).cast("long").alias("doc_id"), F.greatest(F.lit(begin) - F.col("start"), F.lit(0)).cast("long").alias("begin"), F.least(F.lit(end) - F.col("start"), F.col("n_tokens")).cast("long").alias("end"))
+    asked = size.select("part", "seq", "start", F.array(own).alias("wanted"))
+    return blocks.select("part", "seq", *BODY).join(asked, ["part", "seq"]).select("start", "wanted", *BODY).mapInArrow(pieces_of, PIECE).select("start", "ids")
+
+
+def read_documents(blocks: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(doc_id, start, ids with the end id) of the written documents whose id is in wanted; null asks for null.
+
+    A scan of the ids' columns finds blocks and places; only those blocks' grammars are read, and of them
+    only the documents' own symbols are expanded. A repeated id gives all its documents; one asked for
+    twice gives them once; an unknown one gives none.
+    """
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = np.frombuffer(row["doc_tokens"], "<i8")
+                ids = pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=np.frombuffer(row["doc_nulls"], "u1").astype(bool))
+                end = np.cumsum(n)
+                yield pa.RecordBatch.from_arrays([pa.array([row["part"]] * len(n), pa.int32()), pa.array([row["seq"]] * len(n), pa.int32()), ids, pa.array(end - n), pa.array(end)], names=["part", "seq", "doc_id", "begin", "end"])
+
+    asked = wanted.select(F.col(key).cast("long").alias("__id")).distinct()
+    found = blocks.select("part", "seq", "doc_ids", "doc_nulls", "doc_tokens").mapInArrow(places, "part int, seq int, doc_id long, begin long, end long")
+    found = found.join(asked, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    own = found.groupBy("part", "seq").agg(F.collect_list(F.struct("doc_id", "begin", "end")).alias("wanted"))  # a block's documents at most
+    own = own.join(starts(blocks.select("part", "seq", "n_tokens")), ["part", "seq"])
+    return blocks.select("part", "seq", *BODY).join(own, ["part", "seq"]).select("start", "wanted", *BODY).mapInArrow(pieces_of, PIECE)
+
+
 def token_output(docs: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id", path: str | None = None) -> DataFrame:
     """Write docs as blocks (under path, else a scratch folder) and digest what the files hold."""
     path = path or scratch(docs.sparkSession, "tokens")

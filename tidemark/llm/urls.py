@@ -41,25 +41,23 @@ def keys_of(host: Column, starts: Column) -> Column:
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", key: str = "page_id", max_bytes: int = bloom.MAX_BYTES) -> DataFrame:
     """key, host, path, rule (host and path, else null), verdict, for every row of pages.
 
-    rules has host, path and verdict (allow or block). Lists too large to broadcast as filters, and rules
-    of very many path lengths, are joined on their keys instead, over distinct hosts and paths.
+    rules has host, path and verdict (allow or block). A list whose filters take more than max_bytes is asked
+    in shards: a pass over the urls' keys for each, written out in between, so that one shard is in memory.
+    The driver holds the distinct lengths of the rules' paths, no more numbers than the longest path has letters.
     """
     one = cut(rules.groupBy("host", "path").agg(F.max("verdict").alias("verdict")).withColumn("h", F.xxhash64("host", "path")), "rules")
-    lengths = sorted(r[0] for r in one.select(F.length("path")).distinct().limit(bloom.MAX_LENGTHS + 1).collect())
+    lengths = sorted(r[0] for r in one.select(F.length("path")).distinct().collect())
     asked = pages.select(F.col(key), F.col(url).alias("__url")).select(key, host_of(F.col("__url")).alias("host"), path_of(F.col("__url")).alias("path"))
-    path = F.col("path")
-    if len(lengths) <= bloom.MAX_LENGTHS:
-        starts = F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]).cast("array<string>")
-        keyed = asked.withColumn("__keys", keys_of(F.col("host"), F.filter(starts, lambda p: p.isNotNull())))
-        universe = cut(keyed.select(F.explode("__keys.h").alias("h")).distinct(), "universe")
-        made = {verdict: bloom.build(one.filter(F.col("verdict") == verdict), universe, max_bytes // 2) for verdict in ("allow", "block")}
-        if None not in made.values():
-            for verdict, levels in made.items():
-                keyed = keyed.withColumn(f"__{verdict}", bloom.member(levels)("__keys.h"))
-            met = F.filter(F.transform("__keys", lambda k, i: F.struct(k["rule"].alias("rule"), F.get("__allow", i).alias("allow"), F.get("__block", i).alias("block"))), lambda x: x["allow"] | x["block"])
-            keyed = keyed.withColumn("__first", F.get(met, F.lit(0)))
-            return keyed.select(key, "host", "path", F.col("__first.rule").alias("rule"), F.when(F.col("__first.block"), "block").otherwise("allow").alias("verdict"))
-    starts = F.transform(F.sequence(F.lit(0), F.length(path)), lambda n: F.substring(path, F.lit(1), n))
-    keys = asked.select("host", "path").distinct().withColumn("__k", F.explode(keys_of(F.col("host"), starts)))
-    best = keys.select("host", "path", F.col("__k.h").alias("h"), F.struct("__k.size", "__k.rule").alias("__k")).join(one.select("h", "verdict"), "h").groupBy("host", "path").agg(F.max(F.struct("__k", "verdict")).alias("__b"))
-    return asked.join(best, ["host", "path"], "left").select(key, "host", "path", F.col("__b.__k.rule").alias("rule"), F.coalesce("__b.verdict", F.lit("allow")).alias("verdict"))
+    fit = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path"))
+    keyed = asked.withColumn("__keys", keys_of(F.col("host"), F.transform(fit, lambda n: F.substring("path", F.lit(1), n))))
+    universe = cut(keyed.select(F.explode("__keys.h").alias("h")).distinct(), "universe")
+    for verdict in ("allow", "block"):
+        name, found = f"__{verdict}", F.transform("__keys", lambda _: F.lit(False))
+        for levels, shard, of in bloom.shards(one.filter(F.col("verdict") == verdict), universe, max_bytes // 2):
+            here = bloom.member(levels, shard, of)("__keys.h")
+            keyed = keyed.withColumn(name, here if of == 1 else F.zip_with(found, here, lambda a, b: a | b))
+            if of > 1:
+                keyed, found = cut(keyed, "asked"), F.col(name)
+    met = F.filter(F.transform("__keys", lambda k, i: F.struct(k["rule"].alias("rule"), F.get("__allow", i).alias("allow"), F.get("__block", i).alias("block"))), lambda x: x["allow"] | x["block"])
+    keyed = keyed.withColumn("__first", F.get(met, F.lit(0)))
+    return keyed.select(key, "host", "path", F.col("__first.rule").alias("rule"), F.when(F.col("__first.block"), "block").otherwise("allow").alias("verdict"))
