@@ -87,10 +87,18 @@ def since(df: DataFrame, ts: str, instant: str | Column, interval: str) -> DataF
 
 
 def prefix_match(df: DataFrame, targets: DataFrame, group: str, text: str, target_group: str, target_text: str) -> DataFrame:
-    """Rows whose text equals, or starts with the words of, any target of their group."""
+    """Rows whose text equals, or starts with the words of, any target of their group.
+
+    Each distinct text asks for its starts at word ends, up to the longest target, by equality; a group's rows
+    don't meet all its targets.
+    """
     t = targets.select(F.col(target_group).alias("__g"), F.col(target_text).alias("__t")).distinct()
-    met = (df[group] == t["__g"]) & ((df[text] == t["__t"]) | df[text].startswith(F.concat(t["__t"], F.lit(" "))))
-    return df.join(t, met, "left_semi")
+    most = F.broadcast(t.agg(F.max(F.size(F.split("__t", " "))).alias("__most")))  # one row
+    words = F.slice(F.split("__x", " "), F.lit(1), F.col("__most"))
+    starts = F.transform(F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+    asked = df.select(F.col(group).alias("__g"), F.col(text).alias("__x")).distinct().crossJoin(most).select("__g", "__x", F.explode(starts).alias("__t"))
+    met = asked.join(t, ["__g", "__t"], "left_semi").select("__g", "__x").distinct()
+    return df.join(met, (df[group] == met["__g"]) & (df[text] == met["__x"]), "left_semi")
 
 
 def elsewhere(df: DataFrame, other: DataFrame, key: str, place: str) -> DataFrame:
