@@ -844,3 +844,16 @@ def test_random_access_to_token_blocks(spark, tmp_path):
         assert piece == flat[a:b]
     assert tokens.read_range(blocks, 3, 9).first()["start"] == 3
     assert tokens.read_documents(blocks.limit(0), asked).count() == 0 == tokens.read_range(blocks.limit(0), 0, 5).count()
+
+
+def test_repeats_in_long_periodic_texts(spark):
+    """A text with a cell a byte takes several rows of cells, and few spans; it loses all, and its copy too."""
+    n = 3 * repeats.PER_ROW
+    found = list(repeats.rows_of(1, 2, "a" * n, repeats.LENGTH))
+    assert len(found) == 3 and [r[2] for r in found] == [n, None, None] and max(len(r[4]) for r in found) == repeats.PER_ROW
+    assert [r[2] for r in repeats.rows_of(1, 2, "short", repeats.LENGTH)] == [5]
+    rows = [(1, "a" * n), (2, "ab" * 5000 + prose(200, 31)), (3, prose(300, 32)), (4, None), (None, "x" * 399), (5, "y" * 400), (6, "z" * 401)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"]) for r in repeats.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    assert got[1] == (n, n, 1) and got[2][1:] == (10_000, 1) and got[3][1:] == (0, 0) and got[4] == (0, 0, 0)
+    assert got[None][1:] == (0, 0) and got[5][1:] == (0, 0) and got[6] == (401, 401, 1)

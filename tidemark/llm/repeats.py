@@ -20,7 +20,8 @@ thousands of documents share counts once in step 4.
 
 Defined results: a null text is empty; a text shorter than `length` loses nothing; repeated rows repeat
 each other; a null doc_id is a document like any other; an empty table gives an empty result. Extra
-columns are not read. A task holds one document and arrays over at most CHUNK of its windows.
+columns are not read. A task holds one document and arrays over at most CHUNK of its windows; a row holds
+PER_ROW cells of a document at most, or its spans, at most one for each `length` bytes.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from tidemark.llm.common import cut
 LENGTH = 400
 GRAM = 64
 CHUNK = 1 << 22
+#: Cells of one document in a row.
+PER_ROW = 1 << 16
 BLOCK = 16
 MULTIPLIER = 0x9E3779B97F4A7C15
 TABLE = np.random.default_rng(1).integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -64,8 +67,12 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def cells(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[np.ndarray, ...]]:
-    """(first window, last window, sample's place, sample's hash, class) arrays of a text's cells."""
-    out = []
+    """All of cells_by_chunk()."""
+    return list(cells_by_chunk(data, length, gram))
+
+
+def cells_by_chunk(data: bytes, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[np.ndarray, ...]]:
+    """(first window, last window, sample's place, sample's hash, class) arrays of a text's cells, a chunk at a time."""
     at = 0
     step = max(CHUNK, length)  # windows at once, more than one cell has
     while at <= len(data) - length:
@@ -82,9 +89,8 @@ def cells(data: bytes, length: int = LENGTH, gram: int = GRAM) -> list[tuple[np.
         digest = xxhash.xxh3_64_intdigest
         view = memoryview(data)
         kind = np.array([digest(view[a : b + length]) for a, b in zip((first + at).tolist(), (last + at).tolist(), strict=True)], np.uint64)
-        out.append((first + at, last + at, place + at, h[place].view(np.int64), kind.view(np.int64)))
+        yield first + at, last + at, place + at, h[place].view(np.int64), kind.view(np.int64)
         at += len(sample) if ended else int(last[-1]) + 1
-    return out
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,20 +104,38 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 ARRAYS = ["first", "last", "place", "sample", "kind"]
 
 
+def rows_of(doc: int | None, mark: int, text: str, length: int) -> Iterator[tuple]:
+    """A document's rows: its size and hash in the first, PER_ROW cells at most in each."""
+    data = text.encode("utf-8", "surrogatepass")
+    facts = (len(data), hashlib.sha256(data).hexdigest())
+    for found in cells_by_chunk(data, length):
+        for k in range(0, len(found[0]), PER_ROW):
+            yield (doc, mark, *facts, *[x[k : k + PER_ROW] for x in found])
+            facts = (None, None)
+    if facts[1]:  # a text shorter than a window
+        yield (doc, mark, *facts, *[np.zeros(0, np.int64)] * len(ARRAYS))
+
+
 def sampled(docs: DataFrame, text: str, key: str, length: int) -> DataFrame:
-    """One row a document: id, text hash, n_bytes, sha256 of the text, and arrays of its cells."""
+    """Rows of a document: id, text hash, n_bytes and sha256 of the text (null in all but the first), arrays of cells."""
+    kinds = [pa.int64()] * 3 + [pa.string()] + [pa.list_(pa.int64())] * len(ARRAYS)
+    names = ["doc_id", "mark", "n_bytes", "sha", *ARRAYS]
+
+    def batch_of(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held, strict=True), kinds, strict=True)], names=names)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, shas, lists = [], [], [[] for _ in ARRAYS]
-            for t in batch.column(2).to_pylist():
-                data = t.encode("utf-8", "surrogatepass")
-                sizes.append(len(data))
-                shas.append(hashlib.sha256(data).hexdigest())
-                found = cells(data, length)
-                for k, out in enumerate(lists):
-                    out.append(np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), *[pa.array(x, pa.list_(pa.int64())) for x in lists]], names=["doc_id", "mark", "n_bytes", "sha", *ARRAYS])
+            held, n = [], 0
+            for doc in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                for row in rows_of(*doc, length):
+                    held.append(row)
+                    n += len(row[-1])
+                    if n >= PER_ROW:
+                        yield batch_of(held)
+                        held, n = [], 0
+            if held:
+                yield batch_of(held)
 
     return keyed(docs, text, key).mapInArrow(each, "doc_id long, mark long, n_bytes long, sha string, " + ", ".join(f"{c} array<long>" for c in ARRAYS))
 
@@ -206,7 +230,9 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: i
     each = cut(windows(same_doc(affected, more, "inner"), length), "windows").select("doc_id", "mark", "a", "core", "single", F.posexplode("w").alias("j", "w"))
     twice = cut(each.groupBy("core", "w").count().filter("count > 1").select("core", "w"), "twice")
     parts = each.filter("single").join(twice, ["core", "w"], "left_semi").select("doc_id", "mark", (F.col("a") + F.col("j")).alias("a"), (F.col("a") + F.col("j") + length).alias("b"))
-    spans = whole.unionByName(filled).unionByName(parts).groupBy("doc_id", "mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    # spans that start in the same `length` bytes meet, as each is that long: together they are one span
+    near = whole.unionByName(filled).unionByName(parts).groupBy("doc_id", "mark", F.expr(f"a div {length}").alias("at")).agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    spans = near.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,5 +248,5 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", length: i
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())], names=["doc_id", "mark", "n_removed", "n_spans", "kept"])
 
     removed = same_doc(affected, spans, "inner").mapInArrow(remove, "doc_id long, mark long, n_removed long, n_spans long, kept string")
-    out = same_doc(base.select("doc_id", "mark", "n_bytes", "sha"), removed, "left")
+    out = same_doc(base.filter("n_bytes is not null").select("doc_id", "mark", "n_bytes", "sha"), removed, "left")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"))
