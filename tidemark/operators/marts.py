@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.functions import exprs as X
+from tidemark.operators.ranks import with_quantiles
 from tidemark.operators.runs import percent_rank, with_previous
 from tidemark.sources.scratch import written
 
@@ -18,43 +19,55 @@ def active_models(tracked: DataFrame, configs: DataFrame, config: str = "search_
     return tracked.join(configs.filter(F.col(enabled)).select(config), config, "left_semi").select(*group).distinct()
 
 
+def change_starts(as_of: str, days: Sequence[int] = (7, 30)) -> dict[str, Column]:
+    """By the names of the counts of price changes, the instants so many days before as_of."""
+    return {f"price_change_count_{d}d": X.as_of(as_of) - F.expr(f"INTERVAL {d} DAYS") for d in days}
+
+
 def price_changes(events: DataFrame, key: str, price: str, ts: str, tie: str, as_of: str, days: Sequence[int] = (7, 30)) -> DataFrame:
     """Per key, how often the price changed in the last so many days before the instant."""
     at = X.as_of(as_of)
     rows = with_previous(events.filter(F.col(ts) <= at).select(key, price, ts, tie), key, [ts, tie], price, "prev")
     moved = F.col("prev").isNotNull() & (F.col(price) != F.col("prev"))
-    return rows.groupBy(key).agg(*[F.count_if(moved & (F.col(ts) >= at - F.expr(f"INTERVAL {d} DAYS"))).alias(f"price_change_count_{d}d") for d in days])
+    return rows.groupBy(key).agg(*[F.count_if(moved & (F.col(ts) >= since)).alias(name) for name, since in change_starts(as_of, days).items()])
 
 
 def volatility_features(
-    obs: DataFrame, events: DataFrame, history: DataFrame, bench: DataFrame, state_runs: DataFrame, source_runs: DataFrame, as_of: str, *,
+    obs: DataFrame, events: DataFrame | None, history: DataFrame, bench: DataFrame, state_runs: DataFrame, source_runs: DataFrame, as_of: str, *,
     key: str = "vin17", listing: str = "listing_id", event_key: str = "vin", price: str = "price", ts: str = "fetched_at", tie: str = "artifact_id", event_ts: str = "event_at", event_tie: str = "event_id",
-    source: str = "source", main: str = "detail", side: str = "srp", state: str = "listing_state", fingerprint: str = "fingerprint", dealer: str = "customer_id", group: Sequence[str] = ("make", "model"),
+    source: str = "source", main: str = "detail", side: str = "srp", state: str = "listing_state", fingerprint: str = "fingerprint", dealer: str = "customer_id", group: Sequence[str] = ("make", "model"), spread: bool = False,
 ) -> DataFrame:
     """One row a key, of its open run, as of an instant.
 
-    obs and events are cut at the instant here; history, bench and the runs should have been made from
-    inputs cut at it (cut_at does that), else they look ahead. Runs with their metadata, which five parts
-    of the result read, are written to the checkpoint folder first.
+    obs and events are cut at the instant here; without events, history has the counts of price changes
+    (price_history makes them of change_starts), which saves the events a second shuffle and sort. history, bench and the runs should have been made from
+    inputs cut at it (cut_at does that), else they look ahead. Runs with their metadata, which three parts
+    of the result read, are written to the checkpoint folder first. What a key's runs give is one aggregate,
+    after one shuffle by key. spread: for dealers or groups whose distinct run lengths are too many for a task.
     """
     at = X.as_of(as_of)
     seen = obs.filter(F.col(ts) <= at)
     meta = seen.filter((F.col(source) == main) & F.col(key).isNotNull()).groupBy(key, listing).agg(*[X.latest(c, ts, tie).alias(c) for c in (dealer, *group)])
     rows = written(state_runs.join(meta, [key, listing], "left"), "runs")
-    stats = rows.groupBy(key).agg((F.count("*") - 1).alias("total_state_changes"), F.count_distinct(listing).alias("listing_id_change_count"), F.min("run_started_at").alias("first_seen_at"), F.max("run_ended_at").alias("latest_fetched_at"))
-    turned = with_previous(rows, key, ["run_started_at", fingerprint], state, "prev")
-    turned = turned.groupBy(key).agg(F.count_if(F.col(state) != F.col("prev")).alias("listing_state_change_count"))
+    opened = F.struct(F.col("run_started_at"), F.col("n_observations"), *[F.col(c) for c in (listing, dealer, *group)])
+    keys = with_previous(rows.filter(F.col(key).isNotNull()), key, ["run_started_at", fingerprint], state, "prev").groupBy(key).agg(
+        (F.count("*") - 1).alias("total_state_changes"), F.count_distinct(listing).alias("listing_id_change_count"), F.min("run_started_at").alias("first_seen_at"), F.max("run_ended_at").alias("latest_fetched_at"),
+        F.count_if(F.col(state) != F.col("prev")).alias("listing_state_change_count"), F.max(F.when(F.col("is_open_run"), opened)).alias("open"),
+    ).filter("open is not null").select("*", "open.*").drop("open")
     closed = rows.filter(~F.col("is_open_run"))
 
-    def lengths(keys: Sequence[str], name: str) -> DataFrame:
-        some = closed.filter(" and ".join(f"{k} is not null" for k in keys))
-        return some.groupBy(*keys).agg(F.avg("run_duration_hours").alias(f"{name}_avg_run_length_hours"), F.median("run_duration_hours").alias(f"{name}_median_run_length_hours"))
+    def lengths(by: Sequence[str], name: str) -> DataFrame:
+        some = closed.filter(" and ".join(f"{k} is not null" for k in by)).select(*by, "run_duration_hours")
+        out = with_quantiles(some, by, "run_duration_hours", [0.5], [F.avg("run_duration_hours").alias(f"{name}_avg_run_length_hours")], spread)
+        return out.select(*by, f"{name}_avg_run_length_hours", F.col("q")[0].alias(f"{name}_median_run_length_hours"))
 
-    changes = price_changes(events, event_key, price, event_ts, event_tie, as_of).withColumnRenamed(event_key, key)
-    prices = history.select(F.col(event_key).alias(key), "current_price")
+    counted = list(change_starts(as_of)) if events is None else []
+    prices = history.select(F.col(event_key).alias(key), "current_price", *counted)
+    if events is not None:
+        prices = prices.join(price_changes(events, event_key, price, event_ts, event_tie, as_of).withColumnRenamed(event_key, key), key, "full")
     seen_side = seen.filter(F.col(source) == side).groupBy(listing).agg(F.max(ts).alias("recent_srp_seen_at"))
     everywhere = source_runs.filter("is_open_run").select(listing, F.col("run_started_at").alias("all_source_run_started_at"), *[F.col(c).alias(f"all_source_{c}") for c in source_runs.columns if c.startswith("n_")], *[F.col(c).alias(f"__{c}") for c in source_runs.columns if c.endswith("_seen")])
-    out = rows.filter("is_open_run").join(stats, key).join(turned, key, "left").join(changes, key, "left").join(prices, key, "left")
+    out = keys.join(prices, key, "left")
     out = out.join(bench.select(*group, "national_median_price"), list(group), "left").join(lengths([dealer], "dealer"), dealer, "left").join(lengths(list(group), "make_model"), list(group), "left")
     out = out.join(seen_side, listing, "left").join(everywhere, listing, "left")
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
@@ -66,7 +79,7 @@ def volatility_features(
         key, listing, "latest_fetched_at", "first_seen_at", "total_state_changes", "listing_id_change_count",
         X.day_diff("run_started_at", at).alias("days_since_last_state_change"),
         F.col("n_observations").alias("unchanged_observation_streak"),
-        count("listing_state_change_count"), "current_price", count("price_change_count_7d"), count("price_change_count_30d"),
+        "listing_state_change_count", "current_price", count("price_change_count_7d"), count("price_change_count_30d"),
         F.when(F.col("national_median_price") > 0, F.col("current_price").cast("double") / F.col("national_median_price")).alias("price_vs_make_model_median"),
         X.day_diff("first_seen_at", at).alias("listing_days_on_market"),
         "dealer_avg_run_length_hours", "dealer_median_run_length_hours", "make_model_avg_run_length_hours", "make_model_median_run_length_hours",

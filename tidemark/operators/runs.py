@@ -50,10 +50,11 @@ def with_previous(df: DataFrame, key: str, order: Sequence[str | Column], value:
     return df.withColumn(name, F.lag(value).over(W.partitionBy(key).orderBy(*[X.col(o) for o in order])))
 
 
-def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str, newest: Sequence[str] = (), spread: bool = False) -> DataFrame:
+def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str, newest: Sequence[str] = (), spread: bool = False, changes: Mapping[str, Column] | None = None) -> DataFrame:
     """One row a key: current, first, least and greatest price, counts of events, drops and rises.
 
-    The `newest` columns come from the key's newest row, as newest_<name>. spread: for keys whose rows are too
+    The `newest` columns come from the key's newest row, as newest_<name>. `changes` has, by name, instants from
+    which on changes of the price are counted, in the same pass (marts.price_changes counts them alone). spread: for keys whose rows are too
     many for a task (scans.ranged); time and tie must then tell a key's rows apart.
     """
     rows = events.select(key, price, ts, tie, *newest)
@@ -71,6 +72,7 @@ def price_history(events: DataFrame, key: str, price: str, ts: str, tie: str, ne
         F.count_if(p > F.col("prev")).alias("price_increase_count"),
         F.min(ts).alias("first_seen_at"),
         F.max(ts).alias("last_seen_at"),
+        *[F.count_if((p != F.col("prev")) & (F.col(ts) >= since)).alias(name) for name, since in (changes or {}).items()],
         *last,
     )
     return out.select("*", *[F.col(f"__last.c_{c}").alias(f"newest_{c}") for c in newest]).drop("__last")

@@ -31,8 +31,11 @@ def sales(t: Tables) -> DataFrame:
     li = t.lineitem
     tie = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_suppkey")
     unit = F.round(F.col("l_extendedprice") / F.col("l_quantity") * 100).cast("long")
-    rows = li.select(F.col("l_partkey").alias("vin"), F.col("l_shipdate").alias("ts"), tie.alias("tie"), unit.alias("price"), F.col("l_suppkey").alias("customer_id"), F.when(F.col("l_linestatus") == "O", "active").otherwise("unlisted").alias("listing_state"), F.when(F.col("l_returnflag") == "N", "detail").otherwise("srp").alias("source"))
-    return rows.groupBy("vin", "ts", "tie").agg(*[F.max(c).alias(c) for c in ("price", "customer_id", "listing_state", "source")])
+    gone, side = F.coalesce(F.col("l_linestatus") != "O", F.lit(True)), F.coalesce(F.col("l_returnflag") != "N", F.lit(True))
+    rows = li.select(F.col("l_partkey").alias("vin"), F.col("l_shipdate").alias("ts"), tie.alias("tie"), unit.alias("price"), F.col("l_suppkey").alias("customer_id"), gone.alias("gone"), side.alias("side"))
+    # the greatest of two words is a flag's maximum: buffers of fixed width are hashed, strings would be sorted
+    rows = rows.groupBy("vin", "ts", "tie").agg(*[F.max(c).alias(c) for c in ("price", "customer_id", "gone", "side")])
+    return rows.select("vin", "ts", "tie", "price", "customer_id", F.when(F.col("gone"), "unlisted").otherwise("active").alias("listing_state"), F.when(F.col("side"), "srp").otherwise("detail").alias("source"))
 
 
 SALES = """sales AS (SELECT l_partkey AS vin, l_shipdate AS ts, (l_orderkey * 10 + l_linenumber) * 100000 + l_suppkey AS tie,

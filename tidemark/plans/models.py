@@ -172,11 +172,11 @@ def m9(t):
     obs = marts.cut_at(B.sales(t), "ts", at).withColumnRenamed("vin", "vin17").withColumn("listing_id", F.col("vin17") * 1)
     obs = written(obs.join(B.parts(t).select("vin17", "make", "model"), "vin17").withColumn("fingerprint", X.fingerprint(["listing_state"])), "observations")
     events = obs.select(F.col("vin17").alias("vin"), "price", "ts", "tie")
-    history = written(runs.price_history(events, "vin", "price", "ts", "tie"), "history")
+    history = written(runs.price_history(events, "vin", "price", "ts", "tie", changes=marts.change_starts(at)), "history")
     bench = runs.benchmarks(B.parts(t), history, "vin17", "vin", ["make", "model"], "msrp", "decimal(12,2)")
     state_runs = runs.runs(obs.filter("source = 'detail'"), "vin17", ["ts", "tie"], ["fingerprint", "listing_state"], first=["listing_id"])
     source_runs = runs.runs(obs, "listing_id", ["ts", "tie"], "listing_state", sources={"detail": F.col("source") == "detail", "srp": F.col("source") == "srp"})
-    return marts.volatility_features(obs, events, history, bench, state_runs, source_runs, at, ts="ts", tie="tie", event_ts="ts", event_tie="tie")
+    return marts.volatility_features(obs, None, history, bench, state_runs, source_runs, at, ts="ts", tie="tie", event_ts="ts", event_tie="tie")
 
 
 SNAP_COLUMNS = "vin17, make, model, msrp, customer_id, price, first_price, min_price, max_price, total_price_observations, price_drop_count, price_increase_count, first_seen_at, last_seen_at, current_state, days_on_market"
