@@ -107,19 +107,26 @@ def test_fingerprint_dedupe_takes_the_later_write(spark):
     assert [r["price"] for r in out.collect()] == [23500]
 
 
-def features(spark, as_of, *, late):
+def features(spark, as_of, *, late, given=True, spread=False):
     obs = [("L1", "detail", "A", "2026-01-01 00:00:00", 1, "active"), ("L1", "detail", "A", "2026-01-01 12:00:00", 2, "active"), ("L2", "detail", "B", "2026-01-02 00:00:00", 3, "active"), ("L2", "detail", "B", "2026-01-03 00:00:00", 4, "active")]
     if late:
         obs += [("L2", "srp", "B", "2026-03-01 00:00:00", 9, "active")]
     df = frame(spark, "vin17 string, listing_id string, source string, fingerprint string, fetched_at string, artifact_id int, listing_state string, customer_id string, make string, model string", *[("v", a, b, c, d, e, f, "d1", "m", "o") for a, b, c, d, e, f in obs])
     events = frame(spark, "vin string, price int, event_at string, event_id int", ("v", 100, "2026-01-01", 1), ("v", 90, "2026-01-25", 2), ("v", 80, "2026-03-01", 3))
     seen = events.filter(F.col("event_at") <= F.lit(as_of).cast("timestamp"))
-    h = runs.price_history(seen, "vin", "price", "event_at", "event_id")
+    h = runs.price_history(seen, "vin", "price", "event_at", "event_id", changes=None if given else marts.change_starts(as_of))
     bench = frame(spark, "make string, model string, national_median_price int", ("m", "o", 75))
     own = df.filter((F.col("source") == "detail") & (F.col("fetched_at") <= F.lit(as_of).cast("timestamp")))
     state_runs = runs.runs(own, "vin17", ["fetched_at", "artifact_id"], ["fingerprint", "listing_state"], first=["listing_id"])
     everything = runs.runs(df.filter(F.col("fetched_at") <= F.lit(as_of).cast("timestamp")), "listing_id", ["fetched_at", "artifact_id"], "fingerprint", sources={"detail": F.col("source") == "detail", "srp": F.col("source") == "srp"})
-    return marts.volatility_features(df, events, h, bench, state_runs, everything, as_of).collect()
+    return marts.volatility_features(df, events if given else None, h, bench, state_runs, everything, as_of, spread=spread).collect()
+
+
+def test_volatility_features_by_any_plan(spark):
+    at = "2026-03-02 00:00:00"
+    want = features(spark, at, late=True)
+    assert (want[0]["price_change_count_7d"], want[0]["price_change_count_30d"], want[0]["make_model_median_run_length_hours"]) == (1, 1, 12.0)
+    assert features(spark, at, late=True, given=False) == want == features(spark, at, late=True, spread=True)
 
 
 def test_volatility_features_see_nothing_after_the_instant(spark):

@@ -96,6 +96,36 @@ def test_export_is_immutable_and_hashes_ignore_order(spark, tmp_path):
     assert sinks.content_hash(df.limit(0)).first()["rows"] == 0
 
 
+def test_export_hashes_what_it_writes(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    path = tmp_path / "g"
+    df = spark.range(1000).select("id", F.expr("CASE id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'a/b=c%' WHEN 2 THEN 'é' ELSE '' END").alias("p"), F.timestamp_seconds("id").alias("at"), F.lit(1.5).cast("decimal(9,2)").alias("d"))
+    same = spark.range(0, 6, 1, 3).select(F.lit(7).alias("x"))  # three tasks write equal bytes
+    made = {r["table_name"]: r for r in sinks.export({"t": (df, ["p"], ["id"]), "same": (same, [], []), "none": (df.limit(0), [], [])}, str(path)).collect()}
+    assert (path / "_SUCCESS").exists()
+    for name, frame in (("t", df), ("same", same)):
+        files = sorted((path / name).rglob("*.parquet"))
+        sums = sorted(hashlib.sha256(f.read_bytes()).hexdigest() for f in files)
+        assert made[name]["sha256"] == sums and made[name]["files"] == len(files)
+        assert made[name]["bytes"] == sum(f.stat().st_size for f in files)
+        assert made[name]["rows"] == frame.count()
+        assert made[name]["content_hash"] == sinks.content_hash(frame).first()["content_hash"]
+    assert rows(sinks.exported(spark, str(path), "t"), "id", "p", "at", "d") == rows(df.withColumn("p", F.nullif("p", F.lit(""))), "id", "p", "at", "d")
+    assert sinks.exported(spark, str(path), "same").count() == 6
+    assert (made["none"]["rows"], made["none"]["files"], made["none"]["sha256"]) == (0, 0, [])
+
+
+def test_failed_export_leaves_nothing_readable(spark, tmp_path):
+    path = tmp_path / "g"
+    bad = spark.range(0, 4000, 1, 4).withColumn("x", F.when(F.col("id") == 3999, F.raise_error(F.lit("stop"))).otherwise(1))
+    with pytest.raises(Exception, match="stop"):
+        sinks.export({"good": (spark.range(5), [], []), "bad": (bad, [], [])}, str(path))
+    assert not (path / "bad").exists() and not (path / "_SUCCESS").exists()
+    with pytest.raises(FileNotFoundError):
+        sinks.exported(spark, str(path), "good")
+
+
 def test_publish_checks_its_key(spark, tmp_path):
     path = str(tmp_path / "p")
     with pytest.raises(ValueError, match="1 repeated keys"):

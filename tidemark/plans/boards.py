@@ -292,6 +292,14 @@ def snk4(t):
     return done.select("table_name", "rows")
 
 
+@query("snk4_read_back", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate FROM orders")
+def snk4c(t):
+    """Every order as a whole generation gives it back."""
+    path = folder(t, "export")
+    sinks.export({"orders": (t.orders, ["o_orderstatus"], ["o_orderkey"])}, path)
+    return sinks.exported(t.spark, path, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+
 @query("snk5_publish", B.with_sql(B.ORDER_EVENTS, B.history_sql("oe")) + "SELECT * FROM history")
 def snk5(t):
     path = folder(t, "publish")

@@ -9,15 +9,13 @@ from collections.abc import Iterator, Mapping, Sequence
 from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import exports
 from tidemark.sources.scratch import ensure_checkpoint_dir
 
-#: Rows of an exported file at most.
-FILE_ROWS = 2_000_000
-
 
 def stamped(obs: DataFrame, now: str | None = None) -> DataFrame:
     """Observations as they are stored: written_at, year, month and day of fetched_at or else written_at,
@@ -61,31 +59,50 @@ def flush_bounded(source: DataFrame, key: str, write) -> int | None:
     return top
 
 
+def hashed(df: DataFrame) -> Column:
+    """A hash of a frame's rows, as text, that does not depend on their order. An aggregate."""
+    return F.coalesce(F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string")
+
+
 def content_hash(df: DataFrame) -> DataFrame:
-    """(rows, content_hash): a hash of the rows that does not depend on their order."""
-    columns = sorted(df.columns)
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("content_hash"))
+    """(rows, content_hash)."""
+    return df.agg(F.count("*").alias("rows"), hashed(df).alias("content_hash"))
 
 
 def export(tables: Mapping[str, tuple[DataFrame, Sequence[str], Sequence[str]]], path: str) -> DataFrame:
-    """Write tables (frame, partition columns, sort columns) to a new generation folder, and a manifest
-    of rows, content hash, files and SHA-256 of each file's bytes. An existing folder is refused.
+    """Write tables (frame, partition columns, sort columns) to a new generation folder, and a manifest of rows,
+    content hash, files, bytes and SHA-256 of each file. An existing folder is refused.
 
-    A partition of many rows is split over tasks by the adaptive rebalance, and a file holds FILE_ROWS
-    rows at most, so that one file's bytes fit in the task that hashes them."""
-    manifest = None
+    Files are hashed while they are written (exports.write_table) and rows on their way there, so nothing is read
+    again. A generation is whole once it has _SUCCESS, which comes last; rows counted on the way and in the files must
+    agree (ValueError, and no _SUCCESS).
+    """
+    spark = next(iter(tables.values()))[0].sparkSession
+    fs, at = store_of(spark, path)
+    if fs.exists(at(path)):
+        raise FileExistsError(f"{path} already exists")
+    facts = []
     for name, (df, parts, sort) in tables.items():
-        rows = df.hint("rebalance", *parts) if parts else df
-        rows = rows.sortWithinPartitions(*parts, *sort)
-        writer = rows.write.mode("error").option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS)
-        (writer.partitionBy(*parts) if parts else writer).parquet(f"{path}/{name}")
-        spark = df.sparkSession
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{path}/{name}")
-        sums = files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.sort_array(F.collect_list(F.sha2("content", 256))).alias("sha256"))
-        one = content_hash(spark.read.parquet(f"{path}/{name}")).crossJoin(sums).select(F.lit(name).alias("table_name"), "*")
-        manifest = one if manifest is None else manifest.unionByName(one)
-    manifest.write.mode("error").parquet(f"{path}/_manifest")
-    return tables[next(iter(tables))][0].sparkSession.read.parquet(f"{path}/_manifest")
+        seen = Observation()
+        exports.write_table(df.observe(seen, F.count("*").alias("rows"), hashed(df).alias("content_hash")), path, name, parts, sort)
+        facts.append((name, seen.get["rows"], seen.get["content_hash"]))
+    sums = exports.listed(spark, path).groupBy("table_name").agg(F.sum("rows").alias("__rows"), F.count("*").alias("files"), F.sum("bytes").alias("bytes"), F.sort_array(F.collect_list("sha256")).alias("sha256"))
+    known = spark.createDataFrame(facts, "table_name string, rows long, content_hash string")
+    made = known.join(sums, "table_name", "left").fillna(0, ["__rows", "files", "bytes"])
+    if lost := [r["table_name"] for r in made.filter("rows <> __rows").collect()]:
+        raise ValueError(f"{path}: rows counted and written differ in {', '.join(lost)}")
+    manifest = made.select("table_name", "rows", "content_hash", "files", "bytes", F.coalesce("sha256", F.array().cast("array<string>")).alias("sha256"))
+    manifest.coalesce(1).write.mode("error").parquet(f"{path}/_manifest")
+    fs.create(at(f"{path}/_SUCCESS"), False).close()
+    return spark.read.schema(manifest.schema).parquet(f"{path}/_manifest")
+
+
+def exported(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of a generation that is whole; FileNotFoundError if it isn't, or has no such rows."""
+    fs, at = store_of(spark, path)
+    if not fs.exists(at(f"{path}/_SUCCESS")) or not fs.exists(at(f"{path}/{name}")):
+        raise FileNotFoundError(f"{path}/{name}")
+    return spark.read.parquet(f"{path}/{name}")
 
 
 def publish(df: DataFrame, path: str, version: str, key: str, ts: str | None = None) -> dict:
