@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bloom, common, decontam, html, langid, lines, mixing, quality, repeats, simhash, tokens, urls
 from tidemark.llm import queries as Q
+from tidemark.llm.minhash import band_keys
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile("[^\x20\x09-\x0d]+")
@@ -644,6 +645,33 @@ def test_text_tiles(monkeypatch, large):
     assert similar and joined(simhash.text_links(left, right)) == joined(similar)
 
 
+@pytest.mark.parametrize("n", [9, 20, 150])
+def test_pairs_of_similarity_are_candidates(n):
+    """Of pairs just above similarity 0.8, short ones too, nearly all share a band and lie within the stage's radius."""
+    r, pairs, known = random.Random(n), [], {}
+    while len(pairs) < 400:
+        a = [f"w{r.randrange(5000)}" for _ in range(n)]
+        b, last = list(a), None
+        own = simhash.shingle_sets([" ".join(a)], known, 5)[0]
+        while True:
+            k = r.randrange(len(b))
+            b = r.choice([b[:k] + [f"new{r.randrange(10**6)}"] + b[k + 1 :], b[:-1], [*b, f"new{r.randrange(10**6)}"]])
+            other = simhash.shingle_sets([" ".join(b)], known, 5)[0]
+            if 10 * len(np.intersect1d(own, other)) < 8 * len(np.union1d(own, other)):
+                break
+            last = other
+        if last is not None:
+            pairs.append((own, last))
+
+    def keys(sets):
+        size = np.array(list(map(len, sets)))
+        return band_keys(((np.concatenate(sets) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.uint32), np.cumsum(size) - size)
+
+    band = (keys([x for x, _ in pairs]) == keys([y for _, y in pairs])).any(1)
+    near = np.array([(simhash.majority(x) ^ simhash.majority(y)).bit_count() <= simhash.WIDE for x, y in pairs])
+    assert near.mean() >= 0.995 and (near & band).mean() >= 0.99
+
+
 def test_keep_similar_odd(spark):
     d = odd_docs(spark)
     kept = simhash.keep_similar(d)

@@ -107,7 +107,8 @@ def learn(rows: DataFrame, max_rules: int = 12, max_conditions: int = 4, min_pre
 
     Growing adds the condition of highest information gain until no kept row is covered; pruning cuts
     the tail of the rule that does not help on the other part. A rule stays if its precision on both
-    parts is min_precision or more; the first that isn't ends the list.
+    parts is min_precision or more; the first that isn't ends the list. The list is a model of bounded size:
+    it has max_rules rules of max_conditions conditions at most, whatever rejected rows are left uncovered.
     """
     names = list(RATIOS)
     quantiles = F.array(*[F.lit(q) for q in QUANTILES])
