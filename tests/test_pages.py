@@ -3,6 +3,7 @@
 import json
 
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tidemark.operators import pages
 
@@ -61,3 +62,11 @@ def test_carousel(spark):
         (ID, f"https://s/vehicledetail/{ID}/", 5, None, "New 20 Car", None, None), ("A", None, 9999, 12000, "used 2021 Some Car", "used", 2021), ("B", None, None, None, "CPO 2020 Van X", "CPO", 2020),
     ]
     assert rows(pages.carousel_counts(p, "id")) == [(0, True, 4, 3, 1, 1, 0, 2), (1, False, 0, 0, 0, 0, 0, 0), (2, True, 0, 0, 0, 0, 0, 0), (3, False, 0, 0, 0, 0, 0, 0)]
+
+
+def test_small_rows_of_pages_go_to_many_tasks(spark):
+    from tidemark.plans import boards
+    from tidemark.plans.registry import Tables
+
+    at = boards.listing_pages(Tables(spark, "/root/testdata/sf0.001")).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(at) == 4 and max(x["count"] for x in at) < 2 * sum(x["count"] for x in at) / 4

@@ -10,6 +10,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -68,14 +69,16 @@ class Found:
 
 
 def compound(text: str):
-    """A test of one element: tag, #id, .class and attributes."""
+    """A test of one element: tag, #id, .class and attributes. Its own `tag` is the one it asks for, empty for any."""
     tag = re.match(r"[\w-]*", text)[0]
     need_id = re.findall(r"#([\w-]+)", text.split("[")[0])
     classes = set(re.findall(r"\.([\w-]+)", text.split("[")[0]))
     attrs = re.findall(r"\[([\w-]+)(?:([*^]?=)([^\]]*))?\]", text)
 
     def test(e: Element) -> bool:
-        if tag and e.tag != tag or need_id and e.attrs.get("id") not in need_id or not classes <= set((e.attrs.get("class") or "").split()):
+        if tag and e.tag != tag or need_id and e.attrs.get("id") not in need_id:
+            return False
+        if classes and not (e.attrs.get("class") and classes <= set(e.attrs["class"].split())):
             return False
         for name, how, value in attrs:
             own = e.attrs.get(name)
@@ -83,6 +86,7 @@ def compound(text: str):
                 return False
         return True
 
+    test.tag = tag
     return test
 
 
@@ -94,6 +98,13 @@ def selector(text: str) -> list[list]:
 RULES = {name: (inside, selector(text)) for name, (inside, text) in SELECTORS.items()}
 
 
+@lru_cache(4096)
+def rules_of(tag: str) -> list[tuple]:
+    """(part, part it lies in, alternatives) of RULES, without what asks for another tag."""
+    fit = {name: [a for a in alternatives if a[-1].tag in ("", tag)] for name, (_, alternatives) in RULES.items()}
+    return [(name, RULES[name][0], some) for name, some in fit.items() if some]
+
+
 class Reader(HTMLParser):
     """One pass over a page: every part that SELECTORS name, in order."""
 
@@ -104,20 +115,25 @@ class Reader(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         e = Element(tag, dict(reversed(attrs)))  # of repeated attributes the first counts
-        for name, (inside, alternatives) in RULES.items():
-            if not any(a[-1](e) for a in alternatives):
+        for name, inside, alternatives in rules_of(tag):
+            if not any(self.fits(a, e) for a in alternatives):
                 continue
             depth = next((k for k in range(len(self.open) - 1, -1, -1) if inside in self.open[k].parts), None) if inside else -1
-            if depth is not None and any(self.fits(a, e) for a in alternatives):
+            if depth is not None:
                 e.parts[name] = len(self.found[name])
                 self.found[name].append(Found(self.open[depth].parts[inside] if inside else None, e.attrs))
         if tag not in VOID:
             self.open.append(e)
 
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # nobody asks for line numbers
+
     def fits(self, tests: list, e: Element) -> bool:
         """Do the outer tests fit elements around e, in their order?"""
         if not tests[-1](e):
             return False
+        if len(tests) == 1:
+            return True
         rest = tests[:-1]
         for around in reversed(self.open):
             if rest and rest[-1](around):
@@ -152,9 +168,14 @@ class Reader(HTMLParser):
         return x.attrs.get(attr) if x else None
 
 
-def read(page: str | None) -> Reader:
+#: A script or a style sheet, whose texts have no references; or a & that no whole reference follows.
+BARE = re.compile(r"(<(script|style)\b.*?</\2\s*>)|&(?!(?:[a-z][a-z0-9]*|#[0-9]+|#x[0-9a-f]+);)", re.I | re.S)
+
+
+def read(page: str | None, bare: bool = True) -> Reader:
+    """bare: character references without their semicolon (&amp) count, as in browsers."""
     r = Reader()
-    r.feed(page or "")
+    r.feed((page or "") if bare else BARE.sub(lambda m: m[1] or "&amp;", page or ""))
     r.close()
     return r
 
@@ -167,9 +188,9 @@ PARSED = pa.schema([
 DDL = "title string, n_links int, marked boolean, notice struct<title: string, text: string>, cards array<string>, vehicle string, dealer struct<name: string, address: string, website: string, link: string, rating: string, seller: string>, carousel array<struct<save: string, link: string, price: string, body: string, footer: string>>"
 
 
-def parts(page: str | None) -> dict:
+def parts(page: str | None, bare: bool = True) -> dict:
     """The fields of PARSED."""
-    r = read(page)
+    r = read(page, bare)
     notice, data = r.first("notice"), r.first("data")
     dealer = None
     if r.found["dealer"]:
@@ -183,15 +204,24 @@ def parts(page: str | None) -> dict:
     }
 
 
-def parsed(pages: DataFrame, key: str, page: str, url: str | None = None) -> DataFrame:
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """rows dealt by key to as many tasks as the session shuffles to, before their pages are made.
+
+    Reading a page takes about a millisecond, so a few MB of rows are minutes of work, and splits by size one task.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
+def parsed(pages: DataFrame, key: str, page: str, url: str | None = None, bare: bool = True) -> DataFrame:
     """key, url, and the parts of every page, with page_state (blocked, unlisted, active).
 
     A page with its vehicle's data is no challenge, whatever its title. A null page has no parts and is active.
+    With bare=False, character references without a semicolon stay as they are.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = pa.RecordBatch.from_pylist([parts(x.as_py()) for x in batch.column(2)], schema=PARSED)
+            rows = pa.RecordBatch.from_pylist([parts(x, bare) for x in batch.column(2).to_pylist()], schema=PARSED)
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *rows.columns], names=["k", "url", *PARSED.names])
 
     kind = dict(pages.dtypes)[key]
