@@ -130,3 +130,16 @@ def test_hot_entities_are_split(spark, many_ranges):
     plain, spread = (runs.price_history(df, "e", "price", "ts", "id", ["s"], spread=x) for x in (False, True))
     assert rows(plain, *sorted(plain.columns)) == rows(spread, *sorted(plain.columns))
     assert runs.runs(df.limit(0), "e", ["ts", "id"], "s", spread=True).count() == 0
+
+
+def test_joins_of_a_large_table_are_dealt_by_its_size(spark, monkeypatch):
+    import re
+
+    from tidemark.plans import catalog
+    from tidemark.sources import scratch
+
+    monkeypatch.setattr(scratch, "TASK_BYTES", 1000)
+    for name in ("jn4_using", "jn11_elsewhere"):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        tasks = {int(n) for n in re.findall(r"RepartitionByExpression \[.*?\], (\d+)", plan)}
+        assert tasks and min(tasks) > 20

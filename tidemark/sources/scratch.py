@@ -37,3 +37,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_table(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of Parquet that one task is to take where a plan keeps rows in memory (sorts, wide hash aggregates).
+TASK_BYTES = 1 << 20
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """df dealt by keys to as many tasks as its size asks for, so that a task's rows do not grow with the table.
+
+    The number is given, as adaptive execution would else join small compressed partitions to millions of rows.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES)), *keys)
