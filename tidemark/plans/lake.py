@@ -10,7 +10,7 @@ from tidemark.plans import bindings as B
 from tidemark.plans import models as M
 from tidemark.plans.registry import EVENTS_END, query
 from tidemark.sources import indexed, readers
-from tidemark.sources.scratch import new_table
+from tidemark.sources.scratch import dealt, new_table
 
 # sources, predicates, joins
 
@@ -91,7 +91,7 @@ def jn10(t):
 
 @query("jn11_elsewhere", "SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL AND l_partkey IN (SELECT l_partkey FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1)")
 def jn11(t):
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = dealt(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), "l_partkey")
     return staging.elsewhere(li, li, "l_partkey", "l_suppkey").distinct()
 
 
