@@ -111,3 +111,11 @@ def test_from_nothing_and_compaction(spark, tmp_path):
     assert len(indexed.manifest(spark, path)) == 1
     assert indexed.compact(spark, path) == indexed.commit_at(spark, path)
     assert rows(indexed.read(spark, path)) == rows(base)
+
+
+def test_files_are_what_a_task_can_sort(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(indexed, "estimate", lambda df: 100 << 20)
+    path = f"file://{tmp_path}/t"
+    indexed.create(spark.range(4000).selectExpr("id as k", "id * 2 as v"), path, "k")
+    files = indexed.manifest(spark, path)
+    assert len(files) == 4 and files["rows"].sum() == 4000 and indexed.read(spark, path).distinct().count() == 4000

@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from tidemark.sources.scratch import written
 from tidemark.sources.sinks import aligned, content_hash, store_of
 
-#: Bytes of a file, by the size of what it is made from.
-FILE_BYTES = 256 << 20
+#: Bytes of a file, by the size of what it is made from. One task sorts a file's rows, which take some ten times that in memory.
+FILE_BYTES = 32 << 20
 #: Distinct keys of a word of the filter, and bits that each sets in it.
 KEYS_A_WORD, BITS = 5, 4
 MANIFEST = "file string, made string, lo long, hi long, rows long, bytes long, words long"
@@ -102,11 +102,15 @@ def _commit(rows: DataFrame | None, path: str, keys: Sequence[str], schema: T.St
         rows = rows.select(*schema.names, hashed(keys).alias("__h"), F.xxhash64(*plain).alias("__salt"))
         rows.repartitionByRange(n, "__h", "__salt").sortWithinPartitions("__h").drop("__h", "__salt").write.option("compression", "zstd").parquet(f"{path}/data/{made}")
         back = spark.read.schema(schema).parquet(f"{path}/data/{made}")
-        name = F.concat(F.lit(f"data/{made}/"), F.col("_metadata.file_name")).alias("file")
-        each = written(back.select(name, F.col("_metadata.file_size").alias("bytes"), hashed(keys).alias("h")).groupBy("file", "h").agg(F.count("*").alias("n"), F.first("bytes").alias("bytes")), "hashes")
+        # keys are counted under a number of their file, as its name in each group would be most of a task's memory
+        number = F.xxhash64("_metadata.file_name").alias("f")
+        names = written(back.select(number, F.concat(F.lit(f"data/{made}/"), F.col("_metadata.file_name")).alias("file"), F.col("_metadata.file_size").alias("bytes")).distinct(), "names")
+        each = written(back.select(number, hashed(keys).alias("h")).groupBy("f", "h").agg(F.count("*").alias("n")), "hashes")
         words = F.greatest(F.lit(1).cast("long"), F.ceil(F.count("*") / KEYS_A_WORD))
-        files = written(each.groupBy("file").agg(F.lit(made).alias("made"), F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("n").alias("rows"), F.first("bytes").alias("bytes"), words.alias("words")), "files")
-        index = each.join(files.select("file", "words"), "file").groupBy("file", word_of(F.col("h"), F.col("words")).alias("word")).agg(F.bit_or(mask_of(F.col("h"))).alias("bits"))
+        counts = each.groupBy("f").agg(F.min("h").alias("lo"), F.max("h").alias("hi"), F.sum("n").alias("rows"), words.alias("words"))
+        files = written(counts.join(names, "f").withColumn("made", F.lit(made)), "files")
+        index = each.join(files.select("f", "words"), "f").groupBy("f", word_of(F.col("h"), F.col("words")).alias("word")).agg(F.bit_or(mask_of(F.col("h"))).alias("bits"))
+        index = index.join(names.select("f", "file"), "f").select("file", "word", "bits")
         index.write.parquet(f"{path}/_index/{made}")
         parts = pd.concat([kept, files.toPandas()], ignore_index=True) if len(kept) else files.toPandas()
     spark.createDataFrame(parts[[c.split()[0] for c in MANIFEST.split(", ")]].to_dict("records"), MANIFEST).write.parquet(f"{path}/_manifests/{made}")
