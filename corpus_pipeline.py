@@ -15,8 +15,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the smallest id, of each group of near duplicates: five-word similarity 0.8 or more."""
-    return simhash.keep_similar(docs)
+    """One document, the one of the smallest id, of each group of near duplicates.
+
+    Links are op8's, fingerprints within its radius by tiles, and those of a five-word similarity of 0.8 or more.
+    """
+    return simhash.keep_near(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -679,6 +679,31 @@ def test_keep_similar_odd(spark):
     assert simhash.keep_similar(empty_docs(spark)).count() == 0
 
 
+def test_keep_near_has_links_of_fingerprints_and_of_texts(spark, texts):
+    import corpus_pipeline
+
+    loop = "a b c " * 60  # fingerprints are of the repeated shingles, sets mostly of the others
+    rows = [*texts, (30_000, loop + prose(6, 901)), (30_001, loop + prose(6, 902)), (30_002, prose(6, 903) + " " + loop)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    similar, near = brute_similar(rows), {x["doc_id"]: x["component_id"] for x in simhash.near_duplicates(d).collect()}
+    assert len({similar[k] for k in (30_000, 30_001, 30_002)}) == 3 and near[30_002] == 30_000
+    got = {x["doc_id"] for x in corpus_pipeline.dedup_stage(spark, d, SF).collect()}
+    assert len(got) == len({near[i] for i in got})  # one at most of what fingerprints link
+    both = brute_components_of([(i, c) for i, c in similar.items()] + list(near.items()))
+    assert len({both[i] for i, _ in rows} ^ got) <= 0.005 * len(rows)
+
+
+def brute_components_of(links):
+    """{id: smallest id} over links."""
+    low = {i: i for x in links for i in x}
+    while True:
+        before = dict(low)
+        for a, b in links:
+            low[a] = low[b] = min(low[a], low[b])
+        if low == before:
+            return low
+
+
 # op9
 
 

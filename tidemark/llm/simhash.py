@@ -9,8 +9,8 @@ forest of its matches, not all pairs, and equal fingerprints are linked before i
 Defined results: a null or empty text, or one without words, has fingerprint zero and links like any
 other; a text of fewer than three words is one shingle; repeated rows are rows of their own; a null
 doc_id is fingerprinted and linked, but never names a component that has another id (alone: null);
-an empty table gives an empty result. Extra columns are not read, but for keep_first and keep_similar,
-which choose among rows of one id by a hash of all columns. There rows are judged by id and text, so
+an empty table gives an empty result. Extra columns are not read, but for keep_first, keep_similar and
+keep_near, which choose among rows of one id by a hash of all columns. There rows are judged by id and text, so
 different texts under one id, or under none, are documents of their own.
 """
 
@@ -242,8 +242,8 @@ def shingle_sets(texts: list[str | None], known: dict[bytes, int], size: int) ->
     return out
 
 
-def signatures(docs: DataFrame, text: str, key: str, shingle: int) -> DataFrame:
-    """(doc_id, mark, h1, h2, keys): a text's two hashes and its band keys."""
+def signatures(docs: DataFrame, text: str, key: str, shingle: int, prints: bool) -> DataFrame:
+    """(doc_id, mark, h1, h2, keys, fp): a text's two hashes, its band keys and, if asked for, its fingerprint."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -255,11 +255,12 @@ def signatures(docs: DataFrame, text: str, key: str, shingle: int) -> DataFrame:
                 flat = np.concatenate(sets)
                 keys = band_keys(((flat * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)).astype(np.uint32), np.cumsum(size) - size).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, 64) for c in batch.columns[:4]), lists], names=["doc_id", "mark", "h1", "h2", "keys"])
+                fp = np.array([fingerprint(t) if prints else 0 for t in texts[a : a + 64].to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, 64) for c in batch.columns[:4]), lists, pa.array(fp)], names=["doc_id", "mark", "h1", "h2", "keys", "fp"])
 
     t = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), marked(docs).alias("mark"), F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2"), t.alias("text"))
-    return rows.mapInArrow(each, "doc_id long, mark long, h1 long, h2 long, keys array<long>")
+    return rows.mapInArrow(each, "doc_id long, mark long, h1 long, h2 long, keys array<long>, fp long")
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -333,17 +334,20 @@ def text_links(left: list[Row], right: list[Row], shingle: int = SIMILAR_SHINGLE
     return spanning(i[x].tolist(), j[y].tolist(), left, right)
 
 
-def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SIMILAR_SHINGLE, tenths: int = SIMILARITY) -> DataFrame:
+def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SIMILAR_SHINGLE, tenths: int = SIMILARITY, radius: int | None = None) -> DataFrame:
     """(doc_id, mark, component) for every row of docs: texts of similarity tenths / 10 or more along a chain.
 
     Fingerprints this far apart leave no tile to skip, so tiles lie within buckets of MinHash bands.
     First each text of a bucket meets the bucket's smallest; what components these links make is known
     before the others are compared, and then only texts outside the smallest one's component meet the
-    others of the bucket. Every link is the exact similarity of the two texts' shingle sets.
+    others of the bucket. Every such link is the exact similarity of the two texts' shingle sets.
+
+    With a radius, near_duplicates' links come first: the fingerprints of all texts, in or out of buckets, go
+    through the tiles, and what they link is known before texts are compared.
     """
-    rows = cut(signatures(docs, text, key, shingle), "signatures")
+    rows = cut(signatures(docs, text, key, shingle, radius is not None), "signatures")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark"))
-    distinct = rows.groupBy("h1", "h2").agg(first.alias("first"), F.any_value("keys").alias("keys"))
+    distinct = rows.groupBy("h1", "h2").agg(first.alias("first"), F.any_value("keys").alias("keys"), F.any_value("fp").alias("fp"))
     distinct = cut(distinct.withColumn("id", F.monotonically_increasing_id()), "distinct-texts")
     member = distinct.select("id", F.explode("keys").alias("bucket"))
     buckets = cut(member.groupBy("bucket").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1"), "buckets")
@@ -354,7 +358,13 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shi
     texts = cut(texts.dropDuplicates(["id"]), "texts")
     pairs = member.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     edges = cut(verified(pairs, texts, shingle, tenths).filter("ok").select("a", "b"), "star")
-    nodes = cut(member.select(F.col("id").alias("node")).distinct(), "nodes")
+    nodes = member.select(F.col("id").alias("node"))
+    if radius is not None:
+        near = labelled(distinct.select("id", "fp"), radius).select("id", F.col("component").alias("group"))
+        near = cut(near.join(near.groupBy("group").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1"), "group"), "near")
+        edges = cut(edges.union(near.filter("id <> low").select("id", "low")), "edges")
+        nodes = nodes.union(near.select("id"))
+    nodes = cut(nodes.distinct(), "nodes")
     known = cut(components(nodes, edges, "links"), "components")
     placed = cut(member.join(known.withColumnRenamed("node", "id"), "id"), "placed")
     links = lambda left, right: text_links(left, right, shingle, tenths)
@@ -365,6 +375,11 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", shi
     return rows.join(named, ["h1", "h2"]).select("doc_id", "mark", "component")
 
 
+def keep_near(docs: DataFrame, text: str = "text", key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """The rows of docs, all their columns, that are the one kept of the texts linked by fingerprints or by similarity."""
+    return one_of_each(docs, similar_groups(docs, text, key, radius=radius), key)
+
+
 def keep_similar(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of docs, all their columns, that are the one kept of each group of similar texts."""
     return one_of_each(docs, similar_groups(docs, text, key), key)
