@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -90,3 +91,49 @@ def test_hourly_distincts(spark, tmp_path):
     assert rows(again) == rows(want)
     delivered = spark.read.parquet(src)
     assert rows(incremental.time_window(delivered, again, "ts", "hour", "72 HOURS", make, "hour", ["hour", "source"]).select(*want.columns)) == rows(make(delivered).select(*want.columns))
+
+
+class Handle:
+    """A state server of one map, counting what is asked of it."""
+
+    def __init__(self):
+        self.map, self.asked, self.names = {}, 0, []
+
+    def getMapState(self, name, *types):
+        self.names.append(name)
+        return self
+
+    def exists(self):
+        return bool(self.map)
+
+    def getValue(self, key):
+        self.asked += 1
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+
+def test_one_call_serves_many_keys():
+    """Frames of all keys of a group give one frame, and a stored state is asked for once a touched key."""
+    fold, handle = folds.Attempts(["key", "first", "last", "num_of_attempts", "gone"], "long", None), Handle()
+    fold.init(handle)
+    frame = lambda a, b, cleared: pd.DataFrame([(0, str(i % 500), i, i, cleared) for i in range(a, b)], columns=["group", "key", "ts", "tie", "cleared"])
+    call = lambda *frames: [x for pdf in fold.handleInputRows((0,), iter(frames), None) for x in pdf.itertuples(index=False, name=None)]
+    got = call(frame(0, 700, False), frame(700, 1500, False))
+    assert sorted(got) == sorted((str(i), i, i + 1000, 3, False) for i in range(500)) and handle.asked == 0 and len(handle.map) == 500
+    got = call(frame(1500, 1600, True), frame(1550, 1560, False))  # later than all of these keys; the second is a tie of what cleared
+    assert sorted(got) == sorted((str(i), None, None, 0, True) for i in range(100)) and handle.asked == 100
+    call(frame(1500, 1501, True))
+    assert handle.map["0",] == (1500, 1500, [], []) and handle.asked == 101
+
+
+@pytest.mark.parametrize("kind,keys", [("bigint", [None, 1 << 60, (1 << 60) + 1]), ("double", [0.0, -0.0, 1e300]), ("timestamp", ["2026-01-01 00:00:00.000001", "2026-01-01 00:00:00.000002"]), ("binary", ["a", "b"])])
+def test_keys_of_all_kinds(spark, tmp_path, kind, keys):
+    data = [(i, 2 * i) for i in range(12)]
+    values = F.array(*[F.lit(k).cast(kind) for k in keys])
+    frame = spark.createDataFrame(data, "id long, price long").withColumns({"k": F.element_at(values, (F.col("id") % len(keys) + 1).cast("int")), "ts": F.timestamp_seconds("id")})
+    out = streamed(spark, tmp_path, [frame.filter("id < 5"), frame.filter("id >= 5")], lambda s: folds.fold(s, "k", ["ts", "id"], ["price"], groups=2))
+    want = state.fold(frame, "k", ["ts", "id"], ["price"])
+    got = folds.current(spark, out, "k")
+    assert rows(got.select(*want.columns)) == rows(want) and dict(got.dtypes)["k"] == kind

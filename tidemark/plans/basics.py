@@ -16,7 +16,7 @@ from tidemark.plans import models as M
 from tidemark.plans.boards import folder
 from tidemark.plans.registry import query
 from tidemark.sources import layout, readers, sinks
-from tidemark.sources.scratch import dealt
+from tidemark.sources.scratch import dealt, written
 from tidemark.streaming import streams
 
 # sources and sinks
@@ -251,6 +251,7 @@ def in_waves(t, rows, ts, make, waves=3):
 
     log, out, checkpoint = folder(t, "log"), folder(t, "states"), folder(t, "ck")
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    rows = written(rows, "waves")
     ends = rows.agg(F.percentile_approx(micros, [k / waves for k in range(1, waves)], 10_000)).first()[0] or []
     with folds.state_store(t.spark):
         for k in range(len(ends) + 1):
