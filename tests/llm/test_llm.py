@@ -185,6 +185,23 @@ def test_tile_links_span_components():
     assert len(lines.tile_links(left, right)) == 8
 
 
+def test_rejoined_components(spark, monkeypatch):
+    """Later links join whole components, along chains too; only the met components are nodes of that."""
+    r = random.Random(5)
+    known = {n: n - n % 5 for n in range(400)}
+    links = [(a, b) for a, b in ((r.randrange(300), r.randrange(300)) for _ in range(45)) if a - a % 5 != b - b % 5]
+    want = dict(known)
+    for _ in links:
+        for a, b in links:
+            low, high = sorted((want[a], want[b]))
+            want = {n: low if c == high else c for n, c in want.items()}
+    asked = []
+    monkeypatch.setattr(lines, "components", lambda nodes, edges, name: asked.append(nodes.count()) or common.components(nodes, edges, name))
+    got = lines.rejoined(common.cut(spark.createDataFrame(list(known.items()), "node long, component long"), "t"), spark.createDataFrame(links, "a long, b long"))
+    assert {x["node"]: x["component"] for x in got.collect()} == want and got.count() == 400
+    assert asked == [len({known[x] for link in links for x in link})]
+
+
 def test_line_odd(spark):
     out = lines.dedup_lines(odd_docs(spark)).collect()
     assert len(out) == 12

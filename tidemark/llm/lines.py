@@ -151,6 +151,17 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     return pairs.join(of("a", "s"), "a").join(of("b", "t"), "b").select("a", "b", "s", "t").mapInArrow(each, "a long, b long, ok boolean")
 
 
+def rejoined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """known (node, component) with the components that links (a, b) join taken as one: only components meet anew."""
+    of = lambda c: known.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    between = cut(links.join(of("a"), "a").join(of("b"), "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")), "between")
+    met = between.select(F.col("a").alias("node")).union(between.select("b")).distinct()
+    now = components(met, between, "line-links").select(F.col("node").alias("component"), F.col("component").alias("now"))
+    out = cut(known.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component")), "components")
+    discard(between, known)
+    return out
+
+
 def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(h1, h2, keep): each line that repeats or is similar to another, and its component's first place."""
     rows = exploded(docs, text, key)
@@ -169,7 +180,7 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     placed = cut(member.join(known.withColumnRenamed("node", "id"), "id"), "placed")
     more = cut(tiled(tile_rows(placed, known).join(lines.withColumnRenamed("line", "text"), "id"), tile_links).distinct(), "more")
     if not more.isEmpty():
-        known = cut(components(nodes, edges.union(more), "line-links"), "components")
+        known = rejoined(known, more)
     first = known.join(distinct.select(F.col("id").alias("node"), "place"), "node").groupBy("component").agg(F.min("place").alias("keep"))
     fuzzy = known.join(first, "component").select(F.col("node").alias("id"), "keep")
     known_as = distinct.select("h1", "h2", "n", "id", "place").join(fuzzy, "id", "left").select("h1", "h2", "n", "place", F.coalesce("keep", "place").alias("keep"))
