@@ -185,6 +185,75 @@ def test_tile_links_span_components():
     assert len(lines.tile_links(left, right)) == 8
 
 
+def varied(r, s):
+    return "".join(r.choice("xyz") if r.random() < 0.004 else c for c in s)[r.randrange(3) :]
+
+
+def test_similar_pairs_by_brute_force(monkeypatch):
+    """Verdicts of pairs, each line hashed once, however few values are compared at once."""
+    r = random.Random(8)
+    base = [prose(n, n) for n in (1, 2, 9, 60, 400)] + ["a", "abcdefg", "abcdefgh"]
+    some = [varied(r, r.choice(base)) for _ in range(60)]
+    pairs = [(r.randrange(60), r.randrange(60)) for _ in range(800)]
+    sets = [{x[j : j + 8] for j in range(max(1, len(x) - 7))} for x in some]
+    want = [10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]) for a, b in pairs]
+    assert 50 < sum(want) < 750
+    for values in (1, 3000, 1 << 15):
+        monkeypatch.setattr(lines, "VALUES", values)
+        assert lines.similar_pairs(some, *np.array(pairs).T).tolist() == want
+    assert lines.similar([some[a] for a, _ in pairs], [some[b] for _, b in pairs]).tolist() == want
+
+
+def test_small_tiles_go_together(monkeypatch):
+    """Many small tiles take few comparisons, large ones stay alone, and all give the links that each tile would."""
+    r, tiles, n, asked = random.Random(4), [], 0, []
+    for k in range(120):
+        base = [prose(15, 3 * k + x) for x in range(2)]
+        sides = []
+        for count in (r.choice([1, 2, 5]), r.choice([1, 3, 9])) if k else (70, 80):
+            sides.append([(n + x, n + x, varied(r, r.choice(base))) for x in range(count)])
+            n += count
+        tiles.append(tuple(sides))
+
+    def joined(links):
+        root = {}
+
+        def find(x):
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        return {x: find(x) for x in list(root)}
+
+    want = joined([x for left, right in tiles for x in lines.tile_links(left, right)])
+    alone, pairs = lines.tile_links, lines.similar_pairs
+    monkeypatch.setattr(lines, "tile_links", lambda *sides: asked.append("alone") or alone(*sides))
+    monkeypatch.setattr(lines, "similar_pairs", lambda *given: asked.append("together") or pairs(*given))
+    assert joined(lines.links_of_tiles(tiles)) == want and len(want) > 300
+    assert asked.count("alone") == 1 and 1 <= asked.count("together") <= 6
+
+
+def test_texts_of_wanted_lines(spark):
+    """Lines by place, of repeated rows and rows without id too; documents without such a line are not split."""
+    rows = [(1, "a\nb\nc"), (1, "a\nb\nc"), (1, "d\ne"), (None, "f\n\ng"), (None, "f\n\ng"), (2, "h"), (3, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    at = lines.exploded(d, "text", "doc_id").dropDuplicates().withColumn("id", F.monotonically_increasing_id())
+    wanted = at.filter("line in ('a', 'c', 'e', 'g')").select("id", F.struct("doc_id", "mark", "line_no").alias("place"))
+    want = {x["id"]: x["line"] for x in common.cut(at.join(wanted, "id"), "want").collect()}
+    got = lines.texts_of(d, wanted, "text", "doc_id").collect()
+    assert sorted(x["line"] for x in got) == sorted(want.values()) == ["a", "c", "e", "g"]
+    assert {x["id"]: x["line"] for x in got} == want
+
+
+def test_blank_lines_have_no_visible_character(spark):
+    blank = ["", " ", "\t\x0b\x0c\r ", "\u00a0", " x ", "\x00", "\u2028", "\x1c", None]
+    d = spark.createDataFrame([(k, x) for k, x in enumerate(blank)], "doc_id long, text string")
+    assert sorted(x["doc_id"] for x in lines.exploded(d, "text", "doc_id").collect()) == [k for k, x in enumerate(blank) if x is not None and WORDS.search(x)] == [3, 4, 5, 6, 7]
+
+
 def test_rejoined_components(spark, monkeypatch):
     """Later links join whole components, along chains too; only the met components are nodes of that."""
     r = random.Random(5)

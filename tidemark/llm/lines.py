@@ -29,17 +29,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import NONSPACE, components, cut, discard
+from tidemark.llm.common import components, cut, discard
 from tidemark.llm.minhash import BANDS, MIX, band_keys
-from tidemark.llm.tiles import forest, tile_rows, tiled
+from tidemark.llm.tiles import Tile, forest, tile_rows, tiles_together
 
 SHINGLE = 8
 #: Similarity in tenths.
 THRESHOLD = 8
-#: Pairs verified at once, columns of a tile's matrix at once, and shingles from which a tile goes pair by pair.
-PAIRS = 256
+#: Lines hashed at once (their arrays are to stay in a core's cache), pairs verified at once, columns of a tile's
+#: matrix at once, and shingles from which a tile goes pair by pair.
+LINES = 256
+PAIRS = 64
 COLUMNS = 1 << 15
 LARGE = 1 << 22
+#: Shingles of pairs compared at once, and the pairs a line up to which a tile's pairs are compared with other tiles'.
+VALUES, FEW = 1 << 15, 8
 
 
 def line_shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,20 +68,37 @@ def distinct_of(rows: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
 
 
+def similar_pairs(lines: list[str], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether lines[x] and lines[y] are similar, pair by pair; each line is hashed once. At most 65,536 lines."""
+    v, count = line_shingles(lines)
+    key = distinct_of(np.repeat(np.arange(len(lines)), count), v)
+    size = np.bincount((key >> np.uint64(48)).astype(np.int64), minlength=len(lines))
+    start, value = np.cumsum(size) - size, key & np.uint64((1 << 48) - 1)
+    ok = np.zeros(len(x), bool)
+    near = np.nonzero(10 * np.minimum(size[x], size[y]) >= THRESHOLD * np.maximum(size[x], size[y]))[0]
+    ends, at = np.cumsum(size[x[near]] + size[y[near]]), 0
+    while at < len(near):
+        to = max(at + 1, min(at + (1 << 16), int(np.searchsorted(ends, (ends[at - 1] if at else 0) + VALUES, "right"))))
+        part, sides = near[at:to], []
+        for s in (x[part], y[part]):
+            n = size[s]
+            own = np.repeat(start[s] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            sides.append((np.repeat(np.arange(len(part), dtype=np.uint64), n) << np.uint64(48)) | value[own])
+        keys = np.sort(np.concatenate(sides), kind="stable")  # two sorted runs: one merge
+        twice = keys[1:][keys[1:] == keys[:-1]]
+        both = np.bincount((twice >> np.uint64(48)).astype(np.int64), minlength=len(part))
+        ok[part] = 10 * both >= THRESHOLD * (size[x[part]] + size[y[part]] - both)
+        at = to
+    return ok
+
+
 def similar(left: list[str], right: list[str]) -> np.ndarray:
     """Whether the lines of each pair are similar."""
     out = [np.zeros(0, bool)]
     for at in range(0, len(left), PAIRS):
-        n = min(PAIRS, len(left) - at)
-        sets = []
-        for part in (left[at : at + n], right[at : at + n]):
-            v, count = line_shingles(part)
-            sets.append(distinct_of(np.repeat(np.arange(n), count), v))
-        a, b = (np.bincount((s >> np.uint64(48)).astype(np.int64), minlength=n) for s in sets)
-        all_keys = np.sort(np.concatenate(sets))
-        twice = all_keys[1:][all_keys[1:] == all_keys[:-1]]
-        both = np.bincount((twice >> np.uint64(48)).astype(np.int64), minlength=n)
-        out.append(10 * both >= THRESHOLD * (a + b - both))
+        number: dict[str, int] = {}
+        x, y = (np.array([number.setdefault(s, len(number)) for s in part[at : at + PAIRS]]) for part in (left, right))
+        out.append(similar_pairs(list(number), x, y))
     return np.concatenate(out)
 
 
@@ -112,10 +133,39 @@ def tile_links(left: list[tuple[int, int, str]], right: list[tuple[int, int, str
     return forest(x, y, left, right)
 
 
+def links_of_tiles(tiles: list[Tile]) -> list[tuple[int, int]]:
+    """tile_links of each tile; the pairs of small tiles are compared together, as a tile alone is mostly overhead."""
+    out, small = [], []
+    for left, right in tiles:
+        few = len(left) * len(right) <= FEW * (len(left) + len(right)) and sum(len(r[2]) for r in left + right) <= 8 * VALUES
+        if few:
+            small.append((left, right))
+        else:
+            out += tile_links(left, right)
+    while small:
+        number, lines, met, chars = {}, [], [], 0
+        while small and (not met or (chars <= VALUES and len(lines) < 1 << 15)):
+            left, right = small.pop()
+            for row in left + right:
+                if row[1] not in number:
+                    number[row[1]] = len(lines)
+                    lines.append(row[2])
+                    chars += len(row[2])
+            met.append((left, right, [(i, j) for i, a in enumerate(left) for j, b in enumerate(right) if a[0] != b[0]]))
+        x = np.array([number[left[i][1]] for left, _, pairs in met for i, _ in pairs], np.int64)
+        y = np.array([number[right[j][1]] for _, right, pairs in met for _, j in pairs], np.int64)
+        ok, at = similar_pairs(lines, x, y), 0
+        for left, right, pairs in met:
+            found = [p for p, good in zip(pairs, ok[at : at + len(pairs)], strict=True) if good]
+            at += len(pairs)
+            out += forest([i for i, _ in found], [j for _, j in found], left, right)
+    return out
+
+
 def exploded(docs: DataFrame, text: str, key: str) -> DataFrame:
     """(doc_id, mark, line_no, line): every line with a visible character; mark tells texts of one id apart."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return rows.filter(F.col("line").rlike(NONSPACE))
+    return rows.filter(F.ltrim("line", F.lit(" \t\n\x0b\x0c\r")) != "")
 
 
 def hashes(line: str) -> tuple[Column, Column]:
@@ -127,8 +177,8 @@ def signatures(rows: DataFrame) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, batch.num_rows, LINES):
+                part = batch.slice(at, LINES)
                 v, count = line_shingles(part.column(5).to_pylist())
                 keys = band_keys((v >> np.uint64(32)).astype(np.uint32), np.cumsum(count) - count).view(np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32)), pa.array(keys.ravel()))
@@ -162,6 +212,15 @@ def rejoined(known: DataFrame, links: DataFrame) -> DataFrame:
     return out
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame, text: str, key: str) -> DataFrame:
+    """(id, line) of wanted (id, place). Only documents with such a line are split, and only those lines leave them."""
+    at = wanted.groupBy(F.col("place.doc_id").alias("d"), F.col("place.mark").alias("m")).agg(F.collect_list(F.struct("id", F.col("place.line_no").alias("line_no"))).alias("wanted"))
+    at = cut(at, "wanted-lines")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
+    rows = rows.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m"))).select("wanted", F.split("text", "\n").alias("lines"))
+    return rows.select("lines", F.explode("wanted").alias("one")).select("one.id", F.col("lines")[F.col("one.line_no")].alias("line")).dropDuplicates(["id"])
+
+
 def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(h1, h2, keep): each line that repeats or is similar to another, and its component's first place."""
     rows = exploded(docs, text, key)
@@ -171,14 +230,12 @@ def line_components(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     buckets = cut(member.groupBy("bucket").agg(F.min("id").alias("low"), F.count("*").alias("n")).filter("n > 1"), "buckets")
     member = cut(member.join(buckets, "bucket"), "members")
     nodes = cut(member.select(F.col("id").alias("node")).distinct(), "nodes")
-    at = distinct.join(nodes, F.col("id") == F.col("node"), "left_semi").select("id", F.col("place.doc_id").alias("d"), F.col("place.mark").alias("m"), F.col("place.line_no").alias("l"))
-    lines = rows.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("mark") == F.col("m")) & (F.col("line_no") == F.col("l"))).select("id", "line")
-    lines = cut(lines.dropDuplicates(["id"]), "lines")
+    lines = cut(texts_of(docs, distinct.join(nodes, F.col("id") == F.col("node"), "left_semi").select("id", "place"), text, key), "lines")
     pairs = member.filter("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).distinct()
     edges = cut(verified(pairs, lines).filter("ok").select("a", "b"), "star")
     known = cut(components(nodes, edges, "line-links"), "components")
     placed = cut(member.join(known.withColumnRenamed("node", "id"), "id"), "placed")
-    more = cut(tiled(tile_rows(placed, known).join(lines.withColumnRenamed("line", "text"), "id"), tile_links).distinct(), "more")
+    more = cut(tiles_together(tile_rows(placed, known).join(lines.withColumnRenamed("line", "text"), "id"), links_of_tiles).distinct(), "more")
     if not more.isEmpty():
         known = rejoined(known, more)
     first = known.join(distinct.select(F.col("id").alias("node"), "place"), "node").groupBy("component").agg(F.min("place").alias("keep"))
@@ -194,13 +251,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     rows = exploded(docs, text, key).select("doc_id", "mark", "line_no", *hashes("line")).join(line_components(docs, text, key), ["h1", "h2"])
     gone = rows.filter(~F.struct("doc_id", "mark", "line_no").eqNullSafe(F.col("keep"))).groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
     gone = cut(gone.select(F.col("doc_id").alias("__doc"), F.col("mark").alias("__mark"), "removed"), "removed-lines")
-    all_rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.split(F.coalesce(text, F.lit("")), "\n").alias("lines"), F.col(text).isNull().alias("empty"))
+    all_rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.coalesce(text, F.lit("")).alias("text"), F.col(text).isNull().alias("empty"))
     out = all_rows.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("mark") == F.col("__mark")), "left")
-    removed = F.coalesce("removed", F.array().cast("array<int>"))
+    removed, lines = F.coalesce("removed", F.array().cast("array<int>")), F.split("text", "\n")
     return out.select(
         "doc_id",
-        F.when(F.col("empty"), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.when(F.col("empty"), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.size(removed).cast("long").alias("n_removed"),
         removed.alias("removed"),
-        F.array_join(F.filter("lines", lambda x, i: ~F.array_contains(removed, i)), "\n").alias("kept_text"),
+        F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("removed", i)), "\n")).alias("kept_text"),
     )

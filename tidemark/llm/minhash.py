@@ -20,8 +20,11 @@ def band_keys(v: np.ndarray, start: np.ndarray) -> np.ndarray:
     while a < len(start):
         b = max(a + 1, int(np.searchsorted(start, start[a] + BLOCK)))
         part = v[start[a] : start[b] if b < len(start) else len(v)]
+        at, x = start[a:b] - start[a], np.empty_like(part)
         for k in range(BANDS * ROWS):
-            least[k, a:b] = np.minimum.reduceat((part ^ FLIP[k]) * ODD[k], start[a:b] - start[a])
+            np.bitwise_xor(part, FLIP[k], out=x)
+            np.multiply(x, ODD[k], out=x)
+            np.minimum.reduceat(x, at, out=least[k, a:b])
         a = b
     keys = np.empty((len(start), BANDS), np.uint64)
     for k in range(BANDS):

@@ -13,6 +13,9 @@ from tidemark.llm.common import cut
 TILE = 128
 #: One row of a tile: component, id, text.
 Row = tuple[int, int, str]
+Tile = tuple[list[Row], list[Row]]
+#: Rows and characters of tiles given away at once.
+ROWS, CHARS = 4096, 1 << 20
 
 
 def forest(x: Iterable[int], y: Iterable[int], left: list[Row], right: list[Row]) -> list[tuple[int, int]]:
@@ -49,20 +52,35 @@ def tile_rows(placed: DataFrame, known: DataFrame) -> DataFrame:
 
 def tiled(rest: DataFrame, links_of: Callable[[list[Row], list[Row]], list[tuple[int, int]]]) -> DataFrame:
     """(a, b) links of rows (bucket, i, j, side, component, id, text), each tile pair's rows in one task."""
+    return tiles_together(rest, lambda tiles: [x for t in tiles for x in links_of(*t)], 1)
+
+
+def tiles_together(rest: DataFrame, links_of: Callable[[list[Tile]], list[tuple[int, int]]], most: int = ROWS) -> DataFrame:
+    """As tiled, but links_of gets whole tiles of about `most` rows together."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, sides = None, ([], [])
+        tiles: list[Tile] = []
+        rows = chars = 0
 
         def links() -> pa.RecordBatch:
-            out = links_of(*sides) if all(sides) else []
+            out = links_of(tiles) if tiles else []
+            tiles.clear()
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
             for bucket, i, j, side, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if (bucket, i, j) != now:
-                    yield links()
+                    if all(sides):
+                        tiles.append(sides)
+                    if rows >= most or chars >= CHARS:
+                        yield links()
+                        rows = chars = 0
                     now, sides = (bucket, i, j), ([], [])
                 sides[side].append(tuple(row))
+                rows, chars = rows + 1, chars + len(row[2])
+        if all(sides):
+            tiles.append(sides)
         yield links()
 
     rest = rest.select("bucket", "i", "j", "side", "component", "id", "text").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
